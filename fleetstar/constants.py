@@ -7,8 +7,8 @@ thresholds); they are kept together here, in their natural order.
 # --- fixed values: alert taxonomy (key, code, category, name, severity,
 # auto_shutoff, notifies_regional, sla_response_mins) -----------------------
 ALERT_TYPES = [
-    (1, "THERM-CRIT", "Thermal", "Critical thermal event - device exceeds 245C", "Critical", True, True, 5),
-    (2, "THERM-WARN", "Thermal", "Thermal warning - device above safe threshold", "High", False, False, 15),
+    (1, "THERM-CRIT", "Thermal", "Critical thermal event — device exceeds 245°C", "Critical", True, True, 5),
+    (2, "THERM-WARN", "Thermal", "Thermal warning — device above safe threshold", "High", False, False, 15),
     (3, "POWER-SURGE", "Power", "Power draw surge detected", "High", True, True, 10),
     (4, "CONN-LOST", "Connectivity", "Device lost network connectivity", "Medium", False, False, 30),
     (5, "COMPLIANCE", "Compliance", "GDPR or data governance flag raised", "Low", False, False, 60),

@@ -17,17 +17,15 @@ from fleetstar.plans.joins import join_dim
 from fleetstar.plans.ordinal import global_rank
 from fleetstar.plans.sequence import next_in_sequence
 
-SPIKE = F.col("is_thermal_spike")
-TEMP = F.col("temperature_celsius")
 
 
 def _store_rates(fact: DataFrame, store: DataFrame) -> DataFrame:
     per_store = (fact.groupBy("store_key")
                  .agg(F.count(F.lit(1)).alias("total_readings"),
-                      count_true(SPIKE).alias("spike_count"),
-                      F.sum(TEMP).alias("_temp_sum"),
-                      F.count(TEMP).alias("_temp_n"),
-                      F.max(TEMP).alias("max_temp_recorded"))
+                      count_true(F.col("is_thermal_spike")).alias("spike_count"),
+                      F.sum(F.col("temperature_celsius")).alias("_temp_sum"),
+                      F.count(F.col("temperature_celsius")).alias("_temp_n"),
+                      F.max(F.col("temperature_celsius")).alias("max_temp_recorded"))
                  .withColumn("spike_rate_pct", exact_pct(F.col("spike_count"), F.col("total_readings"))))
     dims = store.select("store_key", "store_id", "store_name", "city", "country", "region")
     return join_dim(per_store, dims, "store_key")
@@ -47,7 +45,7 @@ def device_health(fact: DataFrame, device: DataFrame, store: DataFrame) -> DataF
     """Per device and store: sessions, mean temperature/session/power, anomaly and dirty counts."""
     per = (fact.groupBy("device_key", "store_key")
            .agg(F.count(F.lit(1)).alias("n"),
-                F.sum(TEMP).alias("t_sum"), F.count(TEMP).alias("t_n"),
+                F.sum(F.col("temperature_celsius")).alias("t_sum"), F.count(F.col("temperature_celsius")).alias("t_n"),
                 F.sum("session_duration_secs").alias("s_sum"),
                 F.count("session_duration_secs").alias("s_n"),
                 F.sum("power_draw_watts").alias("p_sum"), F.count("power_draw_watts").alias("p_n"),
@@ -101,9 +99,9 @@ def mom_temp_trend(fact: DataFrame, store: DataFrame, warm: float = C.TREND_WARM
     (``store_name`` as in the source model, or ``store_key``).
     """
     d = fact_date(fact)
-    monthly = (fact.filter(TEMP.isNotNull())
+    monthly = (fact.filter(F.col("temperature_celsius").isNotNull())
                .groupBy("store_key", F.year(d).alias("year"), F.month(d).alias("month_number"))
-               .agg(F.sum(TEMP).alias("s"), F.count(TEMP).alias("n")))
+               .agg(F.sum(F.col("temperature_celsius")).alias("s"), F.count(F.col("temperature_celsius")).alias("n")))
     monthly = join_dim(monthly, store.select("store_key", "store_name", "region"), "store_key")
     group = ["store_name", "region", "year", "month_number"]
     if key == "store_key":
@@ -132,14 +130,14 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
     The top-k runs before the dimension joins, so only k rows are joined;
     that relies on referential integrity, which ``check_constraints`` verifies.
     """
-    base = fact.filter(TEMP.isNotNull()).select(
+    base = fact.filter(F.col("temperature_celsius").isNotNull()).select(
         "telemetry_key", "device_key", "store_key", "event_timestamp", "temperature_celsius",
         "is_thermal_spike")
     seq = next_in_sequence(base, "device_key", "event_timestamp", "telemetry_key",
                            ["temperature_celsius", "is_thermal_spike"], prefix="next_",
                            bucket_seconds=bucket_seconds)
     seq = (seq.filter(F.col("next_temperature_celsius").isNotNull())
-           .withColumn("_jump", F.col("next_temperature_celsius") - TEMP))
+           .withColumn("_jump", F.col("next_temperature_celsius") - F.col("temperature_celsius")))
     if k is not None:
         seq = seq.orderBy(F.desc_nulls_last("_jump"), F.asc("telemetry_key")).limit(k)
     seq = join_dim(seq, device.select("device_key", "device_id"), "device_key")
@@ -149,7 +147,7 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
                     C.EARLY_WARNING_LABELS[2])
     out = seq.select(
         "device_id", "store_name", "event_timestamp",
-        TEMP.alias("current_temp"),
+        F.col("temperature_celsius").alias("current_temp"),
         F.col("next_temperature_celsius").alias("next_session_temp"),
         F.round(F.col("_jump"), 2).alias("temp_jump"),
         F.col("next_is_thermal_spike").alias("next_is_spike"),
@@ -160,7 +158,7 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
 
 def _daily_region_spikes(fact: DataFrame, store: DataFrame) -> DataFrame:
     d = fact_date(fact)
-    daily = fact.groupBy("store_key", d.alias("full_date")).agg(count_true(SPIKE).alias("s"))
+    daily = fact.groupBy("store_key", d.alias("full_date")).agg(count_true(F.col("is_thermal_spike")).alias("s"))
     daily = join_dim(daily, store.select("store_key", "region"), "store_key")
     return daily.groupBy("region", "full_date").agg(F.sum("s").alias("daily_spikes"))
 
@@ -196,10 +194,10 @@ def calendar_rolling_avg(fact: DataFrame, store: DataFrame, days: int = 7) -> Da
 def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
                           buckets: int = 4) -> DataFrame:
     """Per-device spike rate over non-NULL readings, NTILE by rate (ties by device)."""
-    per = (fact.filter(TEMP.isNotNull())
+    per = (fact.filter(F.col("temperature_celsius").isNotNull())
            .groupBy("device_key", "store_key")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(TEMP).alias("t"), F.count(TEMP).alias("tn"),
-                count_true(SPIKE).alias("sp")))
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+                count_true(F.col("is_thermal_spike")).alias("sp")))
     per = join_dim(per, device.select("device_key", "device_id", "model_version", "firmware_version"),
                    "device_key")
     per = join_dim(per, store.select("store_key", "store_name", "region"), "store_key")
@@ -221,10 +219,10 @@ def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
 def firmware_compliance(fact: DataFrame, device: DataFrame, fail: float = C.FIRMWARE_FAIL,
                         warn: float = C.FIRMWARE_WARN) -> DataFrame:
     """Per firmware version: devices, readings, spike rate, DENSE_RANK and status."""
-    per = (fact.filter(TEMP.isNotNull())
+    per = (fact.filter(F.col("temperature_celsius").isNotNull())
            .groupBy("device_key")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(TEMP).alias("t"), F.count(TEMP).alias("tn"),
-                count_true(SPIKE).alias("sp"), F.sum("power_draw_watts").alias("p"),
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+                count_true(F.col("is_thermal_spike")).alias("sp"), F.sum("power_draw_watts").alias("p"),
                 F.count("power_draw_watts").alias("pn")))
     per = join_dim(per, device.select("device_key", "device_id", "firmware_version"), "device_key")
     agg = (per.groupBy("firmware_version")

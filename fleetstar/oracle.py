@@ -14,11 +14,14 @@ from fleetstar import constants as C
 P1 = """
 p1_store AS (
   SELECT CAST(n.n_nationkey AS BIGINT) AS store_key, printf('ST-%03d', n.n_nationkey) AS store_id,
-         n.n_name AS store_name, n.n_name AS city, r.r_name AS country, r.r_name AS region
+         n.n_name AS store_name, n.n_name AS city, CAST(NULL AS VARCHAR) AS state_province,
+         r.r_name AS country, r.r_name AS region, 'Standard' AS store_tier,
+         DATE '2020-01-01' AS store_open_date, TRUE AS is_active
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
 p1_device AS (
   SELECT c_custkey AS device_key, c_name AS device_id, CAST(c_nationkey AS BIGINT) AS store_key,
          'v' || CAST(c_custkey % 2 + 1 AS VARCHAR) AS model_version, c_mktsegment AS firmware_version,
+         DATE '2023-06-01' AS install_date, DATE '2026-06-01' AS warranty_expiry, TRUE AS is_active,
          (c_custkey % 10 = 0) AS gdpr_masked
   FROM customer),
 p1_fact AS (
@@ -242,3 +245,442 @@ ORACLE: dict[str, str] = {
     "device_risk_quartiles": DEVICE_RISK_QUARTILES,
     "firmware_compliance": FIRMWARE_COMPLIANCE,
 }
+
+
+# ---------------------------------------------------------------------------
+# Shared CTEs for alerts, anomalies and dashboards (events profile)
+# ---------------------------------------------------------------------------
+
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return str(v)
+    return q(str(v))
+
+
+def _values(rows, cols) -> str:
+    body = ", ".join("(" + ", ".join(_sql_lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) t({', '.join(cols)})"
+
+
+def _alert_cte() -> str:
+    cols = ["alert_type_key", "alert_code", "alert_category", "alert_name", "severity", "auto_shutoff",
+            "notifies_regional", "sla_response_mins"]
+    return f"p1_alert AS (SELECT * FROM {_values(C.ALERT_TYPES, cols)})"
+
+
+def _routing_cte() -> str:
+    from fleetstar.sources.profiles import ROUTING_ROWS
+
+    return f"routing AS (SELECT * FROM {_values(ROUTING_ROWS, ['region', 'manager_name', 'manager_email', 'manager_handle'])})"
+
+
+ALERT_CTE = _alert_cte()
+ROUTING_CTE = _routing_cte()
+
+ALERTED = """
+alerted AS (
+  SELECT f.telemetry_key, f.event_timestamp, f.temperature_celsius, f.max_temp_threshold, f.temp_delta,
+         f.session_duration_secs, d.device_id, d.model_version, d.firmware_version, s.store_id, s.store_name,
+         s.city, s.country, s.region, a.alert_code, a.alert_name, a.severity, a.sla_response_mins
+  FROM p1_fact f JOIN p1_device d ON f.device_key = d.device_key JOIN p1_store s ON f.store_key = s.store_key
+       JOIN p1_alert a ON f.alert_type_key = a.alert_type_key
+  WHERE a.alert_code = 'THERM-CRIT' AND a.notifies_regional)"""
+
+ALERT_SELECT = """
+SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
+       CAST(max_temp_threshold AS DOUBLE) AS max_temp_threshold, CAST(temp_delta AS DOUBLE) AS temp_delta,
+       CAST(session_duration_secs AS BIGINT) AS session_duration_secs, device_id, model_version, firmware_version,
+       store_id, store_name, city, country, region, alert_code, alert_name, severity,
+       CAST(sla_response_mins AS BIGINT) AS sla_response_mins
+FROM alerted"""
+
+
+def _routed() -> str:
+    from fleetstar.sources.profiles import ROUTING_DEFAULT as D
+
+    return f"""
+routed AS (
+  SELECT a.*, COALESCE(r.manager_name, {q(D['manager_name'])}) AS manager_name,
+         COALESCE(r.manager_email, {q(D['manager_email'])}) AS manager_email,
+         COALESCE(r.manager_handle, {q(D['manager_handle'])}) AS manager_handle
+  FROM alerted a LEFT JOIN routing r ON a.region = r.region)"""
+
+
+ROUTED = _routed()
+ALERT_BASE = with_(P1, ALERT_CTE, ROUTING_CTE, ALERTED, ROUTED)
+
+CRITICAL_ALERTS = ALERT_BASE + ALERT_SELECT + " ORDER BY temperature_celsius DESC NULLS LAST, telemetry_key LIMIT 20"
+CRITICAL_ALERTS_ALL = ALERT_BASE + ALERT_SELECT
+CRITICAL_ALERTS_SINCE = ALERT_BASE + """
+SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
+       CAST(max_temp_threshold AS DOUBLE) AS max_temp_threshold, device_id, firmware_version, store_name, city,
+       country, region, alert_code, severity, CAST(sla_response_mins AS BIGINT) AS sla_response_mins
+FROM alerted WHERE event_timestamp >= (SELECT max(event_timestamp) FROM p1_fact) - INTERVAL 7 DAY"""
+
+ROUTED_ALERTS = ALERT_BASE + """
+SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
+       CAST(max_temp_threshold AS DOUBLE) AS max_temp_threshold, CAST(temp_delta AS DOUBLE) AS temp_delta,
+       CAST(session_duration_secs AS BIGINT) AS session_duration_secs, device_id, model_version, firmware_version,
+       store_id, store_name, city, country, region, alert_code, alert_name, severity,
+       CAST(sla_response_mins AS BIGINT) AS sla_response_mins, manager_name, manager_email, manager_handle
+FROM routed"""
+
+_FACT_TEXT = {
+    "Store": "store_name || ' (' || city || ', ' || country || ')'",
+    "Device ID": "device_id",
+    "Firmware": "firmware_version",
+    "Temperature": "COALESCE(CAST(temperature_celsius AS VARCHAR), 'N/A') || '°C  (threshold: ' || "
+                   "COALESCE(CAST(max_temp_threshold AS VARCHAR), 'N/A') || '°C)'",
+    "Overage": "'+' || COALESCE(CAST(temperature_celsius - max_temp_threshold AS VARCHAR), 'N/A') "
+               "|| '°C above safety limit'",
+    "Alert Code": "alert_code",
+    "Severity": "severity",
+    "SLA": "'Response required within ' || CAST(sla_response_mins AS VARCHAR) || ' minutes'",
+    "Timestamp": "strftime(event_timestamp, '%Y-%m-%d %H:%M:%S')",
+    "Region": "region",
+    "Assigned To": "manager_name || ' (' || manager_handle || ')'",
+}
+CARD_FACT_COLUMNS = ["fact_" + t.lower().replace(" ", "_") for t in C.CARD_FACT_TITLES]
+
+ALERT_CARDS = ALERT_BASE + f"""
+SELECT telemetry_key, {q(C.CARD_HEADLINE)} AS headline, CAST({len(C.CARD_FACT_TITLES)} AS BIGINT) AS fact_count,
+       {', '.join(f'{_FACT_TEXT[t]} AS {c}' for t, c in zip(C.CARD_FACT_TITLES, CARD_FACT_COLUMNS))},
+       {q(C.CARD_SHUTOFF_TEXT)} AS shutoff_text, manager_email
+FROM routed"""
+
+EMAIL_ROWS = ALERT_BASE + f"""
+SELECT telemetry_key, manager_email AS recipient,
+       '[CRITICAL] Thermal Alert — ' || store_name || ' — ' || device_id AS subject,
+       {' || chr(10) || '.join(q(t + ': ') + ' || ' + _FACT_TEXT[t] for t in C.CARD_FACT_TITLES)} AS body
+FROM routed"""
+
+OUTBOX_RUN_TS = "2024-02-01 00:00:00"
+NOTIFICATION_OUTBOX = ALERT_BASE + f"""
+SELECT telemetry_key, store_name AS store, device_id AS device, CAST(temperature_celsius AS DOUBLE) AS temperature,
+       region, manager_name AS manager, TIMESTAMP '{OUTBOX_RUN_TS}' AS notified_at, {q(C.OUTBOX_STATUS)} AS status
+FROM routed"""
+
+RETAIN_AS_OF = "2024-02-15 00:00:00"
+RETAIN_ALERT_LOG = ALERT_BASE + ALERT_SELECT + f"""
+WHERE event_timestamp >= TIMESTAMP '{RETAIN_AS_OF}' - INTERVAL 1 MONTH"""
+
+ALERT_ACTIONS = with_(P1, ALERT_CTE) + """
+SELECT f.telemetry_key, a.alert_code, a.severity, a.auto_shutoff, a.notifies_regional, f.event_timestamp,
+       f.event_timestamp + to_minutes(CAST(a.sla_response_mins AS INTEGER)) AS sla_due_ts
+FROM p1_fact f JOIN p1_alert a ON f.alert_type_key = a.alert_type_key"""
+
+# ---------------------------------------------------------------------------
+# Anomaly detector
+# ---------------------------------------------------------------------------
+
+_D = "CAST({} AS DOUBLE)"
+FLAGS = with_(P1, """
+an AS (SELECT * FROM p1_fact WHERE temperature_celsius IS NOT NULL)""", """
+st AS (
+  SELECT avg(CAST(temperature_celsius AS DOUBLE)) AS mu, stddev_samp(CAST(temperature_celsius AS DOUBLE)) AS sd,
+         quantile_cont(CAST(power_draw_watts AS DOUBLE), 0.25) AS p1,
+         quantile_cont(CAST(power_draw_watts AS DOUBLE), 0.75) AS p3,
+         quantile_cont(CAST(session_duration_secs AS DOUBLE), 0.25) AS s1,
+         quantile_cont(CAST(session_duration_secs AS DOUBLE), 0.75) AS s3
+  FROM an)""", """
+fl0 AS (
+  SELECT an.*,
+    COALESCE(abs((CAST(temperature_celsius AS DOUBLE) - mu) / sd) > 2.5, FALSE) AS z_flag,
+    COALESCE(CAST(power_draw_watts AS DOUBLE) < p1 - 1.5 * (p3 - p1)
+             OR CAST(power_draw_watts AS DOUBLE) > p3 + 1.5 * (p3 - p1), FALSE) AS iqr_power_flag,
+    COALESCE(CAST(session_duration_secs AS DOUBLE) < s1 - 1.5 * (s3 - s1)
+             OR CAST(session_duration_secs AS DOUBLE) > s3 + 1.5 * (s3 - s1), FALSE) AS iqr_session_flag,
+    COALESCE(data_quality_flag <> 'CLEAN', FALSE) AS quality_flag
+  FROM an CROSS JOIN st)""", """
+fl AS (
+  SELECT *, z_flag OR iqr_power_flag OR iqr_session_flag OR quality_flag AS is_anomaly_detected,
+         concat_ws(',', CASE WHEN z_flag THEN 'ZSCORE' END, CASE WHEN iqr_power_flag THEN 'IQR_POWER' END,
+                   CASE WHEN iqr_session_flag THEN 'IQR_SESSION' END, CASE WHEN quality_flag THEN 'QUALITY' END)
+           AS anomaly_methods
+  FROM fl0)""")
+
+ZSCORE_FLAGS = FLAGS + " SELECT telemetry_key, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius, z_flag FROM fl"
+IQR_FLAGS = FLAGS + """ SELECT telemetry_key, iqr_power_flag AS iqr_power_draw_watts_flag,
+  iqr_session_flag AS iqr_session_duration_secs_flag FROM fl"""
+COMPOSITE_ANOMALY = FLAGS + """ SELECT telemetry_key, z_flag, iqr_power_flag, iqr_session_flag, quality_flag,
+  is_anomaly_detected, anomaly_methods FROM fl"""
+APPLY_ANOMALY_FLAGS = FLAGS + """
+SELECT f.telemetry_key, COALESCE(fl.is_anomaly_detected, f.is_anomaly) AS is_anomaly
+FROM p1_fact f LEFT JOIN fl ON f.telemetry_key = fl.telemetry_key"""
+ANOMALY_REPORT = FLAGS + """
+SELECT fl.telemetry_key, fl.event_timestamp, d.device_id, s.store_name, s.region,
+       CAST(fl.temperature_celsius AS DOUBLE) AS temperature_celsius,
+       CAST(fl.power_draw_watts AS DOUBLE) AS power_draw_watts,
+       CAST(fl.session_duration_secs AS BIGINT) AS session_duration_secs, fl.data_quality_flag, fl.anomaly_methods
+FROM fl JOIN p1_device d ON fl.device_key = d.device_key JOIN p1_store s ON fl.store_key = s.store_key
+WHERE fl.is_anomaly_detected"""
+_RATE = f"""COUNT(*) AS records_analyzed, COUNT(*) FILTER (WHERE is_anomaly_detected) AS anomalies,
+       {pct2('COUNT(*) FILTER (WHERE is_anomaly_detected)', 'COUNT(*)')} AS anomaly_rate_pct"""
+ANOMALY_RATE_BY_REGION = FLAGS + f"""
+SELECT s.region, {_RATE} FROM fl JOIN p1_store s ON fl.store_key = s.store_key GROUP BY s.region"""
+ANOMALY_RATE_BY_DEVICE = FLAGS + f"""
+SELECT d.device_id, s.store_name, {_RATE}
+FROM fl JOIN p1_device d ON fl.device_key = d.device_key JOIN p1_store s ON fl.store_key = s.store_key
+GROUP BY d.device_key, d.device_id, s.store_name"""
+ANOMALY_SUMMARY = FLAGS + f""",
+reg AS (SELECT s.region, {_RATE} FROM fl JOIN p1_store s ON fl.store_key = s.store_key GROUP BY s.region),
+dev AS (SELECT d.device_id, s.store_name, {_RATE}
+        FROM fl JOIN p1_device d ON fl.device_key = d.device_key JOIN p1_store s ON fl.store_key = s.store_key
+        GROUP BY d.device_key, d.device_id, s.store_name),
+wr AS (SELECT region, anomaly_rate_pct FROM reg ORDER BY anomaly_rate_pct DESC, region LIMIT 1),
+wd AS (SELECT device_id, store_name, anomaly_rate_pct FROM dev
+       ORDER BY anomaly_rate_pct DESC, device_id, store_name LIMIT 1),
+tot AS (SELECT COUNT(*) AS records_analyzed, COUNT(*) FILTER (WHERE is_anomaly_detected) AS anomalies_detected,
+               COUNT(*) FILTER (WHERE z_flag) AS zscore_flags, COUNT(*) FILTER (WHERE iqr_power_flag) AS iqr_power_flags,
+               COUNT(*) FILTER (WHERE iqr_session_flag) AS iqr_session_flags,
+               COUNT(*) FILTER (WHERE quality_flag) AS quality_flags FROM fl)
+SELECT records_analyzed, anomalies_detected, {pct1('anomalies_detected', 'records_analyzed')} AS anomaly_pct,
+       zscore_flags, iqr_power_flags, iqr_session_flags, quality_flags,
+       wr.region AS worst_region, wr.anomaly_rate_pct AS worst_region_pct,
+       wd.device_id AS worst_device, wd.store_name AS worst_device_store, wd.anomaly_rate_pct AS worst_device_pct
+FROM tot, wr, wd"""
+
+# ---------------------------------------------------------------------------
+# Flat extract and dashboards
+# ---------------------------------------------------------------------------
+
+FACT_COLS = ["telemetry_key", "date_key", "device_key", "store_key", "alert_type_key", "event_timestamp",
+             "ingestion_timestamp", "temperature_celsius", "max_temp_threshold", "temp_delta", "is_thermal_spike",
+             "session_duration_secs", "power_draw_watts", "airflow_speed", "gdpr_compliant", "data_quality_flag",
+             "is_anomaly"]
+_FACT_TYPED = {"date_key": "BIGINT", "alert_type_key": "BIGINT", "temperature_celsius": "DOUBLE",
+               "max_temp_threshold": "DOUBLE", "temp_delta": "DOUBLE", "session_duration_secs": "BIGINT",
+               "power_draw_watts": "DOUBLE", "airflow_speed": "BIGINT"}
+
+
+def _typed(prefix: str, c: str) -> str:
+    t = _FACT_TYPED.get(c)
+    return f"CAST({prefix}{c} AS {t}) AS {c}" if t else f"{prefix}{c}"
+
+
+FLAT = """
+flat AS (
+  SELECT f.*, s.store_name, s.city, s.country, s.region, d.device_id, d.model_version, d.firmware_version,
+         monthname(f.full_date) AS month_name, quarter(f.full_date) AS quarter, year(f.full_date) AS year,
+         a.alert_code, a.severity
+  FROM p1_fact f JOIN p1_store s ON f.store_key = s.store_key JOIN p1_device d ON f.device_key = d.device_key
+       LEFT JOIN p1_alert a ON f.alert_type_key = a.alert_type_key)"""
+
+TELEMETRY_EXPORT = with_(P1, ALERT_CTE, FLAT) + f"""
+SELECT {', '.join(_typed('', c) for c in FACT_COLS)}, store_name, city, country, region, device_id, model_version,
+       firmware_version, full_date, month_name, CAST(quarter AS BIGINT) AS quarter, CAST(year AS BIGINT) AS year,
+       alert_code, severity
+FROM flat"""
+
+_RATE_D = "(CAST(SUM(CAST(is_thermal_spike AS INTEGER)) AS DOUBLE) / COUNT(telemetry_key)) * 100.0"
+SPIKE_RATE_MAP = with_(P1, ALERT_CTE, FLAT) + f"""
+SELECT country, city, region, COUNT(telemetry_key) AS readings, {_RATE_D} AS spike_rate_pct,
+       CASE WHEN MIN(store_name) = MAX(store_name) THEN MIN(store_name) ELSE '*' END AS store_name
+FROM flat GROUP BY country, city, region"""
+
+_AVG6 = mean6("SUM(" + cents("temperature_celsius") + ")", "COUNT(temperature_celsius)")
+P2_FLAT = """
+flat AS (SELECT f.* FROM p2_fact f JOIN p2_store s ON f.store_key = s.store_key
+                 JOIN p2_device d ON f.device_key = d.device_key)"""
+
+
+def monthly_health(by_year: bool) -> str:
+    keys = "year(full_date), month(full_date)" if by_year else "month(full_date)"
+    year = "CAST(year(full_date) AS BIGINT) AS year, " if by_year else ""
+    return with_(P2, P2_FLAT) + f"""
+SELECT {year}CAST(month(full_date) AS BIGINT) AS month_number, COUNT(telemetry_key) AS readings, {_AVG6} AS avg_temp,
+       CAST(SUM(session_duration_secs) AS DOUBLE) / COUNT(session_duration_secs) AS avg_session_secs
+FROM flat GROUP BY {keys}"""
+
+
+STORE_VS_GLOBAL = with_(P1, ALERT_CTE, FLAT, f"""
+g AS (SELECT SUM({cents('temperature_celsius')}) AS gs, COUNT(temperature_celsius) AS gn FROM flat)""", f"""
+per AS (SELECT store_name, COUNT(telemetry_key) AS readings, SUM({cents('temperature_celsius')}) AS ts,
+               COUNT(temperature_celsius) AS tn, {_RATE_D} AS spike_rate_pct FROM flat GROUP BY store_name)""") + """
+SELECT store_name, readings, CAST((20000 * ts + tn) // (2 * tn) AS DOUBLE) / 1000000 AS avg_temp, spike_rate_pct,
+       CAST((20000 * gs + gn) // (2 * gn) AS DOUBLE) / 1000000 AS global_avg_temp,
+       CAST((20000 * ts + tn) // (2 * tn) - (20000 * gs + gn) // (2 * gn) AS DOUBLE) / 1000000 AS store_vs_global_diff
+FROM per, g"""
+
+COUNTRY_CITY_DRILL = with_(P1, ALERT_CTE, FLAT) + f"""
+SELECT country, city, CAST(GROUPING(country, city) AS BIGINT) AS level, COUNT(telemetry_key) AS readings,
+       CAST(SUM(CAST(is_thermal_spike AS INTEGER)) AS BIGINT) AS spikes, {_RATE_D} AS spike_rate_pct,
+       {_AVG6} AS avg_temp
+FROM flat GROUP BY ROLLUP (country, city)"""
+
+# ---------------------------------------------------------------------------
+# Quality, governance, dimensions
+# ---------------------------------------------------------------------------
+
+LOAD_SUMMARY = with_(P1) + f"""
+SELECT COUNT(*) AS total_rows,
+       COUNT(*) FILTER (WHERE is_thermal_spike) AS thermal_spikes,
+       {pct1('COUNT(*) FILTER (WHERE is_thermal_spike)', 'COUNT(*)')} AS spike_pct,
+       COUNT(*) FILTER (WHERE is_anomaly) AS anomalies,
+       {pct1('COUNT(*) FILTER (WHERE is_anomaly)', 'COUNT(*)')} AS anomaly_pct,
+       COUNT(*) FILTER (WHERE data_quality_flag <> 'CLEAN') AS dirty_records,
+       {pct1("COUNT(*) FILTER (WHERE data_quality_flag <> 'CLEAN')", 'COUNT(*)')} AS dirty_pct
+FROM p1_fact"""
+
+CLASSIFY_ALERTS = with_(P1) + """
+SELECT telemetry_key, COALESCE(temperature_celsius > max_temp_threshold, FALSE) AS spike_recomputed,
+       CAST(CASE WHEN temperature_celsius IS NULL THEN alert_type_key
+                 WHEN is_thermal_spike AND temperature_celsius > 150 THEN 1
+                 WHEN is_thermal_spike THEN 2 ELSE alert_type_key END AS BIGINT) AS alert_type_key_derived
+FROM p1_fact"""
+
+QUALITY_FLAG_AUDIT = with_(P1) + """
+SELECT telemetry_key, data_quality_flag, is_thermal_spike, spike_recomputed,
+       concat_ws(',', CASE WHEN is_thermal_spike <> spike_recomputed THEN 'SPIKE_FLAG_MISMATCH' END,
+                 CASE WHEN (data_quality_flag = 'MISSING') <> (temperature_celsius IS NULL)
+                      THEN 'MISSING_FLAG_MISMATCH' END) AS reason
+FROM (SELECT *, COALESCE(temperature_celsius > max_temp_threshold, FALSE) AS spike_recomputed FROM p1_fact)
+WHERE is_thermal_spike <> spike_recomputed OR (data_quality_flag = 'MISSING') <> (temperature_celsius IS NULL)"""
+
+TEMP_DELTA = with_(P1) + """
+SELECT telemetry_key,
+       CAST(temperature_celsius - LAST_VALUE(temperature_celsius IGNORE NULLS) OVER (
+              PARTITION BY device_key ORDER BY event_timestamp, telemetry_key
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE) AS temp_delta_derived
+FROM p1_fact"""
+
+_CONFORM = {"temperature_celsius": "DECIMAL(5,2)", "max_temp_threshold": "DECIMAL(5,2)",
+            "temp_delta": "DECIMAL(5,2)", "power_draw_watts": "DECIMAL(6,2)"}
+CONFORM_FACT = with_(P1) + " SELECT " + ", ".join(
+    (f"CAST(CAST({c} AS {_CONFORM[c]}) AS DOUBLE) AS {c}" if c in _CONFORM else _typed('', c)) for c in FACT_COLS
+) + " FROM p1_fact"
+
+COLUMN_PROFILE = with_(P1) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT {q(c)} AS column_name, COUNT({c}) AS non_null_count, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"COUNT(DISTINCT {c}) AS distinct_count FROM p1_fact" for c in FACT_COLS)
+
+QUALITY_BREAKDOWN = with_(P1, """
+per AS (SELECT s.store_key, s.store_name, s.region, f.data_quality_flag, COUNT(*) AS readings
+        FROM p1_fact f JOIN p1_store s ON f.store_key = s.store_key
+        GROUP BY s.store_key, s.store_name, s.region, f.data_quality_flag)""") + f"""
+SELECT store_key, store_name, region, data_quality_flag, readings,
+       {pct2('readings', 'SUM(readings) OVER (PARTITION BY store_key)')} AS share_pct
+FROM per"""
+
+QUALITY_BREAKDOWN_FIRMWARE = with_(P1, """
+per AS (SELECT d.firmware_version, f.data_quality_flag, COUNT(*) AS readings
+        FROM p1_fact f JOIN p1_device d ON f.device_key = d.device_key
+        GROUP BY d.firmware_version, f.data_quality_flag)""") + f"""
+SELECT firmware_version, data_quality_flag, readings,
+       {pct2('readings', 'SUM(readings) OVER (PARTITION BY firmware_version)')} AS share_pct
+FROM per"""
+
+GDPR_REPORT = with_(P1, """
+per AS (SELECT store_key, COUNT(*) AS total_readings, COUNT(*) FILTER (WHERE NOT gdpr_compliant) AS non_compliant
+        FROM p1_fact GROUP BY store_key)""", """
+masked AS (SELECT store_key, COUNT(*) FILTER (WHERE gdpr_masked) AS masked_devices FROM p1_device GROUP BY store_key)""") + f"""
+SELECT s.store_name, s.region, per.total_readings, per.non_compliant,
+       {pct2('per.non_compliant', 'per.total_readings')} AS non_compliant_pct,
+       COALESCE(masked.masked_devices, 0) AS masked_devices
+FROM per JOIN p1_store s ON per.store_key = s.store_key LEFT JOIN masked ON per.store_key = masked.store_key"""
+
+
+def _rule_sql(r, table_of) -> str:
+    t = table_of[r.table]
+    if r.kind == "not_null":
+        expr, src = f"COUNT(*) FILTER (WHERE {r.column} IS NULL)", t
+    elif r.kind == "max_length":
+        expr, src = f"COUNT(*) FILTER (WHERE length({r.column}) > {r.arg})", t
+    elif r.kind == "domain":
+        vals = ", ".join(q(v) for v in r.arg)
+        expr, src = f"COUNT(*) FILTER (WHERE {r.column} NOT IN ({vals}))", t
+    elif r.kind == "missing_iff_null":
+        expr, src = "COUNT(*) FILTER (WHERE (data_quality_flag = 'MISSING') <> (temperature_celsius IS NULL))", t
+    elif r.kind == "duplicate":
+        expr = "COALESCE(SUM(n - 1), 0)"
+        src = f"(SELECT {r.column}, COUNT(*) AS n FROM {t} GROUP BY {r.column} HAVING COUNT(*) > 1)"
+    elif r.kind == "orphan":
+        parent, pcol = r.arg
+        expr = "COUNT(*)"
+        src = (f"{t} c WHERE c.{r.column} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM {table_of[parent]} p WHERE p.{pcol} = c.{r.column})")
+    elif r.kind == "store_matches_device":
+        expr = "COUNT(*)"
+        src = (f"{t} f JOIN {table_of['device']} d ON f.device_key = d.device_key "
+               "WHERE f.store_key IS DISTINCT FROM d.store_key")
+    else:
+        raise ValueError(r.kind)
+    return f"SELECT {q(r.name)} AS rule, {q(r.table)} AS table_name, CAST({expr} AS BIGINT) AS violations FROM {src}"
+
+
+def _check_constraints() -> str:
+    from fleetstar import schemas as S
+    from fleetstar.operators.quality import default_rules
+
+    cols = {"fact": S.FACT_COLUMNS + ["full_date"], "store": [f.name for f in S.STORE.fields],
+            "device": [f.name for f in S.DEVICE.fields], "alert": [f.name for f in S.ALERT.fields]}
+    table_of = {"fact": "p1_fact", "store": "p1_store", "device": "p1_device", "alert": "p1_alert"}
+    rules = default_rules(cols)
+    return with_(P1, ALERT_CTE) + "\n" + "\nUNION ALL\n".join(_rule_sql(r, table_of) for r in rules)
+
+
+CHECK_CONSTRAINTS = _check_constraints()
+
+DATE_DIMENSION = with_(P2, """
+days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+         FROM (SELECT min(full_date) AS lo, max(full_date) AS hi FROM p2_fact))""") + """
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS date_key, d AS full_date,
+       dayname(d) AS day_of_week, CAST(isodow(d) AS BIGINT) AS day_number, CAST(weekofyear(d) AS BIGINT) AS week_number,
+       CAST(month(d) AS BIGINT) AS month_number, monthname(d) AS month_name, CAST(quarter(d) AS BIGINT) AS quarter,
+       CAST(year(d) AS BIGINT) AS year, isodow(d) >= 6 AS is_weekend,
+       'FY' || CAST(year(d) AS VARCHAR) || '-Q' || CAST(quarter(d) AS VARCHAR) AS fiscal_period
+FROM days"""
+
+_DEV_COLS = "device_key, device_id, store_key, model_version, firmware_version, gdpr_masked"
+DEVICE_UPSERT = with_(P1, f"""
+target AS (SELECT {_DEV_COLS} FROM p1_device
+           WHERE device_key IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0))""", f"""
+incoming AS (SELECT {', '.join('d.' + c.strip() for c in _DEV_COLS.split(','))}
+             FROM events e JOIN p1_device d ON e.user_id = d.device_key)""", """
+fresh AS (SELECT DISTINCT * FROM incoming WHERE device_id NOT IN (SELECT device_id FROM target))""")
+INSERT_IF_ABSENT = DEVICE_UPSERT + " SELECT * FROM target UNION ALL SELECT * FROM fresh"
+ASSIGN_SURROGATE_KEYS = DEVICE_UPSERT + """
+SELECT device_id, (SELECT max(device_key) FROM target) + ROW_NUMBER() OVER (ORDER BY device_id, device_key)
+         AS new_device_key
+FROM fresh"""
+
+ORACLE.update({
+    "critical_alerts": CRITICAL_ALERTS,
+    "critical_alerts_all": CRITICAL_ALERTS_ALL,
+    "critical_alerts_since": CRITICAL_ALERTS_SINCE,
+    "routed_alerts": ROUTED_ALERTS,
+    "alert_cards": ALERT_CARDS,
+    "email_rows": EMAIL_ROWS,
+    "notification_outbox": NOTIFICATION_OUTBOX,
+    "retain_alert_log": RETAIN_ALERT_LOG,
+    "alert_actions": ALERT_ACTIONS,
+    "zscore_flags": ZSCORE_FLAGS,
+    "iqr_flags": IQR_FLAGS,
+    "composite_anomaly": COMPOSITE_ANOMALY,
+    "apply_anomaly_flags": APPLY_ANOMALY_FLAGS,
+    "anomaly_report": ANOMALY_REPORT,
+    "anomaly_rate_by_region": ANOMALY_RATE_BY_REGION,
+    "anomaly_rate_by_device": ANOMALY_RATE_BY_DEVICE,
+    "anomaly_summary": ANOMALY_SUMMARY,
+    "telemetry_export": TELEMETRY_EXPORT,
+    "spike_rate_map": SPIKE_RATE_MAP,
+    "monthly_operational_health": monthly_health(False),
+    "monthly_operational_health_by_year": monthly_health(True),
+    "store_vs_global": STORE_VS_GLOBAL,
+    "country_city_drill": COUNTRY_CITY_DRILL,
+    "load_summary": LOAD_SUMMARY,
+    "classify_alerts": CLASSIFY_ALERTS,
+    "quality_flag_audit": QUALITY_FLAG_AUDIT,
+    "temp_delta": TEMP_DELTA,
+    "conform_fact": CONFORM_FACT,
+    "column_profile": COLUMN_PROFILE,
+    "quality_breakdown": QUALITY_BREAKDOWN,
+    "quality_breakdown_firmware": QUALITY_BREAKDOWN_FIRMWARE,
+    "gdpr_report": GDPR_REPORT,
+    "check_constraints": CHECK_CONSTRAINTS,
+    "date_dimension": DATE_DIMENSION,
+    "insert_if_absent": INSERT_IF_ABSENT,
+    "assign_surrogate_keys": ASSIGN_SURROGATE_KEYS,
+})

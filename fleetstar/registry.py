@@ -54,3 +54,125 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "device_risk_quartiles": _p1(lambda s: fleet.device_risk_quartiles(s.fact, s.device, s.store)),
     "firmware_compliance": _p2(lambda s: fleet.firmware_compliance(s.fact, s.device)),
 }
+
+
+# ---------------------------------------------------------------------------
+# Alerts, anomalies, dashboards, quality, dimensions (events profile unless noted)
+# ---------------------------------------------------------------------------
+
+from fleetstar.operators import alerts as A  # noqa: E402
+from fleetstar.operators import anomaly as N  # noqa: E402
+from fleetstar.operators import dashboards as D  # noqa: E402
+from fleetstar.operators import dims as M  # noqa: E402
+from fleetstar.operators import governance as G  # noqa: E402
+from fleetstar.operators import quality as Q  # noqa: E402
+from fleetstar import schemas as S  # noqa: E402
+from fleetstar.oracle import CARD_FACT_COLUMNS, OUTBOX_RUN_TS, RETAIN_AS_OF  # noqa: E402
+from fleetstar.sources.profiles import read_table, routing_table  # noqa: E402
+
+
+def _routed(spark, s):
+    routing, default = routing_table(spark)
+    return A.route_alerts(A.critical_alerts(s.fact, s.device, s.store, s.alert, k=None), routing, default)
+
+
+def _since(s):
+    as_of = s.fact.select(F.max("event_timestamp")).scalar()
+    return A.critical_alerts_since(s.fact, s.device, s.store, s.alert, as_of=as_of, minutes=7 * 24 * 60)
+
+
+def _cards(spark, s):
+    cards = A.alert_cards(_routed(spark, s))
+    facts = [F.get_json_object("card_json", f"$.body[1].facts[{i}].value").alias(c)
+             for i, c in enumerate(CARD_FACT_COLUMNS)]
+    return cards.select("telemetry_key",
+                        F.get_json_object("card_json", "$.body[0].text").alias("headline"),
+                        F.json_array_length(F.get_json_object("card_json", "$.body[1].facts")).cast("long")
+                        .alias("fact_count"),
+                        *facts,
+                        F.get_json_object("card_json", "$.body[2].text").alias("shutoff_text"),
+                        "manager_email")
+
+
+def _p1s(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(fn(spark, event_star(spark, sf_dir)))
+    return run
+
+
+def _device_sets(spark, sf_dir, s):
+    cols = ["device_key", "device_id", "store_key", "model_version", "firmware_version", "gdpr_masked"]
+    # Registry so far: accounts in good standing; incoming: every device that reported.
+    good = (read_table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+            .select(F.col("c_custkey").alias("device_key")))
+    target = s.device.join(good, "device_key", "left_semi").select(*cols)
+    ev = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("device_key"))
+    incoming = ev.join(s.device, "device_key").select(*cols)
+    return target, incoming
+
+
+def _insert_if_absent(spark, sf_dir):
+    s = event_star(spark, sf_dir)
+    target, incoming = _device_sets(spark, sf_dir, s)
+    return present(M.insert_if_absent(target, incoming, "device_id"))
+
+
+def _assign_keys(spark, sf_dir):
+    s = event_star(spark, sf_dir)
+    target, incoming = _device_sets(spark, sf_dir, s)
+    fresh = M.new_rows(target, incoming, "device_id")
+    top = target.select(F.max("device_key")).scalar()
+    keyed = M.assign_surrogate_keys(fresh, top, "new_device_key", [("device_id", True), ("device_key", True)])
+    return present(keyed.select("device_id", "new_device_key"))
+
+
+def _p2_flat(s):
+    return D.telemetry_export(s.fact, s.store, s.device, s.alert)
+
+
+QUERIES.update({
+    "critical_alerts": _p1(lambda s: A.critical_alerts(s.fact, s.device, s.store, s.alert)),
+    "critical_alerts_all": _p1(lambda s: A.critical_alerts(s.fact, s.device, s.store, s.alert, k=None)),
+    "critical_alerts_since": _p1(_since),
+    "routed_alerts": _p1s(lambda spark, s: _routed(spark, s).select(*A.ALERT_COLUMNS, "manager_name",
+                                                                    "manager_email", "manager_handle")),
+    "alert_cards": _p1s(_cards),
+    "email_rows": _p1s(lambda spark, s: A.email_rows(_routed(spark, s))),
+    "notification_outbox": _p1s(lambda spark, s: A.notification_outbox(_routed(spark, s), OUTBOX_RUN_TS)),
+    "retain_alert_log": _p1(lambda s: A.retain(A.critical_alerts(s.fact, s.device, s.store, s.alert, k=None),
+                                                "event_timestamp", months=1, as_of=RETAIN_AS_OF)),
+    "alert_actions": _p1(lambda s: A.alert_actions(s.fact, s.alert)),
+    "zscore_flags": _p1(lambda s: N.zscore_flags(s.fact)),
+    "iqr_flags": _p1(lambda s: N.iqr_flags(s.fact)),
+    "composite_anomaly": _p1(lambda s: N.composite_anomaly(s.fact).select(
+        "telemetry_key", "z_flag", "iqr_power_flag", "iqr_session_flag", "quality_flag", "is_anomaly_detected",
+        "anomaly_methods")),
+    "apply_anomaly_flags": _p1(lambda s: N.refresh_anomaly_flags(s.fact).select("telemetry_key", "is_anomaly")),
+    "anomaly_report": _p1(lambda s: N.anomaly_report(s.fact, s.device, s.store)),
+    "anomaly_rate_by_region": _p1(lambda s: N.anomaly_rate_by_region(s.fact, s.store)),
+    "anomaly_rate_by_device": _p1(lambda s: N.anomaly_rate_by_device(s.fact, s.device, s.store)),
+    "anomaly_summary": _p1(lambda s: N.anomaly_summary(s.fact, s.device, s.store)),
+    "telemetry_export": _p1(lambda s: D.telemetry_export(s.fact, s.store, s.device, s.alert)),
+    "spike_rate_map": _p1(lambda s: D.spike_rate_map(D.telemetry_export(s.fact, s.store, s.device, s.alert))),
+    "monthly_operational_health": _p2(lambda s: D.monthly_operational_health(_p2_flat(s))),
+    "monthly_operational_health_by_year": _p2(lambda s: D.monthly_operational_health(_p2_flat(s), by_year=True)),
+    "store_vs_global": _p1(lambda s: D.store_vs_global(D.telemetry_export(s.fact, s.store, s.device, s.alert))),
+    "country_city_drill": _p1(lambda s: D.country_city_drill(
+        D.telemetry_export(s.fact, s.store, s.device, s.alert))),
+    "load_summary": _p1(lambda s: G.load_summary(s.fact)),
+    "classify_alerts": _p1(lambda s: Q.classify_alert(Q.spike_flag(s.fact), crit=150).select(
+        "telemetry_key", "spike_recomputed", "alert_type_key_derived")),
+    "quality_flag_audit": _p1(lambda s: Q.quality_flag_audit(s.fact)),
+    "temp_delta": _p1(lambda s: Q.temp_delta(s.fact).select("telemetry_key", "temp_delta_derived")),
+    "conform_fact": _p1(lambda s: Q.conform_schema(s.fact, S.FACT)),
+    "column_profile": _p1(lambda s: Q.column_profile(s.fact.select(*S.FACT_COLUMNS), exact=True)
+                          .drop("data_type")),
+    "quality_breakdown": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, by="store")),
+    "quality_breakdown_firmware": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, s.device, by="firmware")),
+    "gdpr_report": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store)),
+    "check_constraints": _p1(lambda s: Q.check_constraints(
+        {"fact": s.fact, "store": s.store, "device": s.device, "alert": s.alert})),
+    "date_dimension": _p2(lambda s: M.date_dimension_covering(s.fact)),
+    "insert_if_absent": _insert_if_absent,
+    "assign_surrogate_keys": _assign_keys,
+})

@@ -43,17 +43,21 @@ def alert_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(C.ALERT_TYPES, schema=S.ALERT)
 
 
+# Invented regional managers for the driver's region names; regions without a
+# row (here MIDDLE EAST) are routed to the default contact.
+ROUTING_ROWS = [
+    ("AFRICA", "Amara Okafor", "amara.okafor@example.com", "@amara.okafor"),
+    ("AMERICA", "Lucas Moreau", "lucas.moreau@example.com", "@lucas.moreau"),
+    ("ASIA", "Mei Lin", "mei.lin@example.com", "@mei.lin"),
+    ("EUROPE", "Jonas Berg", "jonas.berg@example.com", "@jonas.berg"),
+]
+ROUTING_DEFAULT = {"manager_name": "Fleet Operations Desk", "manager_email": "fleet.ops@example.com",
+                   "manager_handle": "@fleet.ops"}
+
+
 def routing_table(spark: SparkSession) -> tuple[DataFrame, dict]:
-    """Invented regional managers for the driver's region names, plus a default."""
-    rows = [
-        ("AFRICA", "Amara Okafor", "amara.okafor@example.com", "@amara.okafor"),
-        ("AMERICA", "Lucas Moreau", "lucas.moreau@example.com", "@lucas.moreau"),
-        ("ASIA", "Mei Lin", "mei.lin@example.com", "@mei.lin"),
-        ("EUROPE", "Jonas Berg", "jonas.berg@example.com", "@jonas.berg"),
-    ]
-    default = {"manager_name": "Fleet Operations Desk", "manager_email": "fleet.ops@example.com",
-               "manager_handle": "@fleet.ops"}
-    return spark.createDataFrame(rows, schema=S.ROUTING), default
+    """Routing rows (region -> manager) and the default contact."""
+    return spark.createDataFrame(ROUTING_ROWS, schema=S.ROUTING), dict(ROUTING_DEFAULT)
 
 
 def _nation_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
