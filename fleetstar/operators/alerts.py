@@ -134,10 +134,10 @@ def email_rows(routed: DataFrame) -> DataFrame:
                          body.alias("body"))
 
 
-def notification_outbox(routed: DataFrame, run_ts) -> DataFrame:
-    """Audit rows for the outbox: one per alert, status PENDING."""
+def notification_outbox(routed: DataFrame, run_ts, keep=()) -> DataFrame:
+    """Audit rows for the outbox: one per alert, status PENDING (plus ``keep`` columns)."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp_ntz")
-    return routed.select(
+    return routed.select(*keep,
         "telemetry_key",
         F.col("store_name").alias("store"),
         F.col("device_id").alias("device"),

@@ -684,3 +684,28 @@ ORACLE.update({
     "insert_if_absent": INSERT_IF_ABSENT,
     "assign_surrogate_keys": ASSIGN_SURROGATE_KEYS,
 })
+
+# ---------------------------------------------------------------------------
+# Streaming (the stream runs to completion; its sink is read back)
+# ---------------------------------------------------------------------------
+
+STREAM_ALERT_OUTBOX = ALERT_BASE + f"""
+SELECT telemetry_key, store_name AS store, device_id AS device, CAST(temperature_celsius AS DOUBLE) AS temperature,
+       region, manager_name AS manager, {q(C.OUTBOX_STATUS)} AS status
+FROM routed"""
+
+# Append mode emits a window once the watermark (max event time of the
+# alert stream minus the 15-minute delay) has passed its end.
+STREAM_ALERT_WINDOW_COUNTS = with_(P1, ALERT_CTE, ALERTED) + """
+SELECT time_bucket(INTERVAL 15 MINUTE, event_timestamp) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, event_timestamp) + INTERVAL 15 MINUTE AS window_end,
+       COUNT(*) AS alerts
+FROM alerted
+GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 15 MINUTE, event_timestamp) + INTERVAL 15 MINUTE
+       <= (SELECT max(event_timestamp) FROM alerted) - INTERVAL 15 MINUTE"""
+
+ORACLE.update({
+    "stream_alert_outbox": STREAM_ALERT_OUTBOX,
+    "stream_alert_window_counts": STREAM_ALERT_WINDOW_COUNTS,
+})

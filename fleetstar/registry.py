@@ -176,3 +176,30 @@ QUERIES.update({
     "insert_if_absent": _insert_if_absent,
     "assign_surrogate_keys": _assign_keys,
 })
+
+
+# ---------------------------------------------------------------------------
+# Streaming: drain the file source once (availableNow) and read the sink back
+# ---------------------------------------------------------------------------
+
+from fleetstar.session import scratch_path  # noqa: E402
+from fleetstar import streaming as ST  # noqa: E402
+
+
+def _stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outbox, ckpt = scratch_path(spark, "outbox"), scratch_path(spark, "outbox-ckpt")
+    ST.run_alert_outbox(spark, sf_dir, sf_dir, outbox, ckpt, glob="events.parquet")
+    return present(spark.read.parquet(outbox).select(
+        "telemetry_key", "store", "device", "temperature", "region", "manager", "status"))
+
+
+def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, ckpt = scratch_path(spark, "alert-counts"), scratch_path(spark, "alert-counts-ckpt")
+    ST.run_alert_window_counts(spark, sf_dir, sf_dir, out, ckpt, glob="events.parquet")
+    return present(spark.read.parquet(out))
+
+
+QUERIES.update({
+    "stream_alert_outbox": _stream_outbox,
+    "stream_alert_window_counts": _stream_counts,
+})

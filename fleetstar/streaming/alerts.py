@@ -57,8 +57,9 @@ def critical_alert_stream(spark: SparkSession, events_dir: str, dims_dir: str, g
     if routing is None:
         routing, default = routing_table(spark)
     routed = route_alerts(alerts, routing, default)
-    return (notification_outbox(routed.withColumn("_now", F.localtimestamp()), F.col("_now"))
-            .withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")))
+    routed = (routed.withColumn("_now", F.localtimestamp())
+              .withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")))
+    return notification_outbox(routed, F.col("_now"), keep=("event_month",))
 
 
 class OutboxWriter:
