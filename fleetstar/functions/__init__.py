@@ -1,3 +1,4 @@
 from fleetstar.functions.exprs import (  # noqa: F401
-    calendar_columns, count_true, date_key, exact_pct, mean_rounded, mean_exact, as_double,
+    calendar_columns, cents, count_true, date_key, exact_pct, mean_exact, mean_from_cents, mean_rounded,
+    sum_cents, as_double,
 )

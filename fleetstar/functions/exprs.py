@@ -26,9 +26,30 @@ def mean_exact(total: Column, n: Column) -> Column:
     return F.try_divide(total, n.cast("decimal(20,0)"))
 
 
+def cents(value: Column, scale: int = 2) -> Column:
+    """A 2-decimal value as an exact integer count of hundredths."""
+    return (value * F.lit(10 ** scale)).cast("long")
+
+
+def sum_cents(value: Column, scale: int = 2) -> Column:
+    """SUM of a 2-decimal column on the fast 64-bit path.
+
+    Summing ``decimal(10,2)`` directly widens to ``decimal(20,2)``, which
+    Spark aggregates with arbitrary-precision objects; integer hundredths
+    stay in whole-stage code and are exact (overflow raises under ANSI mode).
+    """
+    return F.sum(cents(value, scale))
+
+
+def mean_from_cents(total_cents: Column, n: Column, scale: int = 2) -> Column:
+    """Exact decimal mean of a sum of hundredths over a count (NULL if n = 0)."""
+    return F.try_divide(total_cents.cast("decimal(20,0)"),
+                        (n * F.lit(10 ** scale)).cast("decimal(22,0)"))
+
+
 def mean_rounded(value: Column, scale: int = 2) -> Column:
-    """ROUND(AVG(value), scale) without Spark's intermediate 6-digit rounding."""
-    return F.round(mean_exact(F.sum(value), F.count(value)), scale)
+    """ROUND(AVG(value), scale) of a 2-decimal column, exact."""
+    return F.round(mean_from_cents(sum_cents(value), F.count(value)), scale)
 
 
 def date_key(d: Column) -> Column:

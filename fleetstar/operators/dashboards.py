@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetstar import schemas as S
-from fleetstar.functions.exprs import calendar_columns, mean_exact
+from fleetstar.functions.exprs import calendar_columns, mean_from_cents, sum_cents
 from fleetstar.operators.common import fact_date
 from fleetstar.plans.joins import join_dim
 
@@ -47,7 +47,7 @@ def monthly_operational_health(flat: DataFrame, by_year: bool = False) -> DataFr
         keys = [F.year("full_date").alias("year")] + keys
     return (flat.groupBy(*keys)
             .agg(F.count("telemetry_key").alias("readings"),
-                 F.round(mean_exact(F.sum("temperature_celsius"), F.count("temperature_celsius")), 6)
+                 F.round(mean_from_cents(sum_cents(F.col("temperature_celsius")), F.count("temperature_celsius")), 6)
                  .alias("avg_temp"),
                  F.try_divide(F.sum("session_duration_secs").cast("double"),
                               F.count("session_duration_secs").cast("double")).alias("avg_session_secs")))
@@ -56,10 +56,10 @@ def monthly_operational_health(flat: DataFrame, by_year: bool = False) -> DataFr
 def store_vs_global(flat: DataFrame, key: str = "store_name") -> DataFrame:
     """Each store's mean temperature against the record-weighted fleet mean."""
     t = F.col("temperature_celsius")
-    global_avg = flat.select(F.round(mean_exact(F.sum(t), F.count(t)), 6)).scalar()
+    global_avg = flat.select(F.round(mean_from_cents(sum_cents(t), F.count(t)), 6)).scalar()
     per = (flat.groupBy(key)
            .agg(F.count("telemetry_key").alias("readings"),
-                F.round(mean_exact(F.sum(t), F.count(t)), 6).alias("avg_temp"),
+                F.round(mean_from_cents(sum_cents(t), F.count(t)), 6).alias("avg_temp"),
                 _rate(flat).alias("spike_rate_pct"))
            .withColumn("global_avg_temp", global_avg))
     return (per.withColumn("store_vs_global_diff", F.col("avg_temp") - F.col("global_avg_temp"))
@@ -74,4 +74,4 @@ def country_city_drill(flat: DataFrame) -> DataFrame:
                  F.count("telemetry_key").alias("readings"),
                  F.sum(F.col("is_thermal_spike").cast("int")).cast("long").alias("spikes"),
                  _rate(flat).alias("spike_rate_pct"),
-                 F.round(mean_exact(F.sum(t), F.count(t)), 6).alias("avg_temp")))
+                 F.round(mean_from_cents(sum_cents(t), F.count(t)), 6).alias("avg_temp")))

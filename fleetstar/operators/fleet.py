@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetstar import constants as C
-from fleetstar.functions.exprs import count_true, exact_pct, mean_exact
+from fleetstar.functions.exprs import count_true, exact_pct, mean_from_cents, sum_cents
 from fleetstar.operators.common import fact_date, label
 from fleetstar.plans.joins import join_dim
 from fleetstar.plans.ordinal import global_rank
@@ -23,7 +23,7 @@ def _store_rates(fact: DataFrame, store: DataFrame) -> DataFrame:
     per_store = (fact.groupBy("store_key")
                  .agg(F.count(F.lit(1)).alias("total_readings"),
                       count_true(F.col("is_thermal_spike")).alias("spike_count"),
-                      F.sum(F.col("temperature_celsius")).alias("_temp_sum"),
+                      sum_cents(F.col("temperature_celsius")).alias("_temp_sum"),
                       F.count(F.col("temperature_celsius")).alias("_temp_n"),
                       F.max(F.col("temperature_celsius")).alias("max_temp_recorded"))
                  .withColumn("spike_rate_pct", exact_pct(F.col("spike_count"), F.col("total_readings"))))
@@ -37,7 +37,7 @@ def high_risk_stores(fact: DataFrame, store: DataFrame, min_rate: float = C.HIGH
     return rates.select(
         "store_id", "store_name", "city", "country", "region", "total_readings", "spike_count",
         "spike_rate_pct",
-        F.round(mean_exact(F.col("_temp_sum"), F.col("_temp_n")), 6).alias("avg_temp"),
+        F.round(mean_from_cents(F.col("_temp_sum"), F.col("_temp_n")), 6).alias("avg_temp"),
         "max_temp_recorded")
 
 
@@ -45,10 +45,10 @@ def device_health(fact: DataFrame, device: DataFrame, store: DataFrame) -> DataF
     """Per device and store: sessions, mean temperature/session/power, anomaly and dirty counts."""
     per = (fact.groupBy("device_key", "store_key")
            .agg(F.count(F.lit(1)).alias("n"),
-                F.sum(F.col("temperature_celsius")).alias("t_sum"), F.count(F.col("temperature_celsius")).alias("t_n"),
+                sum_cents(F.col("temperature_celsius")).alias("t_sum"), F.count(F.col("temperature_celsius")).alias("t_n"),
                 F.sum("session_duration_secs").alias("s_sum"),
                 F.count("session_duration_secs").alias("s_n"),
-                F.sum("power_draw_watts").alias("p_sum"), F.count("power_draw_watts").alias("p_n"),
+                sum_cents(F.col("power_draw_watts")).alias("p_sum"), F.count("power_draw_watts").alias("p_n"),
                 count_true(F.col("is_anomaly")).alias("a"),
                 count_true(F.col("data_quality_flag") != "CLEAN").alias("d")))
     per = join_dim(per, device.select("device_key", "device_id", "model_version", "firmware_version"),
@@ -60,9 +60,9 @@ def device_health(fact: DataFrame, device: DataFrame, store: DataFrame) -> DataF
     return agg.select(
         "device_id", "model_version", "firmware_version", "store_name", "region",
         F.col("n").alias("total_sessions"),
-        F.round(mean_exact(F.col("t_sum"), F.col("t_n")), 6).alias("avg_temp"),
+        F.round(mean_from_cents(F.col("t_sum"), F.col("t_n")), 6).alias("avg_temp"),
         F.try_divide(F.col("s_sum").cast("double"), F.col("s_n").cast("double")).alias("avg_session_secs"),
-        F.round(mean_exact(F.col("p_sum"), F.col("p_n")), 6).alias("avg_power_watts"),
+        F.round(mean_from_cents(F.col("p_sum"), F.col("p_n")), 6).alias("avg_power_watts"),
         F.col("a").alias("anomaly_count"),
         F.col("d").alias("dirty_record_count"))
 
@@ -101,14 +101,14 @@ def mom_temp_trend(fact: DataFrame, store: DataFrame, warm: float = C.TREND_WARM
     d = fact_date(fact)
     monthly = (fact.filter(F.col("temperature_celsius").isNotNull())
                .groupBy("store_key", F.year(d).alias("year"), F.month(d).alias("month_number"))
-               .agg(F.sum(F.col("temperature_celsius")).alias("s"), F.count(F.col("temperature_celsius")).alias("n")))
+               .agg(sum_cents(F.col("temperature_celsius")).alias("s"), F.count(F.col("temperature_celsius")).alias("n")))
     monthly = join_dim(monthly, store.select("store_key", "store_name", "region"), "store_key")
     group = ["store_name", "region", "year", "month_number"]
     if key == "store_key":
         group = ["store_key"] + group
     monthly = (monthly.groupBy(*group)
                .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-               .withColumn("avg_temp", F.round(mean_exact(F.col("s"), F.col("n")), 2))
+               .withColumn("avg_temp", F.round(mean_from_cents(F.col("s"), F.col("n")), 2))
                .withColumn("month_name", F.date_format(F.make_date("year", "month_number", F.lit(1)), "MMMM")))
     w = Window.partitionBy(key).orderBy("year", "month_number", "region")
     trend = (monthly.withColumn("prev_month_temp", F.lag("avg_temp").over(w))
@@ -196,7 +196,7 @@ def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
     """Per-device spike rate over non-NULL readings, NTILE by rate (ties by device)."""
     per = (fact.filter(F.col("temperature_celsius").isNotNull())
            .groupBy("device_key", "store_key")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+           .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
                 count_true(F.col("is_thermal_spike")).alias("sp")))
     per = join_dim(per, device.select("device_key", "device_id", "model_version", "firmware_version"),
                    "device_key")
@@ -204,7 +204,7 @@ def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
     keys = ["device_key", "device_id", "model_version", "firmware_version", "store_name", "region"]
     agg = (per.groupBy(*keys).agg(F.sum("n").alias("total_sessions"), F.sum("t").alias("t"),
                                   F.sum("tn").alias("tn"), F.sum("sp").alias("total_spikes"))
-           .withColumn("avg_temp", F.round(mean_exact(F.col("t"), F.col("tn")), 2))
+           .withColumn("avg_temp", F.round(mean_from_cents(F.col("t"), F.col("tn")), 2))
            .withColumn("spike_rate_pct", exact_pct(F.col("total_spikes"), F.col("total_sessions"))))
     ranked = global_rank(agg, "ntile", [("spike_rate_pct", False)], "risk_quartile",
                          tiebreak=[("device_id", True), ("device_key", True)], buckets=buckets)
@@ -221,16 +221,16 @@ def firmware_compliance(fact: DataFrame, device: DataFrame, fail: float = C.FIRM
     """Per firmware version: devices, readings, spike rate, DENSE_RANK and status."""
     per = (fact.filter(F.col("temperature_celsius").isNotNull())
            .groupBy("device_key")
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
-                count_true(F.col("is_thermal_spike")).alias("sp"), F.sum("power_draw_watts").alias("p"),
+           .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+                count_true(F.col("is_thermal_spike")).alias("sp"), sum_cents(F.col("power_draw_watts")).alias("p"),
                 F.count("power_draw_watts").alias("pn")))
     per = join_dim(per, device.select("device_key", "device_id", "firmware_version"), "device_key")
     agg = (per.groupBy("firmware_version")
            .agg(F.countDistinct("device_id").alias("device_count"),
                 F.sum("n").alias("total_readings"),
-                F.round(mean_exact(F.sum("t"), F.sum("tn")), 2).alias("avg_temp"),
+                F.round(mean_from_cents(F.sum("t"), F.sum("tn")), 2).alias("avg_temp"),
                 F.sum("sp").alias("total_spikes"),
-                F.round(mean_exact(F.sum("p"), F.sum("pn")), 2).alias("avg_power_watts"))
+                F.round(mean_from_cents(F.sum("p"), F.sum("pn")), 2).alias("avg_power_watts"))
            .withColumn("spike_rate_pct", exact_pct(F.col("total_spikes"), F.col("total_readings"))))
     ranked = global_rank(agg, "dense_rank", [("spike_rate_pct", False)], "compliance_rank")
     status = label([(F.col("spike_rate_pct") > fail, C.FIRMWARE_LABELS[0]),
