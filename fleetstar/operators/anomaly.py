@@ -128,30 +128,44 @@ def anomaly_report(fact: DataFrame, device: DataFrame, store: DataFrame, **kw) -
                           "data_quality_flag", "anomaly_methods")
 
 
-def _rate_rows(flags: DataFrame, by: list[str]) -> DataFrame:
-    return (flags.groupBy(*by)
+_COUNTS = ["records_analyzed", "anomalies", "zscore_flags", "iqr_power_flags", "iqr_session_flags",
+           "quality_flags"]
+
+
+def flag_counts(fact: DataFrame, **kw) -> DataFrame:
+    """Detector verdicts counted per (device, store): the one pass every report reuses."""
+    flags = composite_anomaly(fact, **kw)
+    return (flags.groupBy("device_key", "store_key")
             .agg(F.count(F.lit(1)).alias("records_analyzed"),
-                 count_true(F.col("is_anomaly_detected")).alias("anomalies"))
+                 count_true(F.col("is_anomaly_detected")).alias("anomalies"),
+                 count_true(F.col("z_flag")).alias("zscore_flags"),
+                 count_true(F.col("iqr_power_flag")).alias("iqr_power_flags"),
+                 count_true(F.col("iqr_session_flag")).alias("iqr_session_flags"),
+                 count_true(F.col("quality_flag")).alias("quality_flags")))
+
+
+def _rates(counts: DataFrame, by: list[str]) -> DataFrame:
+    return (counts.groupBy(*by).agg(F.sum("records_analyzed").alias("records_analyzed"),
+                                    F.sum("anomalies").alias("anomalies"))
             .withColumn("anomaly_rate_pct", exact_pct(F.col("anomalies"), F.col("records_analyzed"))))
 
 
-def anomaly_rate_by_region(fact: DataFrame, store: DataFrame, **kw) -> DataFrame:
-    per_store = _rate_rows(composite_anomaly(fact, **kw), ["store_key"])
-    per_store = join_dim(per_store, store.select("store_key", "region"), "store_key")
-    return _rate_rows_sum(per_store, ["region"])
+def _region_rates(counts: DataFrame, store: DataFrame) -> DataFrame:
+    return _rates(join_dim(counts, store.select("store_key", "region"), "store_key"), ["region"])
 
 
-def _rate_rows_sum(df: DataFrame, by: list[str]) -> DataFrame:
-    return (df.groupBy(*by).agg(F.sum("records_analyzed").alias("records_analyzed"),
-                                F.sum("anomalies").alias("anomalies"))
-            .withColumn("anomaly_rate_pct", exact_pct(F.col("anomalies"), F.col("records_analyzed"))))
+def _device_rates(counts: DataFrame, device: DataFrame, store: DataFrame) -> DataFrame:
+    per = join_dim(counts, device.select("device_key", "device_id"), "device_key")
+    per = join_dim(per, store.select("store_key", "store_name"), "store_key")
+    return _rates(per, ["device_key", "device_id", "store_name"]).drop("device_key")
+
+
+def anomaly_rate_by_region(fact: DataFrame, store: DataFrame, **kw) -> DataFrame:
+    return _region_rates(flag_counts(fact, **kw), store)
 
 
 def anomaly_rate_by_device(fact: DataFrame, device: DataFrame, store: DataFrame, **kw) -> DataFrame:
-    per = _rate_rows(composite_anomaly(fact, **kw), ["device_key", "store_key"])
-    per = join_dim(per, device.select("device_key", "device_id"), "device_key")
-    per = join_dim(per, store.select("store_key", "store_name"), "store_key")
-    return _rate_rows_sum(per, ["device_key", "device_id", "store_name"]).drop("device_key")
+    return _device_rates(flag_counts(fact, **kw), device, store)
 
 
 def _worst(rates: DataFrame, name_cols: list[str]) -> Column:
@@ -162,17 +176,15 @@ def _worst(rates: DataFrame, name_cols: list[str]) -> Column:
 
 
 def anomaly_summary(fact: DataFrame, device: DataFrame, store: DataFrame, **kw) -> DataFrame:
-    """One row: totals, per-method counts and the worst region and device."""
-    flags = composite_anomaly(fact, **kw)
-    totals = flags.agg(
-        F.count(F.lit(1)).alias("records_analyzed"),
-        count_true(F.col("is_anomaly_detected")).alias("anomalies_detected"),
-        count_true(F.col("z_flag")).alias("zscore_flags"),
-        count_true(F.col("iqr_power_flag")).alias("iqr_power_flags"),
-        count_true(F.col("iqr_session_flag")).alias("iqr_session_flags"),
-        count_true(F.col("quality_flag")).alias("quality_flags"))
-    region = _worst(anomaly_rate_by_region(fact, store, **kw), ["region"])
-    dev = _worst(anomaly_rate_by_device(fact, device, store, **kw), ["device_id", "store_name"])
+    """One row: totals, per-method counts and the worst region and device.
+
+    The detector runs once; totals and both rankings are aggregates of the
+    per-(device, store) counts (one shuffle of partial counts, reused).
+    """
+    counts = flag_counts(fact, **kw)
+    totals = counts.agg(*[F.sum(c).alias(c) for c in _COUNTS]).withColumnRenamed("anomalies", "anomalies_detected")
+    region = _worst(_region_rates(counts, store), ["region"])
+    dev = _worst(_device_rates(counts, device, store), ["device_id", "store_name"])
     return (totals
             .withColumn("anomaly_pct", exact_pct(F.col("anomalies_detected"), F.col("records_analyzed"), 1))
             .withColumn("_r", region).withColumn("_d", dev)

@@ -194,9 +194,11 @@ def _row_rule(r: Rule):
 def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
     """One row per rule: (rule, table_name, violations).
 
-    Row-level rules of a table share one aggregate pass; key and reference
-    rules are one aggregate each (duplicate keys: grouped counts; orphans:
-    anti join against the parent's keys, broadcast when proven small).
+    * Row-level rules of a table share one aggregate pass.
+    * Reference rules on the fact run on the fact pre-aggregated by its
+      foreign keys (map-side partial counts, so a hot key costs one row per
+      task), then anti-join the parent's keys (broadcast when proven small).
+    * Duplicate keys: grouped counts of the key column.
     """
     rules = rules if rules is not None else default_rules(tables)
     parts: list[DataFrame] = []
@@ -209,6 +211,13 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
         rows = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"),
                                   F.col(f"r{i}").cast("long").alias("violations")) for i, r in enumerate(rs)])
         parts.append(one.select(F.explode(rows).alias("x")).select("x.*"))
+
+    ref_rules = [r for r in rules if r.kind in ("orphan", "store_matches_device")]
+    fk_cols = sorted({r.column for r in ref_rules if r.kind == "orphan" and r.table == "fact"}
+                     | ({"device_key", "store_key"} if any(r.kind == "store_matches_device" for r in ref_rules)
+                        else set()))
+    fk = (tables["fact"].groupBy(*fk_cols).agg(F.count(F.lit(1)).alias("n"))
+          if fk_cols and "fact" in tables else None)
     for r in rules:
         if r.kind == "duplicate":
             counts = tables[r.table].groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
@@ -216,13 +225,15 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
         elif r.kind == "orphan":
             parent, pcol = r.arg
             keys = tables[parent].select(F.col(pcol).alias("_pk")).distinct()
-            child = tables[r.table].filter(F.col(r.column).isNotNull())
+            if r.table == "fact":
+                child, weight = fk.filter(F.col(r.column).isNotNull()), F.col("n")
+            else:
+                child, weight = tables[r.table].filter(F.col(r.column).isNotNull()), F.lit(1)
             v = (child.join(bounded_broadcast(keys), child[r.column] == keys["_pk"], "left_anti")
-                 .agg(F.count(F.lit(1)).alias("v")))
+                 .agg(F.sum(weight).alias("v")))
         elif r.kind == "store_matches_device":
-            per = tables["fact"].groupBy("device_key", "store_key").agg(F.count(F.lit(1)).alias("n"))
             dev = tables["device"].select("device_key", F.col("store_key").alias("_dev_store"))
-            v = (join_dim(per, dev, "device_key")
+            v = (join_dim(fk, dev, "device_key")
                  .agg(F.sum(F.when(~F.col("store_key").eqNullSafe(F.col("_dev_store")), F.col("n"))
                             .otherwise(0)).alias("v")))
         else:
