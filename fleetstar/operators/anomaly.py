@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetstar import constants as C
 from fleetstar.functions.exprs import count_true, exact_pct
 from fleetstar.plans.joins import join_dim
+from fleetstar.session import checkpoint_base
 
 TEMP = "temperature_celsius"
 IQR_COLUMNS = ("power_draw_watts", "session_duration_secs")
@@ -178,10 +179,12 @@ def _worst(rates: DataFrame, name_cols: list[str]) -> Column:
 def anomaly_summary(fact: DataFrame, device: DataFrame, store: DataFrame, **kw) -> DataFrame:
     """One row: totals, per-method counts and the worst region and device.
 
-    The detector runs once; totals and both rankings are aggregates of the
-    per-(device, store) counts (one shuffle of partial counts, reused).
+    The detector runs once: its per-(device, store) counts (one row per
+    device, small) are checkpointed to the shared checkpoint folder, and the
+    totals and both rankings are aggregates of that table.
     """
-    counts = flag_counts(fact, **kw)
+    checkpoint_base(fact.sparkSession)
+    counts = flag_counts(fact, **kw).checkpoint(eager=True)
     totals = counts.agg(*[F.sum(c).alias(c) for c in _COUNTS]).withColumnRenamed("anomalies", "anomalies_detected")
     region = _worst(_region_rates(counts, store), ["region"])
     dev = _worst(_device_rates(counts, device, store), ["device_id", "store_name"])

@@ -14,6 +14,7 @@ from fleetstar.functions.exprs import count_true, exact_pct
 from fleetstar.operators.common import fact_date
 from fleetstar.plans.joins import bounded_broadcast, join_dim
 from fleetstar.plans.sequence import previous_non_null
+from fleetstar.session import checkpoint_base
 
 
 
@@ -216,8 +217,12 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
     fk_cols = sorted({r.column for r in ref_rules if r.kind == "orphan" and r.table == "fact"}
                      | ({"device_key", "store_key"} if any(r.kind == "store_matches_device" for r in ref_rules)
                         else set()))
-    fk = (tables["fact"].groupBy(*fk_cols).agg(F.count(F.lit(1)).alias("n"))
-          if fk_cols and "fact" in tables else None)
+    fk = None
+    if fk_cols and "fact" in tables:
+        # Readings per foreign-key combination: far fewer rows than the fact,
+        # materialised once for the reference rules that all read it.
+        checkpoint_base(tables["fact"].sparkSession)
+        fk = tables["fact"].groupBy(*fk_cols).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     for r in rules:
         if r.kind == "duplicate":
             counts = tables[r.table].groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
