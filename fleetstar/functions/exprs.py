@@ -27,8 +27,14 @@ def mean_exact(total: Column, n: Column) -> Column:
 
 
 def cents(value: Column, scale: int = 2) -> Column:
-    """A 2-decimal value as an exact integer count of hundredths."""
-    return (value * F.lit(10 ** scale)).cast("long")
+    """A 2-decimal value as an exact integer count of hundredths.
+
+    Decimal multiplication runs through arbitrary-precision objects; going
+    through ``double`` and rounding to the nearest integer is exact for
+    values with ``scale`` decimals below 2**53 / 10**scale and stays in
+    primitive generated code.
+    """
+    return F.rint(value.cast("double") * F.lit(float(10 ** scale))).cast("long")
 
 
 def sum_cents(value: Column, scale: int = 2) -> Column:

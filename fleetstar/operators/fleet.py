@@ -153,6 +153,9 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
         F.col("next_is_thermal_spike").alias("next_is_spike"),
         warning.alias("early_warning"),
         "telemetry_key")
+    if k is None:
+        # Every reading with a successor: no report order to honour, so no global sort.
+        return out.drop("telemetry_key")
     return out.orderBy(F.desc_nulls_last("temp_jump"), F.asc("telemetry_key")).drop("telemetry_key")
 
 

@@ -29,15 +29,26 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_stars: dict = {}
+
+
+def _star(kind, spark: SparkSession, sf_dir: str):
+    """Session-scoped catalog: one (lazy, immutable) star plan per profile and folder."""
+    key = (kind.__name__, id(spark), sf_dir)
+    if key not in _stars:
+        _stars[key] = kind(spark, sf_dir)
+    return _stars[key]
+
+
 def _p1(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(fn(event_star(spark, sf_dir)))
+        return present(fn(_star(event_star, spark, sf_dir)))
     return run
 
 
 def _p2(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(fn(orderline_star(spark, sf_dir)))
+        return present(fn(_star(orderline_star, spark, sf_dir)))
     return run
 
 
@@ -96,7 +107,7 @@ def _cards(spark, s):
 
 def _p1s(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(fn(spark, event_star(spark, sf_dir)))
+        return present(fn(spark, _star(event_star, spark, sf_dir)))
     return run
 
 
@@ -112,13 +123,13 @@ def _device_sets(spark, sf_dir, s):
 
 
 def _insert_if_absent(spark, sf_dir):
-    s = event_star(spark, sf_dir)
+    s = _star(event_star, spark, sf_dir)
     target, incoming = _device_sets(spark, sf_dir, s)
     return present(M.insert_if_absent(target, incoming, "device_id"))
 
 
 def _assign_keys(spark, sf_dir):
-    s = event_star(spark, sf_dir)
+    s = _star(event_star, spark, sf_dir)
     target, incoming = _device_sets(spark, sf_dir, s)
     fresh = M.new_rows(target, incoming, "device_id")
     top = target.select(F.max("device_key")).scalar()

@@ -35,12 +35,39 @@ class Star:
     alert: DataFrame
 
 
+# Declared schemas of the driver's tables: reading with them skips footer
+# inference (one Spark job per table) and pins the types the profiles expect.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read
+    if name in DRIVER_SCHEMAS:
+        reader = reader.schema(DRIVER_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def literal_table(spark: SparkSession, rows, schema) -> DataFrame:
+    """A small constant table as a literal plan (stable across calls, folded by the optimizer)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def alert_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(C.ALERT_TYPES, schema=S.ALERT)
+    return literal_table(spark, C.ALERT_TYPES, S.ALERT)
 
 
 # Invented regional managers for the driver's region names; regions without a
@@ -57,7 +84,7 @@ ROUTING_DEFAULT = {"manager_name": "Fleet Operations Desk", "manager_email": "fl
 
 def routing_table(spark: SparkSession) -> tuple[DataFrame, dict]:
     """Routing rows (region -> manager) and the default contact."""
-    return spark.createDataFrame(ROUTING_ROWS, schema=S.ROUTING), dict(ROUTING_DEFAULT)
+    return literal_table(spark, ROUTING_ROWS, S.ROUTING), dict(ROUTING_DEFAULT)
 
 
 def _nation_stores(spark: SparkSession, sf_dir: str) -> DataFrame:

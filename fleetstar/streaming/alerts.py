@@ -68,9 +68,13 @@ class OutboxWriter:
     def __init__(self, outbox_path: str):
         self.path = outbox_path
 
+    # Outbox rows as written: the audit columns plus the two partition columns.
+    SCHEMA = ("telemetry_key bigint, store string, device string, temperature decimal(10,2), region string, "
+              "manager string, notified_at timestamp_ntz, status string, event_month string, batch bigint")
+
     def _existing(self, spark: SparkSession) -> DataFrame | None:
         try:
-            return spark.read.parquet(self.path)
+            return spark.read.schema(self.SCHEMA).parquet(self.path)
         except AnalysisException:
             return None
 
