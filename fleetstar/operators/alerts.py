@@ -55,15 +55,21 @@ def critical_alerts(fact: DataFrame, device: DataFrame, store: DataFrame, alert:
 
 
 def critical_alerts_since(fact: DataFrame, device: DataFrame, store: DataFrame, alert: DataFrame,
-                          as_of, minutes: int = 15, codes=(C.ALERT_TYPES[0][1],)) -> DataFrame:
+                          as_of=None, minutes: int = 15, codes=(C.ALERT_TYPES[0][1],)) -> DataFrame:
     """Notifying alerts whose event time lies in the ``minutes`` before ``as_of``.
 
-    ``as_of`` is a datetime or a Column. With a literal ``as_of`` the
-    reading date bound prunes month partitions of a materialised fact.
+    ``as_of`` is a datetime, a string, a Column, or ``None`` for now (UTC
+    session clock). With a literal ``as_of`` the bound also prunes the
+    ``reading_month`` partitions of a materialised fact and row groups by date.
     """
+    if as_of is None:
+        as_of = F.localtimestamp()
     if isinstance(as_of, (dt.datetime, str)):
-        start = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
-        fact = fact.filter(fact_date(fact) >= F.to_date(start))
+        start_value = (dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(minutes=int(minutes)))
+        start = F.lit(start_value).cast("timestamp_ntz")
+        fact = fact.filter(fact_date(fact) >= F.lit(start_value.date()))
+        if "reading_month" in fact.columns:
+            fact = fact.filter(F.col("reading_month") >= F.lit(start_value.strftime("%Y-%m")))
     else:
         start = as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")
     recent = fact.filter(F.col("event_timestamp") >= start)
@@ -148,6 +154,17 @@ def notification_outbox(routed: DataFrame, run_ts, keep=()) -> DataFrame:
         F.lit(C.OUTBOX_STATUS).alias("status"))
 
 
+def append_outbox(rows: DataFrame, outbox_path: str, batch_id: int) -> None:
+    """Batch append to the audit outbox with the streaming sink's exactly-once rules.
+
+    ``rows`` is ``notification_outbox(..., keep=("event_month",))``; re-running
+    the same ``batch_id`` replaces that batch instead of duplicating it.
+    """
+    from fleetstar.streaming.alerts import OutboxWriter
+
+    OutboxWriter(outbox_path)(rows, batch_id)
+
+
 def retain(log: DataFrame, ts_col: str = "notified_at", months: int = 12, as_of=None) -> DataFrame:
     """Rows younger than ``months`` months before ``as_of`` (default: now)."""
     now = F.localtimestamp() if as_of is None else (

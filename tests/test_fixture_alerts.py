@@ -127,3 +127,27 @@ def test_gdpr_and_breakdown(micro):
     assert {r.data_quality_flag: r.share_pct for r in b} == {"MISSING": Dec("25.00"), "CLEAN": Dec("50.00"),
                                                             "NOISY": Dec("25.00")}
     assert Q.quality_breakdown(micro.fact, micro.store, by="month").count() > 0
+
+
+def test_since_prunes_month_partitions(spark, micro, tmp_dir):
+    from fleetstar.operators import dims as M
+
+    M.write_star(micro, f"{tmp_dir}/star")
+    star = M.read_star(spark, f"{tmp_dir}/star")
+    df = A.critical_alerts_since(star.fact, star.device, star.store, star.alert,
+                                 as_of="2025-03-01 08:10:00", minutes=15)
+    assert [r.telemetry_key for r in df.collect()] == [11]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reading_month" in plan and "2025-03" in plan
+
+
+def test_batch_outbox_append(spark, micro, micro_routing, tmp_dir):
+    routing, default = micro_routing
+    routed = A.route_alerts(A.critical_alerts(micro.fact, micro.device, micro.store, micro.alert, k=None),
+                            routing, default)
+    rows = A.notification_outbox(routed.withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")),
+                                 "2025-04-01 00:00:00", keep=("event_month",))
+    A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
+    A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
+    A.append_outbox(rows, f"{tmp_dir}/outbox", 2)
+    assert spark.read.parquet(f"{tmp_dir}/outbox").count() == 3
