@@ -74,24 +74,35 @@ def conform_schema(df: DataFrame, target: T.StructType, safe: bool = False) -> D
 
 
 def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
-    """Per column: type, non-NULL count, NULL count and (approximate) distinct count.
+    """Per column: type, non-NULL count, NULL count and distinct count.
 
-    One aggregate pass over the table, then one output row per column.
+    Counts are one aggregate pass. Distinct counts are HyperLogLog sketches
+    in that same pass by default; ``exact=True`` runs one distinct
+    aggregation per column instead (map-side de-duplicated), never the
+    row-multiplying expansion a multi-column COUNT(DISTINCT) would need.
     """
     aggs = []
     for i, c in enumerate(df.columns):
         col = F.col(f"`{c}`")
-        distinct = F.countDistinct(col) if exact else F.approx_count_distinct(col)
-        aggs += [F.count(col).alias(f"n{i}"), count_true(col.isNull()).alias(f"z{i}"),
-                 distinct.alias(f"d{i}")]
+        aggs += [F.count(col).alias(f"n{i}"), count_true(col.isNull()).alias(f"z{i}")]
+        if not exact:
+            aggs.append(F.approx_count_distinct(col).alias(f"d{i}"))
     one = df.agg(*aggs)
     types = dict(df.dtypes)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
                               F.col(f"n{i}").cast("long").alias("non_null_count"),
                               F.col(f"z{i}").cast("long").alias("null_count"),
-                              F.col(f"d{i}").cast("long").alias("distinct_count"))
+                              (F.lit(None) if exact else F.col(f"d{i}")).cast("long").alias("distinct_count"))
                      for i, c in enumerate(df.columns)])
-    return one.select(F.explode(rows).alias("p")).select("p.*")
+    prof = one.select(F.explode(rows).alias("p")).select("p.*")
+    if not exact:
+        return prof
+    distinct = reduce(DataFrame.unionByName, [
+        df.select(F.col(f"`{c}`").alias("v")).filter(F.col("v").isNotNull()).distinct()
+        .agg(F.count(F.lit(1)).alias("distinct_count")).select(F.lit(c).alias("column_name"), "distinct_count")
+        for c in df.columns])
+    return (prof.drop("distinct_count").join(distinct, "column_name")
+            .select("column_name", "data_type", "non_null_count", "null_count", "distinct_count"))
 
 
 def quality_breakdown(fact: DataFrame, store: DataFrame, device: DataFrame | None = None,

@@ -151,3 +151,12 @@ def test_batch_outbox_append(spark, micro, micro_routing, tmp_dir):
     A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
     A.append_outbox(rows, f"{tmp_dir}/outbox", 2)
     assert spark.read.parquet(f"{tmp_dir}/outbox").count() == 3
+
+
+def test_zero_temperature_is_a_number(spark, micro, micro_routing):
+    routing, default = micro_routing
+    zero = micro.fact.filter("telemetry_key = 11").withColumn("temperature_celsius", F.lit(0).cast("decimal(5,2)"))
+    routed = A.route_alerts(A.critical_alerts(zero, micro.device, micro.store, micro.alert, k=None), routing, default)
+    card = json.loads(A.alert_cards(routed).collect()[0].card_json)
+    facts = {f["title"]: f["value"] for f in card["body"][1]["facts"]}
+    assert facts["Temperature"].startswith("0.00°C") and facts["Overage"].startswith("+-230.00")
