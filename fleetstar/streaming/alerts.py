@@ -99,16 +99,40 @@ class OutboxWriter:
             cached.unpersist()
 
 
+def unknown_device_stream(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
+                          max_files: int | None = None) -> DataFrame:
+    """Readings whose device is not in the device dimension (the inner join would drop them)."""
+    from fleetstar.plans.joins import bounded_broadcast
+
+    keys = bounded_broadcast(event_devices(spark, dims_dir).select(F.col("device_key").alias("_dk")))
+    src = _source(spark, events_dir, glob, max_files)
+    return src.join(keys, src.user_id == keys._dk, "left_anti")
+
+
 def run_alert_outbox(spark: SparkSession, events_dir: str, dims_dir: str, outbox_path: str, checkpoint: str,
                      glob: str | None = None, available_now: bool = True, interval: str = "5 minutes",
-                     max_files: int | None = None):
-    """Start (and with ``available_now`` drain) the outbox stream; returns the query."""
+                     max_files: int | None = None, rejects_path: str | None = None):
+    """Start (and with ``available_now`` drain) the outbox stream; returns the query.
+
+    With ``rejects_path`` a second query appends readings of unknown devices
+    there (file sink: exactly-once through its own commit log), so they can
+    be replayed once the dimension catches up.
+    """
     stream = critical_alert_stream(spark, events_dir, dims_dir, glob=glob, max_files=max_files)
     writer = stream.writeStream.foreachBatch(OutboxWriter(outbox_path)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     q = writer.start()
+    rq = None
+    if rejects_path:
+        rw = (unknown_device_stream(spark, events_dir, dims_dir, glob=glob, max_files=max_files)
+              .writeStream.format("parquet").option("path", rejects_path)
+              .option("checkpointLocation", checkpoint.rstrip("/") + "-rejects"))
+        rw = rw.trigger(availableNow=True) if available_now else rw.trigger(processingTime=interval)
+        rq = rw.start()
     if available_now:
         q.awaitTermination()
+        if rq is not None:
+            rq.awaitTermination()
     return q
 
 

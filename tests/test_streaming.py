@@ -85,3 +85,19 @@ def test_batch_rerun_is_idempotent(spark, tmp_dir):
 
 def test_events_schema_is_explicit():
     assert [f.name for f in EVENTS_SCHEMA.fields] == ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def test_unknown_devices_go_to_rejects(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    os.makedirs(landing)
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    stray = (ev.filter(F.col("value") > 150).limit(3).withColumn("user_id", F.col("user_id") + F.lit(10**9))
+             .withColumn("event_id", F.col("event_id") + F.lit(10**9)))
+    _drop_file(spark, ev, landing, "events0")
+    _drop_file(spark, stray, landing, "events1")
+    outbox, ckpt, rejects = f"{tmp_dir}/outbox", f"{tmp_dir}/ckpt", f"{tmp_dir}/rejects"
+    run_alert_outbox(spark, landing, SF_SMALL, outbox, ckpt, glob="events*.parquet", rejects_path=rejects)
+    run_alert_outbox(spark, landing, SF_SMALL, outbox, ckpt, glob="events*.parquet", rejects_path=rejects)
+    assert spark.read.parquet(rejects).count() == 3
+    strays = {r.event_id for r in stray.collect()}
+    assert not strays & {r.telemetry_key for r in spark.read.parquet(outbox).collect()}
