@@ -22,7 +22,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     hit = _decisions.get(key)
     if hit is None:
         hit = df.limit(max_rows + 1).count() <= max_rows

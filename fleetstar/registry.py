@@ -34,10 +34,12 @@ _stars: dict = {}
 
 def _star(kind, spark: SparkSession, sf_dir: str):
     """Session-scoped catalog: one (lazy, immutable) star plan per profile and folder."""
-    key = (kind.__name__, id(spark), sf_dir)
-    if key not in _stars:
-        _stars[key] = kind(spark, sf_dir)
-    return _stars[key]
+    key = (kind.__name__, id(spark), spark.sparkContext.applicationId, sf_dir)
+    hit = _stars.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, kind(spark, sf_dir))
+        _stars[key] = hit
+    return hit[1]
 
 
 def _p1(fn):
