@@ -31,12 +31,15 @@ def analysed(fact: DataFrame, temp: str = TEMP) -> DataFrame:
     return fact.filter(F.col(temp).isNotNull())
 
 
-def detector_stats(rows: DataFrame, temp: str = TEMP, iqr_cols=IQR_COLUMNS, exact: bool = True) -> Column:
-    """One scalar: struct(mu, sd, q0, q1, ...) over ``rows``; ``qi`` = [Q1, Q3] of iqr_cols[i]."""
+def _stat_fields(temp: str, iqr_cols, exact: bool) -> list[Column]:
     t = F.col(temp).cast("double")
     fields = [F.avg(t).alias("mu"), F.stddev_samp(t).alias("sd")]
-    fields += [_quartiles(F.col(c).cast("double"), exact).alias(f"q{i}") for i, c in enumerate(iqr_cols)]
-    return rows.select(F.struct(*fields)).scalar()
+    return fields + [_quartiles(F.col(c).cast("double"), exact).alias(f"q{i}") for i, c in enumerate(iqr_cols)]
+
+
+def detector_stats(rows: DataFrame, temp: str = TEMP, iqr_cols=IQR_COLUMNS, exact: bool = True) -> Column:
+    """One scalar: struct(mu, sd, q0, q1, ...) over ``rows``; ``qi`` = [Q1, Q3] of iqr_cols[i]."""
+    return rows.select(F.struct(*_stat_fields(temp, iqr_cols, exact))).scalar()
 
 
 def zscore_flag(value: Column, mu: Column, sd: Column, k: float) -> Column:
@@ -71,6 +74,29 @@ def composite_anomaly(fact: DataFrame, k: float = C.ZSCORE_K, m: float = C.IQR_M
     return d.drop("_st")
 
 
+def frozen_stats(fact: DataFrame, temp: str = TEMP, iqr_cols=IQR_COLUMNS, exact: bool = True) -> dict:
+    """Detector statistics computed once (one aggregate row) for reuse elsewhere.
+
+    A stream must not recompute global statistics per micro-batch; it applies
+    the statistics of the last batch run with ``flag_with_stats``.
+    """
+    row = analysed(fact, temp).agg(F.struct(*_stat_fields(temp, iqr_cols, exact)).alias("s")).first()
+    return row["s"].asDict()
+
+
+def flag_with_stats(df: DataFrame, stats: dict, k: float = C.ZSCORE_K, m: float = C.IQR_MULTIPLIER,
+                    temp: str = TEMP, iqr_cols=IQR_COLUMNS) -> DataFrame:
+    """Composite verdict from fixed statistics (literals): works on batch and streaming frames."""
+    lit = F.lit
+    quart = [F.array(lit(float(stats[f"q{i}"][0])), lit(float(stats[f"q{i}"][1]))) for i in range(len(iqr_cols))]
+    z = zscore_flag(F.col(temp).cast("double"), lit(float(stats["mu"])), lit(float(stats["sd"])), k)
+    verdict = z
+    for i, c in enumerate(iqr_cols):
+        verdict = verdict | iqr_flag(F.col(c).cast("double"), quart[i], m)
+    verdict = verdict | F.coalesce(F.col("data_quality_flag") != "CLEAN", F.lit(False))
+    return df.withColumn("is_anomaly_detected", F.when(F.col(temp).isNotNull(), verdict))
+
+
 def zscore_flags(fact: DataFrame, k: float = C.ZSCORE_K, temp: str = TEMP) -> DataFrame:
     rows = analysed(fact, temp)
     d = rows.withColumn("_st", detector_stats(rows, temp, iqr_cols=()))

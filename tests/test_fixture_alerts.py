@@ -160,3 +160,11 @@ def test_zero_temperature_is_a_number(spark, micro, micro_routing):
     card = json.loads(A.alert_cards(routed).collect()[0].card_json)
     facts = {f["title"]: f["value"] for f in card["body"][1]["facts"]}
     assert facts["Temperature"].startswith("0.00°C") and facts["Overage"].startswith("+-230.00")
+
+
+def test_frozen_stats_match_live_detector(spark, micro):
+    stats = N.frozen_stats(micro.fact)
+    live = {r.telemetry_key: r.is_anomaly_detected for r in N.composite_anomaly(micro.fact).collect()}
+    frozen = {r.telemetry_key: r.is_anomaly_detected
+              for r in N.flag_with_stats(micro.fact, stats).collect() if r.is_anomaly_detected is not None}
+    assert live == frozen
