@@ -1,4 +1,3 @@
 from fleetstar.functions.exprs import (  # noqa: F401
-    calendar_columns, cents, count_true, date_key, exact_pct, mean_exact, mean_from_cents, mean_rounded,
-    sum_cents, as_double,
+    calendar_columns, cents, count_true, date_key, exact_pct, mean_from_cents, sum_cents,
 )

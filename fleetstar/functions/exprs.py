@@ -21,10 +21,6 @@ def exact_pct(part: Column, whole: Column, scale: int = 2) -> Column:
     return F.round(F.try_divide(num, whole.cast("decimal(20,0)")), scale)
 
 
-def mean_exact(total: Column, n: Column) -> Column:
-    """Exact decimal mean of a decimal sum over a row count (NULL if n = 0)."""
-    return F.try_divide(total, n.cast("decimal(20,0)"))
-
 
 def cents(value: Column, scale: int = 2) -> Column:
     """A 2-decimal value as an exact integer count of hundredths.
@@ -53,10 +49,6 @@ def mean_from_cents(total_cents: Column, n: Column, scale: int = 2) -> Column:
                         (n * F.lit(10 ** scale)).cast("decimal(22,0)"))
 
 
-def mean_rounded(value: Column, scale: int = 2) -> Column:
-    """ROUND(AVG(value), scale) of a 2-decimal column, exact."""
-    return F.round(mean_from_cents(sum_cents(value), F.count(value)), scale)
-
 
 def date_key(d: Column) -> Column:
     """Calendar date -> YYYYMMDD integer key."""
@@ -85,6 +77,3 @@ def calendar_columns(d: Column) -> dict[str, Column]:
         "fiscal_period": F.format_string("FY%d-Q%d", year, quarter),
     }
 
-
-def as_double(c: Column) -> Column:
-    return c.cast("double")

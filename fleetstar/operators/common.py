@@ -13,11 +13,6 @@ def fact_date(fact: DataFrame) -> Column:
     return F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
 
 
-def with_date(fact: DataFrame) -> DataFrame:
-    if "full_date" in fact.columns:
-        return fact
-    return fact.withColumn("full_date", fact_date(fact))
-
 
 def label(cond_values, default=None) -> Column:
     """Searched CASE: first matching (condition, value) wins."""

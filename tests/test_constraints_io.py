@@ -94,6 +94,8 @@ def test_csv_round_trip_and_ingest(spark, micro, tmp_dir):
     back = files.read_csv(spark, f"{tmp_dir}/flat")
     assert back.count() == 12 and back.columns == S.FLAT_COLUMNS
     assert back.filter(F.col("alert_code").isNull()).count() == 7
+    files.write_parquet(back, f"{tmp_dir}/extract", partition_by=["year"])   # columnar copy of the CSV
+    assert spark.read.parquet(f"{tmp_dir}/extract").count() == 12
 
     M.append_facts(micro.fact, f"{tmp_dir}/fact", f"{tmp_dir}/rejects")
     M.append_facts(micro.fact.limit(2), f"{tmp_dir}/fact", f"{tmp_dir}/rejects")
