@@ -157,7 +157,8 @@ def notification_outbox(routed: DataFrame, run_ts, keep=()) -> DataFrame:
 def append_outbox(rows: DataFrame, outbox_path: str, batch_id: int) -> None:
     """Batch append to the audit outbox with the streaming sink's exactly-once rules.
 
-    ``rows`` is ``notification_outbox(..., keep=("event_month",))``; re-running
+    ``rows`` is ``notification_outbox(..., keep=("event_day",))`` with
+    ``event_day`` the reading's date; re-running
     the same ``batch_id`` replaces that batch instead of duplicating it.
     """
     from fleetstar.streaming.alerts import OutboxWriter

@@ -27,11 +27,16 @@ def date_dimension(spark: SparkSession, start="2024-01-01", end="2026-12-31") ->
 
 
 def date_dimension_covering(fact: DataFrame) -> DataFrame:
-    """Calendar spanning the first to the last reading date of ``fact``."""
+    """Calendar spanning the first to the last reading date of ``fact``.
+
+    Only the two bounds (one aggregated row) reach the driver; the days are
+    generated by the distributed ``spark.range`` path.
+    """
     d = fact_date(fact)
-    bounds = fact.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
-    days = bounds.select(F.explode(F.sequence("lo", "hi")).alias("d"))
-    return _calendar(days)
+    lo, hi = fact.agg(F.min(d), F.max(d)).first()
+    if lo is None:
+        return _calendar(fact.sparkSession.range(0).select(F.lit(None).cast("date").alias("d")))
+    return date_dimension(fact.sparkSession, lo, hi)
 
 
 def dedupe_by_key(incoming: DataFrame, key: list[str]) -> DataFrame:

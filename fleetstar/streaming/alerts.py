@@ -6,7 +6,8 @@ appends them to the outbox exactly once per ``telemetry_key``:
 
 * duplicates inside a batch are dropped;
 * keys already in the outbox from *other* batches are removed with an anti
-  join, pruned to the event months present in the batch;
+  join that reads only the key column of the event days present in the batch
+  (partition pruning: a routine batch touches one or two days);
 * the batch writes only its own ``batch=<id>`` partitions with dynamic
   overwrite, so a re-run of the same batch id (after a failure) replaces
   its output instead of adding to it.
@@ -58,8 +59,8 @@ def critical_alert_stream(spark: SparkSession, events_dir: str, dims_dir: str, g
         routing, default = routing_table(spark)
     routed = route_alerts(alerts, routing, default)
     routed = (routed.withColumn("_now", F.localtimestamp())
-              .withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")))
-    return notification_outbox(routed, F.col("_now"), keep=("event_month",))
+              .withColumn("event_day", F.to_date("event_timestamp")))
+    return notification_outbox(routed, F.col("_now"), keep=("event_day",))
 
 
 class OutboxWriter:
@@ -70,7 +71,7 @@ class OutboxWriter:
 
     # Outbox rows as written: the audit columns plus the two partition columns.
     SCHEMA = ("telemetry_key bigint, store string, device string, temperature decimal(10,2), region string, "
-              "manager string, notified_at timestamp_ntz, status string, event_month string, batch bigint")
+              "manager string, notified_at timestamp_ntz, status string, event_day date, batch bigint")
 
     def _existing(self, spark: SparkSession) -> DataFrame | None:
         try:
@@ -83,18 +84,18 @@ class OutboxWriter:
         cached = batch.dropDuplicates(["telemetry_key"]).persist()
         rows = cached
         try:
-            # Distinct event months of one micro-batch: bounded by the calendar.
-            months = [r[0] for r in rows.select("event_month").distinct().collect()]
-            if not months:
+            # Distinct event days of one micro-batch: bounded by the calendar.
+            days = [r[0] for r in rows.select("event_day").distinct().collect()]
+            if not days:
                 return
             prior = self._existing(spark)
             if prior is not None:
-                seen = (prior.filter(F.col("event_month").isin(months) & (F.col("batch") != F.lit(batch_id)))
+                seen = (prior.filter(F.col("event_day").isin(days) & (F.col("batch") != F.lit(batch_id)))
                         .select("telemetry_key"))
                 rows = rows.join(seen, "telemetry_key", "left_anti")
             (rows.withColumn("batch", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_month", "batch").parquet(self.path))
+             .partitionBy("event_day", "batch").parquet(self.path))
         finally:
             cached.unpersist()
 

@@ -145,8 +145,8 @@ def test_batch_outbox_append(spark, micro, micro_routing, tmp_dir):
     routing, default = micro_routing
     routed = A.route_alerts(A.critical_alerts(micro.fact, micro.device, micro.store, micro.alert, k=None),
                             routing, default)
-    rows = A.notification_outbox(routed.withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")),
-                                 "2025-04-01 00:00:00", keep=("event_month",))
+    rows = A.notification_outbox(routed.withColumn("event_day", F.to_date("event_timestamp")),
+                                 "2025-04-01 00:00:00", keep=("event_day",))
     A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
     A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
     A.append_outbox(rows, f"{tmp_dir}/outbox", 2)

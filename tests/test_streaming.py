@@ -73,8 +73,8 @@ def test_batch_rerun_is_idempotent(spark, tmp_dir):
     s = event_star(spark, SF_SMALL)
     routing, default = routing_table(spark)
     routed = route_alerts(critical_alerts(s.fact, s.device, s.store, s.alert, k=None), routing, default)
-    batch = notification_outbox(routed.withColumn("event_month", F.date_format("event_timestamp", "yyyy-MM")),
-                                "2024-02-01 00:00:00", keep=("event_month",))
+    batch = notification_outbox(routed.withColumn("event_day", F.to_date("event_timestamp")),
+                                "2024-02-01 00:00:00", keep=("event_day",))
     writer(batch, 7)
     n = _outbox(spark, outbox).count()
     writer(batch, 7)   # the same batch id again (recovery after a failure)
