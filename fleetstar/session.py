@@ -43,6 +43,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def cluster_settings(input_bytes: float, executor_cores: int = 4, target_partition_mb: int = 256) -> dict:
+    """Sizing for a cluster run over ``input_bytes`` of fact data.
+
+    File splits of 256 MB keep scan tasks in the seconds range; the initial
+    shuffle partition count gives ~256 MB per reducer for a shuffle of the
+    full input (adaptive execution then coalesces small shuffles and splits
+    skewed partitions). Broadcasts stay bounded by the row-count checks.
+    """
+    target = target_partition_mb * 1024 * 1024
+    partitions = int(min(max(input_bytes / target, 200), 500_000))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.executor.cores": str(executor_cores),
+    }
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
