@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetstar import constants as C
 from fleetstar.functions.exprs import count_true, exact_pct, mean_from_cents, sum_cents
 from fleetstar.operators.common import fact_date, label
-from fleetstar.plans.joins import join_dim
+from fleetstar.plans.joins import aggregate_by_attributes, join_dim
 from fleetstar.plans.ordinal import global_rank
 from fleetstar.plans.sequence import next_in_sequence
 
@@ -99,16 +99,17 @@ def mom_temp_trend(fact: DataFrame, store: DataFrame, warm: float = C.TREND_WARM
     (``store_name`` as in the source model, or ``store_key``).
     """
     d = fact_date(fact)
-    monthly = (fact.filter(F.col("temperature_celsius").isNotNull())
-               .groupBy("store_key", F.year(d).alias("year"), F.month(d).alias("month_number"))
-               .agg(sum_cents(F.col("temperature_celsius")).alias("s"), F.count(F.col("temperature_celsius")).alias("n")))
-    monthly = join_dim(monthly, store.select("store_key", "store_name", "region"), "store_key")
-    group = ["store_name", "region", "year", "month_number"]
+    temp = F.col("temperature_celsius")
+    readings = (fact.filter(temp.isNotNull())
+                .withColumn("year", F.year(d)).withColumn("month_number", F.month(d)))
+    attrs = ["store_name", "region"] + (["store_key_attr"] if key == "store_key" else [])
+    dim = store.withColumn("store_key_attr", F.col("store_key"))
+    monthly = aggregate_by_attributes(readings, dim, "store_key", attrs,
+                                      {"s": (sum_cents(temp), F.sum), "n": (F.count(temp), F.sum)},
+                                      extra_keys=["year", "month_number"])
     if key == "store_key":
-        group = ["store_key"] + group
-    monthly = (monthly.groupBy(*group)
-               .agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-               .withColumn("avg_temp", F.round(mean_from_cents(F.col("s"), F.col("n")), 2))
+        monthly = monthly.withColumnRenamed("store_key_attr", "store_key")
+    monthly = (monthly.withColumn("avg_temp", F.round(mean_from_cents(F.col("s"), F.col("n")), 2))
                .withColumn("month_name", F.date_format(F.make_date("year", "month_number", F.lit(1)), "MMMM")))
     w = Window.partitionBy(key).orderBy("year", "month_number", "region")
     trend = (monthly.withColumn("prev_month_temp", F.lag("avg_temp").over(w))
@@ -160,10 +161,10 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
 
 
 def _daily_region_spikes(fact: DataFrame, store: DataFrame) -> DataFrame:
-    d = fact_date(fact)
-    daily = fact.groupBy("store_key", d.alias("full_date")).agg(count_true(F.col("is_thermal_spike")).alias("s"))
-    daily = join_dim(daily, store.select("store_key", "region"), "store_key")
-    return daily.groupBy("region", "full_date").agg(F.sum("s").alias("daily_spikes"))
+    days = fact.withColumn("full_date", fact_date(fact))
+    return aggregate_by_attributes(days, store, "store_key", ["region"],
+                                   {"daily_spikes": (count_true(F.col("is_thermal_spike")), F.sum)},
+                                   extra_keys=["full_date"])
 
 
 def cumulative_spikes(fact: DataFrame, store: DataFrame, rows: int = 7) -> DataFrame:

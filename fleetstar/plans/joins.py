@@ -40,3 +40,24 @@ def join_dim(left: DataFrame, dim: DataFrame, on, how: str = "inner",
              max_rows: int | None = None) -> DataFrame:
     """Join a (projected) dimension to a fact-like side, broadcasting if small."""
     return left.join(bounded_broadcast(dim, max_rows), on=on, how=how)
+
+
+def aggregate_by_attributes(fact: DataFrame, dim: DataFrame, key: str, attrs: list[str], aggs: dict,
+                            extra_keys=(), max_rows: int | None = None) -> DataFrame:
+    """GROUP BY dimension attributes (plus fact columns ``extra_keys``).
+
+    ``aggs`` maps output name -> (aggregate over fact rows, merge function for
+    partial results, e.g. ``F.sum``). When the dimension is proven small it is
+    broadcast and joined map-side, so the partial aggregation already groups by
+    the attributes (one shuffle of a few rows per task). Otherwise the fact is
+    aggregated by ``key`` first and the much smaller result is joined and
+    re-aggregated (eager aggregation: no shuffle of raw fact rows to the join).
+    """
+    proj = dim.select(key, *attrs)
+    limit = max_rows or broadcast_limit(proj)
+    exprs = [expr.alias(name) for name, (expr, _) in aggs.items()]
+    if fits(proj, limit):
+        return fact.join(F.broadcast(proj), key).groupBy(*attrs, *extra_keys).agg(*exprs)
+    per = fact.groupBy(key, *extra_keys).agg(*exprs).join(proj, key)
+    return per.groupBy(*attrs, *extra_keys).agg(*[merge(F.col(name)).alias(name)
+                                                  for name, (_, merge) in aggs.items()])
