@@ -69,3 +69,18 @@ def test_broadcast_only_when_proven_small(spark):
     plan_big = spark.range(1000).join(bounded_broadcast(df, 10), "id")
     assert "broadcast" in plan_small._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in plan_big._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_attribute_aggregation_paths_agree(spark):
+    from fleetstar.functions.exprs import count_true, sum_cents
+    from fleetstar.plans.joins import aggregate_by_attributes
+
+    s = orderline_star(spark, SF_SMALL)
+    fact = s.fact.withColumn("year", F.year("full_date"))
+    aggs = {"spikes": (count_true(F.col("is_thermal_spike")), F.sum),
+            "t": (sum_cents(F.col("temperature_celsius")), F.sum),
+            "hi": (F.max("temperature_celsius"), F.max)}
+    small = aggregate_by_attributes(fact, s.store, "store_key", ["region"], aggs, extra_keys=["year"])
+    large = aggregate_by_attributes(fact, s.store, "store_key", ["region"], aggs, extra_keys=["year"], max_rows=1)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    assert sorted(small.collect()) == sorted(large.collect())
