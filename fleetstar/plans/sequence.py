@@ -22,15 +22,41 @@ from fleetstar.plans.joins import bounded_broadcast
 DEFAULT_BUCKET_SECONDS = 3600
 
 
-def _with_bucket(df: DataFrame, ts: str, bucket_seconds: int) -> DataFrame:
-    micros = bucket_seconds * 1_000_000
+TARGET_ROWS_PER_BUCKET = 1_000_000
+
+
+def auto_bucket_seconds(df: DataFrame, entity: str, ts: str, target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
+    """Bucket width giving the busiest entity about ``target_rows`` rows per bucket.
+
+    One partially aggregated pass (rows and time range per entity, then a
+    global max); only one summary row reaches the driver. Assumes the busiest
+    entity's readings are spread over the whole time range.
+    """
+    per = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n"),
+                                 F.min(ts).alias("lo"), F.max(ts).alias("hi"))
+    row = per.agg(F.max("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    if row is None or not row["n"]:
+        return DEFAULT_BUCKET_SECONDS
+    span = max(1, int((row["hi"] - row["lo"]).total_seconds()) + 1)
+    return max(1, min(span, span * target_rows // row["n"]))
+
+
+def _with_bucket(df: DataFrame, ts: str, bucket_seconds) -> DataFrame:
+    if bucket_seconds == "auto":
+        raise ValueError("resolve 'auto' with auto_bucket_seconds first")
+    micros = int(bucket_seconds) * 1_000_000
     return df.withColumn(
         "_bucket", F.expr(f"unix_micros(cast(`{ts}` as timestamp)) div {micros}"))
 
 
 def next_in_sequence(df: DataFrame, entity: str, ts: str, tiebreak: str, values: list[str],
                      prefix: str = "next_", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Add ``prefix + v`` = LEAD(v) OVER (PARTITION BY entity ORDER BY ts, tiebreak)."""
+    """Add ``prefix + v`` = LEAD(v) OVER (PARTITION BY entity ORDER BY ts, tiebreak).
+
+    ``bucket_seconds`` is the time-bucket width, or ``"auto"`` to size it from the data.
+    """
+    if bucket_seconds == "auto":
+        bucket_seconds = auto_bucket_seconds(df, entity, ts)
     d = _with_bucket(df, ts, bucket_seconds)
     w = Window.partitionBy(entity, "_bucket").orderBy(ts, tiebreak)
     d = d.withColumn("_nxt", F.lead(F.struct(*values)).over(w))
@@ -50,6 +76,8 @@ def next_in_sequence(df: DataFrame, entity: str, ts: str, tiebreak: str, values:
 def previous_non_null(df: DataFrame, entity: str, ts: str, tiebreak: str, value: str, out: str,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Add ``out`` = last non-NULL ``value`` strictly before each row of the entity."""
+    if bucket_seconds == "auto":
+        bucket_seconds = auto_bucket_seconds(df, entity, ts)
     d = _with_bucket(df, ts, bucket_seconds)
     w = (Window.partitionBy(entity, "_bucket").orderBy(ts, tiebreak)
          .rowsBetween(Window.unboundedPreceding, -1))

@@ -84,3 +84,19 @@ def test_attribute_aggregation_paths_agree(spark):
     large = aggregate_by_attributes(fact, s.store, "store_key", ["region"], aggs, extra_keys=["year"], max_rows=1)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_auto_bucket_width(spark):
+    from fleetstar.plans.sequence import auto_bucket_seconds
+
+    fact = orderline_star(spark, SF_SMALL).fact.dropDuplicates(["telemetry_key"])
+    hot = fact.withColumn("device_key", F.lit(1))
+    wide = auto_bucket_seconds(fact, "device_key", "event_timestamp")
+    narrow = auto_bucket_seconds(hot, "device_key", "event_timestamp", target_rows=100)
+    assert narrow < wide
+    w = Window.partitionBy("device_key").orderBy("event_timestamp", "telemetry_key")
+    plain = hot.select("telemetry_key", F.lead("temperature_celsius").over(w).alias("n"))
+    out = next_in_sequence(hot, "device_key", "event_timestamp", "telemetry_key", ["temperature_celsius"],
+                           bucket_seconds=narrow)
+    assert sorted(out.select("telemetry_key", F.col("next_temperature_celsius").alias("n")).collect()) == sorted(
+        plain.collect())
