@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetstar.session import app_id
+
 _DEFAULT_MAX_ROWS = 500_000
 _decisions: dict = {}
 
@@ -22,7 +24,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     hit = _decisions.get(key)
     if hit is None:
         hit = df.limit(max_rows + 1).count() <= max_rows

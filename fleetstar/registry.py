@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetstar.operators import fleet
+from fleetstar.session import app_id
 from fleetstar.sources.profiles import event_star, orderline_star
 
 
@@ -34,7 +35,7 @@ _stars: dict = {}
 
 def _star(kind, spark: SparkSession, sf_dir: str):
     """Session-scoped catalog: one (lazy, immutable) star plan per profile and folder."""
-    key = (kind.__name__, id(spark), spark.sparkContext.applicationId, sf_dir)
+    key = (kind.__name__, id(spark), app_id(spark), sf_dir)
     hit = _stars.get(key)
     if hit is None or hit[0] is not spark:
         hit = (spark, kind(spark, sf_dir))

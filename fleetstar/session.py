@@ -70,7 +70,10 @@ def checkpoint_base(spark: SparkSession) -> str:
     always wins. Only a session without it (tests, a laptop) gets a fresh
     temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -82,6 +85,11 @@ def checkpoint_base(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identity of the running application (changes when a session is rebuilt)."""
+    return spark.conf.get("spark.app.id", "") or spark.conf.get("spark.app.name", "")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint folder."""
     import uuid
