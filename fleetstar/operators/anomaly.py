@@ -138,10 +138,12 @@ def apply_anomaly_flags(fact: DataFrame, flags: DataFrame, key: str = "telemetry
     """Apply externally computed flags by key; rows without a flag keep theirs.
 
     Both sides are keyed by the fact's primary key, so this is a shuffle
-    join unless ``flags`` is proven small (then broadcast).
+    join; adaptive execution turns it into a broadcast at runtime only if
+    the flags turn out small (no extra pass to measure them up front).
+    ``refresh_anomaly_flags`` avoids the join altogether.
     """
     f = flags.select(F.col(key).alias("_fk"), F.col(flag).alias("_flag"))
-    out = join_dim(fact, f, fact[key] == f["_fk"], how="left")
+    out = fact.join(f, fact[key] == f["_fk"], "left")
     return out.withColumn("is_anomaly", F.coalesce(F.col("_flag"), F.col("is_anomaly"))).drop("_fk", "_flag")
 
 

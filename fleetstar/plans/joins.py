@@ -4,6 +4,11 @@ A broadcast hint is only given after the side has been *measured*: a bounded
 ``limit(n + 1).count()`` proves the row count is at most ``n``. Larger sides
 are left to the planner (sort-merge join, re-planned at runtime by adaptive
 execution, which also splits skewed partitions).
+
+Use this for dimension-like inputs (tables or light projections of them).
+Tables derived from the fact are not measured this way: measuring would
+compute them an extra time. Their joins are left to adaptive execution,
+whose runtime statistics are the size check.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetstar.plans.joins import bounded_broadcast, fits
+from fleetstar.plans.joins import fits
 from fleetstar.session import checkpoint_base
 
 _DEFAULT_LOCAL_MAX_ROWS = 200_000
@@ -71,9 +71,10 @@ def _ntile(rn: Column, total: Column, n: int) -> Column:
 
 
 def _join_back(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    # Derived from the data being ranked: left to adaptive execution, which
+    # broadcasts it at runtime only when the materialised side is small.
     renamed = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in table.columns if c not in keys])
-    renamed = bounded_broadcast(renamed)
     cond = [df[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
     return df.join(renamed, cond, "inner").drop(*[f"_k_{k}" for k in keys])
 

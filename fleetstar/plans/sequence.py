@@ -9,7 +9,9 @@ task. Instead each entity's timeline is cut into fixed time buckets:
 2. a per-(entity, bucket) summary (first row, or last non-NULL value) is
    aggregated from the already bucket-partitioned rows (no extra shuffle);
 3. a window over the small summary table carries values across bucket
-   boundaries, and is joined back on (entity, bucket).
+   boundaries, and is joined back on (entity, bucket). The summary grows with
+   the data, so no broadcast is forced: adaptive execution switches to a
+   broadcast at runtime only when the materialised summary is small.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetstar.plans.joins import bounded_broadcast
 
 DEFAULT_BUCKET_SECONDS = 3600
 
@@ -66,7 +67,8 @@ def next_in_sequence(df: DataFrame, entity: str, ts: str, tiebreak: str, values:
         entity, "_bucket",
         F.lead(F.struct(*[F.col(f"_head.{v}").alias(v) for v in values]))
         .over(Window.partitionBy(entity).orderBy("_bucket")).alias("_nxt_head"))
-    d = d.join(bounded_broadcast(nxt_heads), [entity, "_bucket"], "left")
+    # Data-sized summary: adaptive execution broadcasts it only if it turns out small.
+    d = d.join(nxt_heads, [entity, "_bucket"], "left")
     nxt = F.coalesce(F.col("_nxt"), F.col("_nxt_head"))
     for v in values:
         d = d.withColumn(prefix + v, nxt.getField(v))
@@ -90,6 +92,6 @@ def previous_non_null(df: DataFrame, entity: str, ts: str, tiebreak: str, value:
         F.last("_tail", ignorenulls=True).over(
             Window.partitionBy(entity).orderBy("_bucket")
             .rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
-    d = d.join(bounded_broadcast(carry), [entity, "_bucket"], "left")
+    d = d.join(carry, [entity, "_bucket"], "left")
     return (d.withColumn(out, F.coalesce(F.col("_in"), F.col("_carry")))
             .drop("_in", "_carry", "_bucket"))
