@@ -2,10 +2,10 @@
 
 A window without PARTITION BY runs in a single task. That is fine for a few
 thousand aggregated rows, so small inputs (row count proven by a bounded
-count) use the built-in window. Larger inputs are ordered by a distributed
-range-partitioned sort; each row's position is its partition's offset (from
-per-partition counts: one row per partition, a structurally bounded table)
-plus its position inside the partition.
+count of the checkpointed input) use the built-in window. Larger inputs are
+ordered by a distributed range-partitioned sort; each row's position is its
+partition's offset (from per-partition counts: one row per partition, a
+structurally bounded table) plus its position inside the partition.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetstar.plans.joins import fits
 from fleetstar.session import checkpoint_base
 
 _DEFAULT_LOCAL_MAX_ROWS = 200_000
@@ -90,7 +89,11 @@ def global_rank(df: DataFrame, kind: str, order, out: str, tiebreak=(), buckets:
     order = list(order)
     tiebreak = list(tiebreak)
     limit = local_max_rows or local_limit(df)
-    if fits(df, limit):
+    # The input (usually an aggregate of the fact) is computed once into the
+    # shared checkpoint folder; the size check and the ranking both read that.
+    checkpoint_base(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    if df.limit(limit + 1).count() <= limit:
         w_order = Window.orderBy(*_sort_cols(order))
         w_total = Window.orderBy(*_sort_cols(order + tiebreak))
         fn = {
