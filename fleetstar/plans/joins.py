@@ -13,6 +13,8 @@ whose runtime statistics are the size check.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,19 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
+    """True when ``df`` has at most ``max_rows`` rows (stops reading early).
+
+    Decisions are reused for the same plan for ``fleetstar.broadcast.checkTtlSeconds``
+    (default 600): a dimension that grows is measured again.
+    """
+    ttl = float(df.sparkSession.conf.get("fleetstar.broadcast.checkTtlSeconds", None) or 600)
     key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     hit = _decisions.get(key)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
+    now = time.monotonic()
+    if hit is None or now - hit[1] > ttl:
+        hit = (df.limit(max_rows + 1).count() <= max_rows, now)
         _decisions[key] = hit
-    return hit
+    return hit[0]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
