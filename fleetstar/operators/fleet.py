@@ -111,6 +111,11 @@ def mom_temp_trend(fact: DataFrame, store: DataFrame, warm: float = C.TREND_WARM
         monthly = monthly.withColumnRenamed("store_key_attr", "store_key")
     monthly = (monthly.withColumn("avg_temp", F.round(mean_from_cents(F.col("s"), F.col("n")), 2))
                .withColumn("month_name", F.date_format(F.make_date("year", "month_number", F.lit(1)), "MMMM")))
+    if key == "store_name":
+        # Range-partition the monthly rows by store name: that clusters each
+        # store for the window *and* already orders the output, so the final
+        # sort needs no exchange (and no sampling pass that re-runs the window).
+        monthly = monthly.repartitionByRange("store_name")
     w = Window.partitionBy(key).orderBy("year", "month_number", "region")
     trend = (monthly.withColumn("prev_month_temp", F.lag("avg_temp").over(w))
              .withColumn("mom_temp_change", F.round(F.col("avg_temp") - F.col("prev_month_temp"), 2))
@@ -173,7 +178,9 @@ def cumulative_spikes(fact: DataFrame, store: DataFrame, rows: int = 7) -> DataF
     The window partitions by region, but its input is one row per region and
     day, so a partition holds at most the calendar's length.
     """
-    daily = _daily_region_spikes(fact, store)
+    # Range partitions by region cluster each series for the window and already
+    # order the output by region, so the final sort adds no exchange.
+    daily = _daily_region_spikes(fact, store).repartitionByRange("region")
     w = Window.partitionBy("region").orderBy("full_date")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     mov = w.rowsBetween(-(rows - 1), Window.currentRow)
@@ -187,7 +194,8 @@ def cumulative_spikes(fact: DataFrame, store: DataFrame, rows: int = 7) -> DataF
 
 def calendar_rolling_avg(fact: DataFrame, store: DataFrame, days: int = 7) -> DataFrame:
     """True ``days``-day mean of daily spikes (days without readings count 0)."""
-    daily = _daily_region_spikes(fact, store).withColumn("_day", F.unix_date("full_date"))
+    daily = (_daily_region_spikes(fact, store).repartitionByRange("region")
+             .withColumn("_day", F.unix_date("full_date")))
     w = Window.partitionBy("region").orderBy("_day").rangeBetween(-(days - 1), 0)
     mean = F.sum("daily_spikes").over(w).cast("decimal(20,0)") / F.lit(days).cast("decimal(20,0)")
     return (daily.select("region", "full_date", "daily_spikes",

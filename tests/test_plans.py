@@ -33,3 +33,13 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 def test_dimension_joins_are_broadcast(spark):
     plan = _plan(entry.queries()["high_risk_stores"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["mom_temp_trend", "cumulative_spikes", "calendar_rolling_avg"])
+def test_windowed_reports_sort_without_extra_exchange(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = _plan(df)
+    assert plan.count("rangepartitioning") == 1 and plan.count("hashpartitioning") == 1, plan
+    rows = df.collect()
+    key = (lambda r: (r.store_name, r.year)) if name == "mom_temp_trend" else (lambda r: (r.region, r.full_date))
+    assert [key(r) for r in rows] == sorted(key(r) for r in rows)
