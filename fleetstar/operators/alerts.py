@@ -47,11 +47,12 @@ def critical_alerts(fact: DataFrame, device: DataFrame, store: DataFrame, alert:
     first on DESC; the default lists measured temperatures first.
     """
     x = _alerted(fact, device, store, alert, codes)
+    if k is None:
+        # Every alert (input to routing, cards, e-mail, outbox): no report
+        # order to honour, so no global sort of a fact-sized result.
+        return x.select(*ALERT_COLUMNS)
     temp = F.desc_nulls_first("temperature_celsius") if nulls == "first" else F.desc_nulls_last("temperature_celsius")
-    x = x.orderBy(temp, F.asc("telemetry_key"))
-    if k is not None:
-        x = x.limit(k)
-    return x.select(*ALERT_COLUMNS)
+    return x.orderBy(temp, F.asc("telemetry_key")).limit(k).select(*ALERT_COLUMNS)
 
 
 def critical_alerts_since(fact: DataFrame, device: DataFrame, store: DataFrame, alert: DataFrame,
