@@ -22,17 +22,22 @@ def load_summary(fact: DataFrame) -> DataFrame:
                       "dirty_records", exact_pct(F.col("dirty_records"), n, 1).alias("dirty_pct"))
 
 
-def gdpr_report(fact: DataFrame, device: DataFrame, store: DataFrame) -> DataFrame:
-    """Per store: non-compliant readings (count, rate) and masked devices registered there."""
+def gdpr_report(fact: DataFrame, device: DataFrame, store: DataFrame, by: str = "store") -> DataFrame:
+    """Non-compliant readings (count, rate) and masked devices, per store or per region."""
     per = (fact.groupBy("store_key")
            .agg(F.count(F.lit(1)).alias("total_readings"),
                 count_true(~F.col("gdpr_compliant")).alias("non_compliant")))
     masked = device.groupBy("store_key").agg(count_true(F.col("gdpr_masked")).alias("masked_devices"))
     per = join_dim(per, store.select("store_key", "store_name", "region"), "store_key")
-    per = join_dim(per, masked, "store_key", how="left")
-    return per.select("store_name", "region", "total_readings", "non_compliant",
+    per = join_dim(per, masked, "store_key", how="left").fillna(0, ["masked_devices"])
+    keys = ["store_name", "region"]
+    if by == "region":
+        keys = ["region"]
+        per = per.groupBy("region").agg(*[F.sum(c).alias(c) for c in
+                                          ("total_readings", "non_compliant", "masked_devices")])
+    return per.select(*keys, "total_readings", "non_compliant",
                       exact_pct(F.col("non_compliant"), F.col("total_readings")).alias("non_compliant_pct"),
-                      F.coalesce(F.col("masked_devices"), F.lit(0)).cast("long").alias("masked_devices"))
+                      F.col("masked_devices").cast("long").alias("masked_devices"))
 
 
 def register_star(star, prefix: str = "") -> None:

@@ -581,6 +581,17 @@ SELECT s.store_name, s.region, per.total_readings, per.non_compliant,
        COALESCE(masked.masked_devices, 0) AS masked_devices
 FROM per JOIN p1_store s ON per.store_key = s.store_key LEFT JOIN masked ON per.store_key = masked.store_key"""
 
+GDPR_REPORT_BY_REGION = with_(P1, """
+per AS (SELECT s.region, COUNT(*) AS total_readings, COUNT(*) FILTER (WHERE NOT f.gdpr_compliant) AS non_compliant
+        FROM p1_fact f JOIN p1_store s ON f.store_key = s.store_key GROUP BY s.region)""", """
+masked AS (SELECT s.region, COUNT(*) FILTER (WHERE d.gdpr_masked) AS masked_devices
+           FROM p1_device d JOIN p1_store s ON d.store_key = s.store_key
+           WHERE d.store_key IN (SELECT DISTINCT store_key FROM p1_fact) GROUP BY s.region)""") + f"""
+SELECT per.region, per.total_readings, per.non_compliant,
+       {pct2('per.non_compliant', 'per.total_readings')} AS non_compliant_pct,
+       CAST(COALESCE(masked.masked_devices, 0) AS BIGINT) AS masked_devices
+FROM per LEFT JOIN masked ON per.region = masked.region"""
+
 
 def _rule_sql(r, table_of) -> str:
     t = table_of[r.table]
@@ -679,6 +690,7 @@ ORACLE.update({
     "quality_breakdown": QUALITY_BREAKDOWN,
     "quality_breakdown_firmware": QUALITY_BREAKDOWN_FIRMWARE,
     "gdpr_report": GDPR_REPORT,
+    "gdpr_report_by_region": GDPR_REPORT_BY_REGION,
     "check_constraints": CHECK_CONSTRAINTS,
     "date_dimension": DATE_DIMENSION,
     "insert_if_absent": INSERT_IF_ABSENT,

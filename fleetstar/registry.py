@@ -184,6 +184,7 @@ QUERIES.update({
     "quality_breakdown": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, by="store")),
     "quality_breakdown_firmware": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, s.device, by="firmware")),
     "gdpr_report": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store)),
+    "gdpr_report_by_region": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store, by="region")),
     "check_constraints": _p1(lambda s: Q.check_constraints(
         {"fact": s.fact, "store": s.store, "device": s.device, "alert": s.alert})),
     "date_dimension": _p2(lambda s: M.date_dimension_covering(s.fact)),
