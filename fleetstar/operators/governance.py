@@ -40,12 +40,24 @@ def gdpr_report(fact: DataFrame, device: DataFrame, store: DataFrame, by: str =
                       F.col("masked_devices").cast("long").alias("masked_devices"))
 
 
-def register_star(star, prefix: str = "") -> None:
-    """Expose the star's tables as temporary views (for SQL users)."""
+def register_star(star, prefix: str = "", with_views: bool = True) -> None:
+    """Expose the star to SQL users under the model's table and view names.
+
+    Registers the four tables, a calendar covering the fact's dates and, with
+    ``with_views``, the two standing views (high-risk stores, device health)
+    as lazy temporary views: each SQL query still plans from the files.
+    """
+    from fleetstar.operators.dims import date_dimension_covering
+    from fleetstar.operators.fleet import device_health, high_risk_stores
+
     star.fact.createOrReplaceTempView(f"{prefix}fact_device_telemetry")
     star.store.createOrReplaceTempView(f"{prefix}dim_store")
     star.device.createOrReplaceTempView(f"{prefix}dim_device")
     star.alert.createOrReplaceTempView(f"{prefix}dim_alert_type")
+    date_dimension_covering(star.fact).createOrReplaceTempView(f"{prefix}dim_date")
+    if with_views:
+        high_risk_stores(star.fact, star.store).createOrReplaceTempView(f"{prefix}vw_high_risk_stores")
+        device_health(star.fact, star.device, star.store).createOrReplaceTempView(f"{prefix}vw_device_health")
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

@@ -115,10 +115,16 @@ def test_star_materialise_and_versions(spark, micro, tmp_dir):
     assert spark.read.parquet(out).filter("is_anomaly").count() == 2
 
 
-def test_catalog_listing(spark, micro):
+def test_catalog_listing_and_sql_access(spark, micro):
     G.register_star(micro, prefix="t_")
     names = [r.table_name for r in G.list_tables(spark).collect()]
-    assert {"t_fact_device_telemetry", "t_dim_store", "t_dim_device", "t_dim_alert_type"} <= set(names)
+    assert {"t_fact_device_telemetry", "t_dim_store", "t_dim_device", "t_dim_alert_type", "t_dim_date",
+            "t_vw_high_risk_stores", "t_vw_device_health"} <= set(names)
+    got = spark.sql("SELECT store_id FROM t_vw_high_risk_stores ORDER BY spike_rate_pct DESC").collect()
+    assert [r.store_id for r in got] == ["S2", "S4", "S1"]
+    n = spark.sql("""SELECT COUNT(*) AS n FROM t_fact_device_telemetry f
+                     JOIN t_dim_date d ON f.date_key = d.date_key WHERE d.is_weekend""").collect()[0].n
+    assert n == 6  # readings on 2025-01-11 (2), 01-12, 02-01, 03-01 (2)
 
 
 def test_column_profile(spark, micro):
