@@ -1,8 +1,10 @@
 """Fleet-health analytics: spike rates, rankings, trends, early warnings.
 
-Every query aggregates the fact by its foreign keys first (partial, map-side
-aggregation; a hot key only ever contributes one partial row per task) and
-joins dimension attributes to the much smaller aggregate afterwards.
+Every aggregation is partial (map-side: a hot key only ever contributes one
+partial row per task). Store- and device-grain queries aggregate by the
+foreign key and join dimension attributes to the much smaller result;
+queries grouping by coarser attributes (region, store name) join a proven
+small dimension map-side first (``plans.joins.aggregate_by_attributes``).
 """
 
 from __future__ import annotations
@@ -18,7 +20,6 @@ from fleetstar.plans.ordinal import global_rank
 from fleetstar.plans.sequence import next_in_sequence
 
 
-
 def _store_rates(fact: DataFrame, store: DataFrame) -> DataFrame:
     per_store = (fact.groupBy("store_key")
                  .agg(F.count(F.lit(1)).alias("total_readings"),
@@ -45,7 +46,8 @@ def device_health(fact: DataFrame, device: DataFrame, store: DataFrame) -> DataF
     """Per device and store: sessions, mean temperature/session/power, anomaly and dirty counts."""
     per = (fact.groupBy("device_key", "store_key")
            .agg(F.count(F.lit(1)).alias("n"),
-                sum_cents(F.col("temperature_celsius")).alias("t_sum"), F.count(F.col("temperature_celsius")).alias("t_n"),
+                sum_cents(F.col("temperature_celsius")).alias("t_sum"),
+                F.count(F.col("temperature_celsius")).alias("t_n"),
                 F.sum("session_duration_secs").alias("s_sum"),
                 F.count("session_duration_secs").alias("s_n"),
                 sum_cents(F.col("power_draw_watts")).alias("p_sum"), F.count("power_draw_watts").alias("p_n"),
@@ -206,9 +208,10 @@ def calendar_rolling_avg(fact: DataFrame, store: DataFrame, days: int = 7) -> Da
 def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
                           buckets: int = 4) -> DataFrame:
     """Per-device spike rate over non-NULL readings, NTILE by rate (ties by device)."""
-    per = (fact.filter(F.col("temperature_celsius").isNotNull())
+    temp = F.col("temperature_celsius")
+    per = (fact.filter(temp.isNotNull())
            .groupBy("device_key", "store_key")
-           .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+           .agg(F.count(F.lit(1)).alias("n"), sum_cents(temp).alias("t"), F.count(temp).alias("tn"),
                 count_true(F.col("is_thermal_spike")).alias("sp")))
     per = join_dim(per, device.select("device_key", "device_id", "model_version", "firmware_version"),
                    "device_key")
@@ -231,9 +234,10 @@ def device_risk_quartiles(fact: DataFrame, device: DataFrame, store: DataFrame,
 def firmware_compliance(fact: DataFrame, device: DataFrame, fail: float = C.FIRMWARE_FAIL,
                         warn: float = C.FIRMWARE_WARN) -> DataFrame:
     """Per firmware version: devices, readings, spike rate, DENSE_RANK and status."""
-    per = (fact.filter(F.col("temperature_celsius").isNotNull())
+    temp = F.col("temperature_celsius")
+    per = (fact.filter(temp.isNotNull())
            .groupBy("device_key")
-           .agg(F.count(F.lit(1)).alias("n"), sum_cents(F.col("temperature_celsius")).alias("t"), F.count(F.col("temperature_celsius")).alias("tn"),
+           .agg(F.count(F.lit(1)).alias("n"), sum_cents(temp).alias("t"), F.count(temp).alias("tn"),
                 count_true(F.col("is_thermal_spike")).alias("sp"), sum_cents(F.col("power_draw_watts")).alias("p"),
                 F.count("power_draw_watts").alias("pn")))
     per = join_dim(per, device.select("device_key", "device_id", "firmware_version"), "device_key")
