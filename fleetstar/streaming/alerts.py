@@ -79,23 +79,27 @@ class OutboxWriter:
         except AnalysisException:
             return None
 
+    def _write(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn("batch", F.lit(batch_id).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_day", "batch").parquet(self.path))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        cached = batch.dropDuplicates(["telemetry_key"]).persist()
-        rows = cached
+        rows = batch.dropDuplicates(["telemetry_key"])
+        prior = self._existing(spark)
+        if prior is None:  # first write: nothing to de-duplicate against, one action
+            self._write(rows, batch_id)
+            return
+        cached = rows.persist()
         try:
             # Distinct event days of one micro-batch: bounded by the calendar.
-            days = [r[0] for r in rows.select("event_day").distinct().collect()]
+            days = [r[0] for r in cached.select("event_day").distinct().collect()]
             if not days:
                 return
-            prior = self._existing(spark)
-            if prior is not None:
-                seen = (prior.filter(F.col("event_day").isin(days) & (F.col("batch") != F.lit(batch_id)))
-                        .select("telemetry_key"))
-                rows = rows.join(seen, "telemetry_key", "left_anti")
-            (rows.withColumn("batch", F.lit(batch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("event_day", "batch").parquet(self.path))
+            seen = (prior.filter(F.col("event_day").isin(days) & (F.col("batch") != F.lit(batch_id)))
+                    .select("telemetry_key"))
+            self._write(cached.join(seen, "telemetry_key", "left_anti"), batch_id)
         finally:
             cached.unpersist()
 
