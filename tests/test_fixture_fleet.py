@@ -104,3 +104,14 @@ def test_device_health(micro):
     got = {r.device_id: r for r in fleet.device_health(micro.fact, micro.device, micro.store).collect()}
     assert got["D2"].total_sessions == 4 and got["D2"].dirty_record_count == 2
     assert got["D4"].avg_session_secs == 1150.0
+
+
+def test_all_null_temperatures_give_null_means(spark, micro):
+    # ANSI mode raises on division by zero; means over no values must be NULL instead.
+    from pyspark.sql import functions as F
+
+    only_missing = micro.fact.filter(F.col("telemetry_key") == 5)
+    got = fleet.device_health(only_missing, micro.device, micro.store).collect()
+    assert len(got) == 1 and got[0].avg_temp is None and got[0].total_sessions == 1
+    hr = fleet.high_risk_stores(only_missing, micro.store).collect()
+    assert hr[0].avg_temp is None and hr[0].spike_rate_pct == Dec("100.00")
