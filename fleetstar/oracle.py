@@ -133,6 +133,7 @@ ranked AS (
 SELECT CAST(global_rank AS BIGINT) AS global_rank, CAST(regional_rank AS BIGINT) AS regional_rank,
        store_name, city, country, region, total_readings, spike_count, spike_rate_pct
 FROM ranked ORDER BY global_rank, store_key LIMIT 10"""
+STORE_SPIKE_RANKING_ALL = STORE_SPIKE_RANKING.replace(" LIMIT 10", "")
 
 MOM_TEMP_TREND = with_(P2, f"""
 monthly AS (
@@ -236,6 +237,7 @@ ORACLE: dict[str, str] = {
     "high_risk_stores": HIGH_RISK_STORES,
     "device_health": DEVICE_HEALTH,
     "store_spike_ranking": STORE_SPIKE_RANKING,
+    "store_spike_ranking_all": STORE_SPIKE_RANKING_ALL,
     "mom_temp_trend": MOM_TEMP_TREND,
     "next_session_early_warning": early_warning(50),
     "next_session_all": early_warning(None),
@@ -313,6 +315,10 @@ ALERT_BASE = with_(P1, ALERT_CTE, ROUTING_CTE, ALERTED, ROUTED)
 
 CRITICAL_ALERTS = ALERT_BASE + ALERT_SELECT + " ORDER BY temperature_celsius DESC NULLS LAST, telemetry_key LIMIT 20"
 CRITICAL_ALERTS_ALL = ALERT_BASE + ALERT_SELECT
+# The source database sorts NULL first on DESC: the report then opens with
+# critical readings whose temperature is missing.
+CRITICAL_ALERTS_NULLS_FIRST = (ALERT_BASE + ALERT_SELECT
+                               + " ORDER BY temperature_celsius DESC NULLS FIRST, telemetry_key LIMIT 20")
 CRITICAL_ALERTS_SINCE = ALERT_BASE + """
 SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
        CAST(max_temp_threshold AS DOUBLE) AS max_temp_threshold, device_id, firmware_version, store_name, city,
@@ -660,6 +666,7 @@ FROM fresh"""
 ORACLE.update({
     "critical_alerts": CRITICAL_ALERTS,
     "critical_alerts_all": CRITICAL_ALERTS_ALL,
+    "critical_alerts_nulls_first": CRITICAL_ALERTS_NULLS_FIRST,
     "critical_alerts_since": CRITICAL_ALERTS_SINCE,
     "routed_alerts": ROUTED_ALERTS,
     "alert_cards": ALERT_CARDS,

@@ -59,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_risk_stores": _p2(lambda s: fleet.high_risk_stores(s.fact, s.store)),
     "device_health": _p1(lambda s: fleet.device_health(s.fact, s.device, s.store)),
     "store_spike_ranking": _p2(lambda s: fleet.store_spike_ranking(s.fact, s.store)),
+    "store_spike_ranking_all": _p2(lambda s: fleet.store_spike_ranking(s.fact, s.store, k=None)),
     "mom_temp_trend": _p2(lambda s: fleet.mom_temp_trend(s.fact, s.store)),
     "next_session_early_warning": _p1(lambda s: fleet.next_session_early_warning(s.fact, s.device, s.store)),
     "next_session_all": _p1(lambda s: fleet.next_session_early_warning(s.fact, s.device, s.store, k=None)),
@@ -147,6 +148,8 @@ def _p2_flat(s):
 QUERIES.update({
     "critical_alerts": _p1(lambda s: A.critical_alerts(s.fact, s.device, s.store, s.alert)),
     "critical_alerts_all": _p1(lambda s: A.critical_alerts(s.fact, s.device, s.store, s.alert, k=None)),
+    "critical_alerts_nulls_first": _p1(lambda s: A.critical_alerts(s.fact, s.device, s.store, s.alert,
+                                                                   nulls="first")),
     "critical_alerts_since": _p1(_since),
     "routed_alerts": _p1s(lambda spark, s: _routed(spark, s).select(*A.ALERT_COLUMNS, "manager_name",
                                                                     "manager_email", "manager_handle")),
