@@ -200,17 +200,21 @@ def _row_rule(r: Rule):
         return count_true(~c.isin(list(r.arg)))
     if r.kind == "missing_iff_null":
         return count_true((F.col("data_quality_flag") == "MISSING") != F.col("temperature_celsius").isNull())
+    if r.kind == "duplicate":
+        # Extra rows beyond one per key value = rows - distinct values (NULL counts as one value).
+        has_null = F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
+        return F.count(F.lit(1)) - F.countDistinct(c) - has_null
     return None
 
 
 def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
     """One row per rule: (rule, table_name, violations).
 
-    * Row-level rules of a table share one aggregate pass.
+    * Row-level rules and duplicate-key counts of a table share one aggregate
+      pass (duplicates = rows - distinct key values).
     * Reference rules on the fact run on the fact pre-aggregated by its
       foreign keys (map-side partial counts, so a hot key costs one row per
       task), then anti-join the parent's keys (broadcast when proven small).
-    * Duplicate keys: grouped counts of the key column.
     """
     rules = rules if rules is not None else default_rules(tables)
     parts: list[DataFrame] = []
@@ -235,10 +239,7 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
         checkpoint_base(tables["fact"].sparkSession)
         fk = tables["fact"].groupBy(*fk_cols).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     for r in rules:
-        if r.kind == "duplicate":
-            counts = tables[r.table].groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
-            v = counts.agg(F.sum(F.when(F.col("n") > 1, F.col("n") - 1).otherwise(0)).alias("v"))
-        elif r.kind == "orphan":
+        if r.kind == "orphan":
             parent, pcol = r.arg
             keys = tables[parent].select(F.col(pcol).alias("_pk")).distinct()
             if r.table == "fact":
