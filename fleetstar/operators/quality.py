@@ -210,8 +210,9 @@ def _row_rule(r: Rule):
 def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
     """One row per rule: (rule, table_name, violations).
 
-    * Row-level rules and duplicate-key counts of a table share one aggregate
-      pass (duplicates = rows - distinct key values).
+    * Row-level rules and duplicate-key counts of a dimension share one
+      aggregate pass (duplicates = rows - distinct key values); the fact's
+      primary-key check is a separate key-only grouped count.
     * Reference rules on the fact run on the fact pre-aggregated by its
       foreign keys (map-side partial counts, so a hot key costs one row per
       task), then anti-join the parent's keys (broadcast when proven small).
@@ -220,7 +221,9 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
     parts: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
     for r in rules:
-        if _row_rule(r) is not None:
+        # The fact's key check stays a separate key-only aggregate: folded into
+        # the row pass, every key would be shuffled with all the rules' buffers.
+        if _row_rule(r) is not None and not (r.kind == "duplicate" and r.table == "fact"):
             by_table.setdefault(r.table, []).append(r)
     for t, rs in by_table.items():
         one = tables[t].agg(*[_row_rule(r).alias(f"r{i}") for i, r in enumerate(rs)])
@@ -239,7 +242,10 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
         checkpoint_base(tables["fact"].sparkSession)
         fk = tables["fact"].groupBy(*fk_cols).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     for r in rules:
-        if r.kind == "orphan":
+        if r.kind == "duplicate" and r.table == "fact":
+            counts = tables[r.table].groupBy(r.column).agg(F.count(F.lit(1)).alias("n"))
+            v = counts.agg(F.sum(F.when(F.col("n") > 1, F.col("n") - 1).otherwise(0)).alias("v"))
+        elif r.kind == "orphan":
             parent, pcol = r.arg
             keys = tables[parent].select(F.col(pcol).alias("_pk")).distinct()
             if r.table == "fact":
