@@ -7,7 +7,8 @@ task. Instead each entity's timeline is cut into fixed time buckets:
 1. the window runs per (entity, bucket), so a hot entity spreads over many
    tasks;
 2. a per-(entity, bucket) summary (first row, or last non-NULL value) is
-   aggregated from the already bucket-partitioned rows (no extra shuffle);
+   aggregated map-side (one partial row per bucket and task) from a second,
+   column-pruned read, so only summaries are shuffled for it;
 3. a window over the small summary table carries values across bucket
    boundaries, and is joined back on (entity, bucket). The summary grows with
    the data, so no broadcast is forced: adaptive execution switches to a
