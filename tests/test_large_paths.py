@@ -24,6 +24,9 @@ def forced(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield spark
+    from fleetstar import registry
+
+    registry._stars.clear()  # plans built under the forced settings must not leak
     for k in ("fleetstar.broadcast.maxRows", "fleetstar.window.localMaxRows",
               "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
         spark.conf.unset(k)
