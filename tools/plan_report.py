@@ -37,7 +37,9 @@ def main(argv) -> None:
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (adaptive execution re-plans at runtime;")
     print("these are the initial plans). Columns: hash / range exchanges, single-partition exchanges")
     print("(final merges of global aggregates), broadcast hash joins, sort-merge joins, window")
-    print("operators, distinct scalar subqueries, and each parquet scan's columns and pushed filters.\n")
+    print("operators, distinct scalar subqueries, and each parquet scan's columns and pushed filters.")
+    print("Operator counts include a scalar subquery's plan once per place that references it (the")
+    print("plan text repeats it); a subquery listed once in the subqueries column executes once.\n")
     print("| query | hash | range | single | BHJ | SMJ | windows | subqueries | scans (columns; pushed filters) |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in entry.queries().items():
