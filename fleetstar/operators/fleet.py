@@ -84,8 +84,10 @@ def store_spike_ranking(fact: DataFrame, store: DataFrame, k: int | None = 10) -
         ranked = (rates.withColumn("regional_rank", regional)
                   .withColumn("global_rank", F.rank().over(Window.orderBy(F.desc("spike_rate_pct")))))
     else:
-        ranked = rates.withColumn(
-            "regional_rank", F.rank().over(Window.partitionBy("region").orderBy(F.desc("spike_rate_pct"))))
+        # Every store: both ranks via the checked ranking helper, so neither the
+        # whole table nor one large region is ranked inside a single task.
+        ranked = global_rank(rates, "rank", [("spike_rate_pct", False)], "regional_rank",
+                             tiebreak=[("store_key", True)], partition_by=["region"])
         ranked = global_rank(ranked, "rank", [("spike_rate_pct", False)], "global_rank",
                              tiebreak=[("store_key", True)])
     return (ranked.orderBy("global_rank", "store_key")

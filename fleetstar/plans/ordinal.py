@@ -79,21 +79,27 @@ def _join_back(df: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def global_rank(df: DataFrame, kind: str, order, out: str, tiebreak=(), buckets: int = 4,
-                local_max_rows: int | None = None) -> DataFrame:
+                local_max_rows: int | None = None, partition_by=()) -> DataFrame:
     """Add ``out`` = RANK / DENSE_RANK / NTILE(buckets) / ROW_NUMBER.
 
     ``order`` and ``tiebreak`` are lists of (column, ascending). Ties in
     ``order`` share a RANK / DENSE_RANK; ``tiebreak`` makes NTILE and
-    ROW_NUMBER deterministic.
+    ROW_NUMBER deterministic. ``partition_by`` (RANK only) ranks within
+    groups without sending a large group to one task.
     """
     order = list(order)
     tiebreak = list(tiebreak)
+    groups = list(partition_by)
+    if groups and kind != "rank":
+        raise ValueError("partition_by is supported for RANK only")
     limit = local_max_rows or local_limit(df)
     # The input (usually an aggregate of the fact) is computed once into the
     # shared checkpoint folder; the size check and the ranking both read that.
     checkpoint_base(df.sparkSession)
     df = df.checkpoint(eager=True)
     if df.limit(limit + 1).count() <= limit:
+        if groups:
+            return df.withColumn(out, F.rank().over(Window.partitionBy(*groups).orderBy(*_sort_cols(order))))
         w_order = Window.orderBy(*_sort_cols(order))
         w_total = Window.orderBy(*_sort_cols(order + tiebreak))
         fn = {
@@ -105,6 +111,15 @@ def global_rank(df: DataFrame, kind: str, order, out: str, tiebreak=(), buckets:
         return df.withColumn(out, fn())
 
     names = [c for c, _ in order]
+    if groups:
+        # Positions in (group, order) order; a row's rank inside its group is the
+        # first position of its tie group minus the group's first position, plus one.
+        numbered = with_row_number(df, [(g, True) for g in groups] + order + tiebreak, "_rn")
+        firsts = numbered.groupBy(*groups, *names).agg(F.min("_rn").alias("_tie_first"))
+        starts = numbered.groupBy(*groups).agg(F.min("_rn").alias("_group_first"))
+        ranked = _join_back(_join_back(numbered, firsts, groups + names), starts, groups)
+        return (ranked.withColumn(out, (F.col("_tie_first") - F.col("_group_first") + 1).cast("int"))
+                .drop("_rn", "_tie_first", "_group_first"))
     if kind == "row_number":
         return with_row_number(df, order + tiebreak, out)
     if kind == "ntile":

@@ -100,3 +100,15 @@ def test_auto_bucket_width(spark):
                            bucket_seconds=narrow)
     assert sorted(out.select("telemetry_key", F.col("next_temperature_celsius").alias("n")).collect()) == sorted(
         plain.collect())
+
+
+def test_partitioned_rank_distributed_equals_window(spark):
+    df = _rates(spark).withColumn("grp", F.col("k") % 3)
+    local = global_rank(df, "rank", [("q", False)], "r", tiebreak=[("k", True)], partition_by=["grp"])
+    dist = global_rank(df.repartition(5), "rank", [("q", False)], "r", tiebreak=[("k", True)],
+                       partition_by=["grp"], local_max_rows=10)
+    w = Window.partitionBy("grp").orderBy(F.desc("q"))
+    plain = df.withColumn("r", F.rank().over(w))
+    expect = sorted(plain.select("k", "r").collect())
+    assert sorted(local.select("k", "r").collect()) == expect
+    assert sorted(dist.select("k", "r").collect()) == expect
