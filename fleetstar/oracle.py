@@ -578,6 +578,13 @@ SELECT firmware_version, data_quality_flag, readings,
        {pct2('readings', 'SUM(readings) OVER (PARTITION BY firmware_version)')} AS share_pct
 FROM per"""
 
+QUALITY_BREAKDOWN_MONTH = with_(P2, """
+per AS (SELECT year(full_date) AS year, month(full_date) AS month_number, data_quality_flag, COUNT(*) AS readings
+        FROM p2_fact GROUP BY 1, 2, 3)""") + f"""
+SELECT CAST(year AS BIGINT) AS year, CAST(month_number AS BIGINT) AS month_number, data_quality_flag, readings,
+       {pct2('readings', 'SUM(readings) OVER (PARTITION BY year, month_number)')} AS share_pct
+FROM per"""
+
 GDPR_REPORT = with_(P1, """
 per AS (SELECT store_key, COUNT(*) AS total_readings, COUNT(*) FILTER (WHERE NOT gdpr_compliant) AS non_compliant
         FROM p1_fact GROUP BY store_key)""", """
@@ -696,6 +703,7 @@ ORACLE.update({
     "column_profile": COLUMN_PROFILE,
     "quality_breakdown": QUALITY_BREAKDOWN,
     "quality_breakdown_firmware": QUALITY_BREAKDOWN_FIRMWARE,
+    "quality_breakdown_month": QUALITY_BREAKDOWN_MONTH,
     "gdpr_report": GDPR_REPORT,
     "gdpr_report_by_region": GDPR_REPORT_BY_REGION,
     "check_constraints": CHECK_CONSTRAINTS,

@@ -186,6 +186,7 @@ QUERIES.update({
                           .drop("data_type")),
     "quality_breakdown": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, by="store")),
     "quality_breakdown_firmware": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, s.device, by="firmware")),
+    "quality_breakdown_month": _p2(lambda s: Q.quality_breakdown(s.fact, s.store, by="month")),
     "gdpr_report": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store)),
     "gdpr_report_by_region": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store, by="region")),
     "check_constraints": _p1(lambda s: Q.check_constraints(
