@@ -6,9 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_codes
-from .common import read_table
+from . import mixing, packing, quality, token_codes
+from .common import materialise, read_table
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.divergence(read_table(spark, sf_dir, "documents")).drop("lang")
+
+
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    sized = materialise(docs.select("doc_id", "source", mixing.size_of(docs["text"]).alias("size")), "sizes")
+    return mixing.copies(sized).select("doc_id", "size", "source_size", "target",
+                                       (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +33,30 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_divergence": quality_rules,
+    "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
     "op5_token_codes": token_output,
 }
-ORACLE: dict[str, str] = {}
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT source, source_size, 2.0::DOUBLE * source_size AS cap,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3]::DOUBLE AS weight FROM s),
+o AS (  -- sources in the order in which a rising level fills them
+  SELECT *, cap / weight AS full_at,
+         coalesce(sum(cap) OVER before, 0) AS given, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight,
+         1.5::DOUBLE * sum(source_size) OVER () AS wanted
+  FROM w WINDOW before AS (ORDER BY cap / weight, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lv AS (SELECT min((wanted - given) / open_weight) FILTER ((wanted - given) / open_weight < full_at) AS level FROM o),
+t AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0 ELSE least(cap, weight * coalesce(level, 0)) END AS target FROM o, lv),
+r AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size = 0 THEN 0 ELSE t.target / t.source_size END AS rate,
+         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
+       CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
+"""
+ORACLE: dict[str, str] = {"op6_source_mix": MIX_SQL}
