@@ -50,7 +50,7 @@ o AS (  -- sources in the order in which a rising level fills them
          coalesce(sum(cap) OVER before, 0) AS given, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open_weight,
          1.5::DOUBLE * sum(source_size) OVER () AS wanted
   FROM w WINDOW before AS (ORDER BY cap / weight, source IS NULL, encode(source) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-lv AS (SELECT min((wanted - given) / open_weight) FILTER ((wanted - given) / open_weight < full_at) AS level FROM o),
+lv AS (SELECT arg_min((wanted - given) / open_weight, full_at) FILTER ((wanted - given) / open_weight < full_at) AS level FROM o),
 t AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0 ELSE least(cap, weight * coalesce(level, 0)) END AS target FROM o, lv),
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size = 0 THEN 0 ELSE t.target / t.source_size END AS rate,
