@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_codes
+from . import mixing, packing, quality, token_codes, warc
 from .common import materialise, read_table
 
 
@@ -32,10 +32,15 @@ def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.read_tokens(token_codes.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def archive_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_back(spark, warc.convert(spark, warc.write_arc(read_table(spark, sf_dir, "pages"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_divergence": quality_rules,
     "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
+    "op8_archive_conversion": archive_conversion,
     "op5_token_codes": token_output,
 }
 MIX_SQL = r"""
