@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, token_codes, warc
+from . import mixing, near_dedup, packing, quality, token_codes, warc
 from .common import materialise, read_table
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.divergence(read_table(spark, sf_dir, "documents")).drop("lang")
 
@@ -37,6 +41,7 @@ def archive_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": near_duplicates,
     "op3_quality_divergence": quality_rules,
     "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
