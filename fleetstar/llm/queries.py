@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, packing, quality, token_codes, warc
+from . import language, mixing, near_dedup, packing, quality, token_codes, toxicity, warc
 from .common import materialise, read_table
 
 
@@ -40,12 +40,28 @@ def archive_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.convert(spark, warc.write_arc(read_table(spark, sf_dir, "pages"))))
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fold = language.remainder(F.col("doc_id"), 5)
+    lexicon = toxicity.train(docs, read_table(spark, sf_dir, "labels").where(fold != 0))
+    return toxicity.score(docs, lexicon).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    fold = language.remainder(F.col("doc_id"), 3)
+    model = language.train(docs.where(fold != 1))
+    return language.predict(docs, model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": near_duplicates,
     "op3_quality_divergence": quality_rules,
     "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
     "op8_archive_conversion": archive_conversion,
+    "op9_toxicity": toxicity_scores,
+    "op10_language_id": language_id,
     "op5_token_codes": token_output,
 }
 MIX_SQL = r"""
