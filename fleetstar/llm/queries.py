@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dedup, packing, quality, token_codes, toxicity, warc
+from . import language, mixing, near_dedup, packing, quality, token_codes, topk, toxicity, warc
 from .common import materialise, read_table
 
 
@@ -40,6 +40,25 @@ def archive_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.convert(spark, warc.write_arc(read_table(spark, sf_dir, "pages"))))
 
 
+def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = materialise(topk.integer_vectors(read_table(spark, sf_dir, "embeddings")), "vectors")
+    index, shards = topk.build(vectors)
+    return topk.search(vectors.where("vec_id % 100 = 0"), index, shards)
+
+
+TOPK_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: CAST(p[1] * p[2] AS BIGINT))) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     fold = language.remainder(F.col("doc_id"), 5)
@@ -60,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
     "op8_archive_conversion": archive_conversion,
+    "op4_exact_topk": exact_topk,
     "op9_toxicity": toxicity_scores,
     "op10_language_id": language_id,
     "op5_token_codes": token_output,
@@ -85,4 +105,4 @@ r AS (
 SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
        CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
-ORACLE: dict[str, str] = {"op6_source_mix": MIX_SQL}
+ORACLE: dict[str, str] = {"op4_exact_topk": TOPK_SQL, "op6_source_mix": MIX_SQL}
