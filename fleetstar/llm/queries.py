@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dedup, packing, quality, token_codes, topk, toxicity, warc
+from . import language, licenses, mixing, near_dedup, packing, quality, token_codes, topk, toxicity, warc
 from .common import materialise, read_table
 
 
@@ -40,6 +40,17 @@ def archive_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(spark, warc.convert(spark, warc.write_arc(read_table(spark, sf_dir, "pages"))))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a repository, ids give the directories, and a
+    document that opens or ends with a licence line stands for its directory's licence file."""
+    docs = read_table(spark, sf_dir, "documents")
+    ends = F.concat_ws("\n", F.substring_index("text", "\n", 1), F.substring_index("text", "\n", -1))
+    opens = F.coalesce(ends.rlike(r"(?i)licen[cs]e|rights reserved"), F.lit(False))
+    name = F.concat(F.when(opens, F.lit("LICENSE-")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string"), name)
+    return licenses.scan(docs.select("doc_id", F.col("source").alias("repo"), path.alias("path"), "text"))
+
+
 def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = materialise(topk.integer_vectors(read_table(spark, sf_dir, "embeddings")), "vectors")
     index, shards = topk.build(vectors)
@@ -79,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mix": source_mix,
     "op2_best_fit_packing": best_fit_packing,
     "op8_archive_conversion": archive_conversion,
+    "op7_license_scan": license_scan,
     "op4_exact_topk": exact_topk,
     "op9_toxicity": toxicity_scores,
     "op10_language_id": language_id,
