@@ -1,27 +1,60 @@
 """Corpus pipeline: toxicity, quality rules, near-duplicates, mixing, packing.
 
-Each stage takes (spark, docs, sf_dir); its result is written as Parquet and
-read again as the next stage's documents.
+Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; its result is written as Parquet and read again as the next stage's
+documents. All but the last return the columns of ``documents``. No single SQL
+statement expresses the learned and the recursive stages, so the whole is
+tested against a brute-force version.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetstar.llm import packing
+from fleetstar.llm import language, mixing, near_dedup, packing, quality, toxicity
 from fleetstar.llm.common import materialise, read_table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity score rejects go."""
+    labels = read_table(spark, sf_dir, "labels").where(language.remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return near_dedup.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or thinned out to their source's target."""
+    return mixing.mix(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their sequence and place."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("best-fit packing", pack_sequences)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality rules", keep_good),
+    ("MinHash near-dedup", keep_one),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the whole ``documents`` table."""
     docs = read_table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

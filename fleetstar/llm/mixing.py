@@ -88,7 +88,7 @@ def copies(sized: DataFrame, seed: str = SEED, **plan) -> DataFrame:
 def mix(docs: DataFrame, seed: str = SEED, **plan) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, with the columns of ``docs``."""
     table = source_plan(docs.select("source", size_of(F.col("text")).alias("size")), **plan).select(
-        F.col("source").alias("_source"), F.col("rate").alias("_rate"))
-    taken = (docs.join(table, docs["source"].eqNullSafe(table["_source"]))
-             .withColumn("_n", times(F.col("_rate"), docs["doc_id"], seed).cast("int")).where("_n > 0"))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[docs[c] for c in docs.columns])
+        F.col("source").alias("__source"), F.col("rate").alias("__rate"))
+    taken = (docs.join(table, docs["source"].eqNullSafe(table["__source"]))
+             .withColumn("__times", times(F.col("__rate"), docs["doc_id"], seed).cast("int")).where("__times > 0"))
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[docs[c] for c in docs.columns])

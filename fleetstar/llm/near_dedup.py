@@ -252,7 +252,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
-    """doc_id, n_shingles, component_id (least id reachable), kept, one row per row of ``docs``."""
+    """doc_id, n_shingles, component_id (least id reachable), kept and text_key, one row per row of ``docs``."""
     sketched = materialise(sketches(docs, words), "sketches")
     members = sketched.where("n_shingles > 0").dropDuplicates(["set_id"])
     members = materialise(members, "members")
@@ -278,14 +278,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     named = rooted.join(names, rooted["root"] == names["_root"], "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("name"))
     return named.select("doc_id", "n_shingles", component.alias("component_id"),
-                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+                        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), "text_key")
+
+
+def keep_one(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """One document of each group, with all its columns; documents without an id stay if their group has none."""
+    found = materialise(near_duplicates(docs, words, threshold), "near-duplicates")
+    keep = found.where("kept or (doc_id is null and component_id is null)").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    kept = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]) & (F.xxhash64(docs["text"]) == keep["_key"]), "left_semi")
+    repeated = keep.where("_id is not null").groupBy("_id", "_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if repeated.isEmpty():
+        return kept
+    named = kept.where("doc_id is not null").withColumn("__key", F.xxhash64("text")).dropDuplicates(["doc_id", "__key"])
+    return named.drop("__key").unionByName(kept.where("doc_id is null"))
 
 
 def _with_roots(sketched: DataFrame, groups: DataFrame) -> DataFrame:
-    base = sketched.select("doc_id", "n_shingles", "set_id")
+    base = sketched.select("doc_id", "text_key", "n_shingles", "set_id")
     renamed = groups.select(F.col("set_id").alias("_set"), F.col("root").alias("_root"))
     return materialise(base.join(renamed, base["set_id"] == renamed["_set"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("_root", "set_id").alias("root")), "rooted")
+        "doc_id", "text_key", "n_shingles", F.coalesce("_root", "set_id").alias("root")), "rooted")
 
 
 def _texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -121,7 +121,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int
         pdf = pdf.sort_values(["length", "row_key"], ascending=False, ignore_index=True)  # arrival: longest first
         packer = BestFit(capacity, open_bins)
         placed = [packer.place(n) for n in pdf["length"].tolist()]
-        pdf["sequence_id"] = [key[0] << 40 | number for number, _ in placed]
+        pdf["sequence_id"] = [int(key[0]) << 40 | number for number, _ in placed]
         pdf["offset"] = [offset for _, offset in placed]
         return pdf.drop(columns="packer")
 

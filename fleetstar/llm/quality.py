@@ -60,7 +60,7 @@ def _lengths_between(sorted_positions: Column) -> Column:
 def features(docs: DataFrame) -> DataFrame:
     """Counts of each document: the base rules' four, character classes and short words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", "lang", text.alias("text")).withColumn("words", words_of(F.col("text")))
+    base = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), text.alias("text")).withColumn("words", words_of(F.col("text")))
     hashed = base.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
@@ -89,7 +89,7 @@ def features(docs: DataFrame) -> DataFrame:
     classes = F.array(F.col("letters") - F.col("capitals"), F.col("capitals"), F.col("digits"), spaces, F.col("stops"),
                       F.col("n_symbols"), F.col("n_chars") - F.col("letters") - F.col("digits") - spaces
                       - F.col("stops") - F.col("n_symbols"))
-    return counted.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    return counted.select("doc_id", "lang", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                           F.transform(classes, lambda x: x.cast("long")).alias("classes"), "short")
 
 
@@ -167,6 +167,12 @@ def divergence(docs: DataFrame) -> DataFrame:
     best = F.array_min(F.transform("compared", lambda d: F.struct(
         (d["words"] / MAX_WORD_DISTANCE + d["classes"] / MAX_CHARACTER_DISTANCE).alias("s"), d.alias("d"))))["d"]
     return second.select(
-        "doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "lang", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         best["words"].alias("word_distance"), best["classes"].alias("class_distance"), "base_failed",
         (~F.col("base_failed") & near(F.col("compared"))).alias("kept"))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns (rows of one id and text pass together)."""
+    good = divergence(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    return docs.join(good, docs["doc_id"].eqNullSafe(good["_id"]) & (F.xxhash64(docs["text"]) == good["_key"]), "left_semi")

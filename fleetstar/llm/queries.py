@@ -13,11 +13,11 @@ from .common import materialise, read_table
 
 
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), words=2).drop("text_key")
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.divergence(read_table(spark, sf_dir, "documents")).drop("lang")
+    return quality.divergence(read_table(spark, sf_dir, "documents")).drop("lang", "text_key")
 
 
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

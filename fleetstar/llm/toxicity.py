@@ -288,3 +288,14 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                                                   pa.array([int(s >= 0.5) for s in scores], pa.int32())], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([lexicon.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
