@@ -14,6 +14,9 @@ be links only a maximum spanning forest is confirmed on the full sets: if all
 of its links hold, so does the group. Where one fails, a second round confirms
 every remaining candidate pair between different groups. So the number of
 confirmed pairs grows with the documents, not with the square of a group.
+Nodes that one group fills by half or more do not thin out by branching;
+their members outside that group are compared, block by block, with all of
+the node, and the most alike of each block are confirmed too.
 
 Groups are the connected components of the confirmed links (alternating large
 and small stars). Hot sets, nodes and hubs are pre-aggregated or joined
@@ -41,7 +44,9 @@ from .tokens import text_blocks
 TREES = 16
 LEVELS = 8          # levels of a tree with tokens of their own
 FIRST = 3           # levels of the shortest path
-NODE = 100          # members of a node that is compared exhaustively
+NODE = 256          # members of a node that is compared exhaustively
+BLOCK = 2000        # members of a filled node that a straggler meets at once
+NEAREST = 6         # of them that are confirmed
 SURELY_NOT = 0.16   # signatures that agree on this much less than the threshold can't be links (5 sigma)
 _RNG = np.random.default_rng(977)
 _MULTIPLY = _RNG.integers(0, 2**63, TREES * LEVELS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,23 +88,24 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("k")).mapInArrow(run, SKETCH)
 
 
-def leaves(members: DataFrame) -> DataFrame:
-    """key, set_id, signature of the nodes where each tree's branching ends (two members at least)."""
+def leaves(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, set_id, signature of the nodes where each tree's branching ends (two members
+    at least), and the large nodes at its first level."""
     rows = members.select("set_id", F.posexplode("paths").alias("tree", "key"))
     live = _shared(rows, "paths").join(members.select("set_id", "signature"), "set_id")
     live = materialise(live, "nodes")
-    done = [live.where(F.col("n") <= NODE)]
+    done, first = [live.where(F.col("n") <= NODE)], live.where(F.col("n") > NODE)
     for level in range(FIRST, 2 * LEVELS):
         big = live.where(F.col("n") > NODE)
         if big.isEmpty():
-            return _union(done)
+            return _union(done), first
         # The tree's own levels first, then those of the trees after it.
         at = (F.col("tree") * LEVELS + level) % (TREES * LEVELS) + 1
         branched = big.drop("n").withColumn("key", F.xxhash64("key", F.substring("signature", at, F.lit(1)), F.lit(level)))
         live = materialise(_shared(branched, f"level{level}"), "nodes")
         done.append(live.where(F.col("n") <= NODE))
     done.append(live.where(F.col("n") > NODE))  # compared in blocks, each with the first member
-    return _union(done)
+    return _union(done), first
 
 
 def _shared(rows: DataFrame, name: str) -> DataFrame:
@@ -203,6 +209,54 @@ def candidates(nodes: DataFrame, threshold: float, groups: DataFrame | None = No
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
+def stragglers(large: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) to confirm between a filled node's group and its members outside of it."""
+    rooted = materialise(large.join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "large-nodes")
+    sizes = materialise(rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held")), "node-groups")
+    filled = materialise(sizes.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("held", "root")).alias("m"))
+                         .select("_key", F.col("m.held").alias("held"), F.col("m.root").alias("main")), "filled-nodes")
+    dense = rooted.join(filled, rooted["key"] == filled["_key"]).where("2 * held >= n")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    columns = ["key", "block", "outside", "set_id", "root", "signature"]
+    inside = dense.withColumns({"block": F.pmod(F.xxhash64("set_id"), blocks).cast("int"), "outside": F.lit(False)})
+    outside = dense.where("root <> main").withColumns({
+        "block": F.explode(F.sequence(F.lit(0), blocks - 1)), "outside": F.lit(True)})
+    rows = inside.select(*columns).unionByName(outside.select(*columns))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    least = (threshold - SURELY_NOT) * TREES * LEVELS
+
+    def compare(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        out, ids, roots = (np.concatenate([h[i] for h in held]) for i in (0, 1, 2))
+        signatures = np.concatenate([h[3] for h in held])
+        inner = np.flatnonzero(~out)
+        found = []
+        for i in np.flatnonzero(out):
+            alike = (signatures[inner] == signatures[i]).sum(1)
+            alike[roots[inner] == roots[i]] = -1
+            best = np.argsort(-alike, kind="stable")[:NEAREST]
+            found += [sorted((int(ids[i]), int(ids[inner[j]]))) for j in best if alike[j] >= least]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, current = [], None
+        for batch in batches:
+            key, block, out, ids, roots = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            signatures = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(len(ids), -1)
+            cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(block) != 0)) + 1
+            for a, b in zip(np.append(0, cuts), np.append(cuts, len(ids))):
+                if (key[a], block[a]) != current and held:
+                    yield from compare(held)
+                    held = []
+                current = (key[a], block[a])
+                held.append((out[a:b], ids[a:b], roots[a:b], signatures[a:b]))
+        if held:
+            yield from compare(held)
+
+    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", "outside")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
     """Pairs with the verdict ``linked``: Jaccard similarity of the full shingle sets against the threshold."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
@@ -256,23 +310,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     sketched = materialise(sketches(docs, words), "sketches")
     members = sketched.where("n_shingles > 0").dropDuplicates(["set_id"])
     members = materialise(members, "members")
-    nodes = leaves(members)
-    first = materialise(candidates(nodes, threshold), "pairs")
-    texts = _texts(docs, members, first)
-    checked = materialise(confirm(first, texts, words, threshold), "confirmed")
-    links = checked.where("linked").select("a", "b")
-    groups = components(links)
+    nodes, large = leaves(members)
+    checked = materialise(confirm(first := materialise(candidates(nodes, threshold), "pairs"),
+                                  _texts(docs, members, first), words, threshold), "confirmed")
+    groups = materialise(components(checked.where("linked").select("a", "b")), "groups")
+    rest = []
     if not checked.where("not linked").isEmpty():
-        groups = materialise(groups, "groups")
-        rest = candidates(nodes, threshold, groups)
+        rest.append(candidates(nodes, threshold, groups))
+    if not large.isEmpty():
+        rest.append(stragglers(large, groups, threshold))
+    if rest:
         known = checked.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-        rest = materialise(rest.join(known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")
-        if not rest.isEmpty():
-            more = confirm(rest, _texts(docs, members, rest), words, threshold).where("linked").select("a", "b")
-            more = materialise(more, "more-links")
-            if not more.isEmpty():
-                stars = groups.where("set_id <> root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
-                groups = components(stars.unionByName(more))
+        pairs = (rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1]).distinct()).join(
+            known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
+        pairs = materialise(pairs, "more-pairs")
+        more = materialise(confirm(pairs, _texts(docs, members, pairs), words, threshold).where("linked").select("a", "b"), "more-links")
+        if not more.isEmpty():
+            stars = groups.where("set_id <> root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
+            groups = components(stars.unionByName(more))
     rooted = _with_roots(sketched, materialise(groups, "roots"))
     names = materialise(rooted.where("root is not null").groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("name")), "names")
     named = rooted.join(names, rooted["root"] == names["_root"], "left")
