@@ -5,8 +5,8 @@ level a node's documents branch by the token that the level's hash function
 chooses. Nodes of at most ``NODE`` documents are compared exhaustively, larger
 ones branch again; ``TREES`` independent trees bring the recall of a pair at
 the threshold above 0.9999 for paths of ``FIRST`` levels (1 - (1 - 0.8^3)^16).
-Nodes that are still large after ``LEVELS`` levels branch on by other trees'
-tokens.
+Nodes that are still large after ``LEVELS`` levels hold texts that are all
+alike and are dealt into random parts of about ``NODE``, anew in each tree.
 
 Documents with the same set are one member. In a node, members are compared
 by their signatures (``TREES * LEVELS`` minwise bytes); of the pairs that may
@@ -95,16 +95,17 @@ def leaves(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     live = _shared(rows, "paths").join(members.select("set_id", "signature"), "set_id")
     live = materialise(live, "nodes")
     done, first = [live.where(F.col("n") <= NODE)], live.where(F.col("n") > NODE)
-    for level in range(FIRST, 2 * LEVELS):
+    for level in range(FIRST, LEVELS):
         big = live.where(F.col("n") > NODE)
         if big.isEmpty():
             return _union(done), first
-        # The tree's own levels first, then those of the trees after it.
-        at = (F.col("tree") * LEVELS + level) % (TREES * LEVELS) + 1
+        at = F.col("tree") * LEVELS + level + 1
         branched = big.drop("n").withColumn("key", F.xxhash64("key", F.substring("signature", at, F.lit(1)), F.lit(level)))
         live = materialise(_shared(branched, f"level{level}"), "nodes")
         done.append(live.where(F.col("n") <= NODE))
-    done.append(live.where(F.col("n") > NODE))  # compared in blocks, each with the first member
+    # What no token divides any more is dealt into random parts, others in every tree.
+    part = F.pmod(F.xxhash64("set_id", "tree"), F.ceil(F.col("n") / NODE))
+    done.append(live.where(F.col("n") > NODE).withColumn("key", F.xxhash64("key", part)))
     return _union(done), first
 
 
@@ -141,15 +142,10 @@ def _forest(pairs: np.ndarray, alike: np.ndarray) -> np.ndarray:
 
 
 def _node_pairs(size: int, cache: dict[int, np.ndarray] = {}) -> np.ndarray:  # noqa: B006 - shared on purpose
-    """Index pairs compared in a node: all of them, or by blocks with the first member in large ones."""
-    if size <= 2 * NODE:
-        if size not in cache:
-            cache[size] = np.stack(np.triu_indices(size, 1), 1)
-        return cache[size]
-    parts = [np.stack([np.zeros(size - 1, np.int64), np.arange(1, size)], 1)]
-    for at in range(1, size, NODE):
-        parts.append(at + _node_pairs(min(NODE, size - at)))
-    return np.concatenate(parts)
+    """Index pairs of a node's members."""
+    if size not in cache:
+        cache[size] = np.stack(np.triu_indices(size, 1), 1)
+    return cache[size]
 
 
 def candidates(nodes: DataFrame, threshold: float, groups: DataFrame | None = None) -> DataFrame:

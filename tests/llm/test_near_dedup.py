@@ -114,8 +114,3 @@ def test_components_of_a_long_chain(spark):
     roots = {r["set_id"]: r["root"] for r in near_dedup.components(links).collect()}
     assert roots == {**{i: 0 for i in range(n)}, 1000: 1000, 1001: 1000}
 
-
-def test_large_nodes_are_compared_in_blocks():
-    pairs = near_dedup._node_pairs(5 * near_dedup.NODE)
-    assert len(pairs) < 5 * near_dedup.NODE * near_dedup.NODE
-    assert {(0, i) for i in range(1, 5 * near_dedup.NODE)} <= set(map(tuple, pairs.tolist()))
