@@ -308,7 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     members = materialise(members, "members")
     nodes, large = leaves(members)
     checked = materialise(confirm(first := materialise(candidates(nodes, threshold), "pairs"),
-                                  _texts(docs, members, first), words, threshold), "confirmed")
+                                  _texts(docs, members, first, alike=True), words, threshold), "confirmed")
     groups = materialise(components(checked.where("linked").select("a", "b")), "groups")
     rest = []
     if not checked.where("not linked").isEmpty():
@@ -352,11 +352,13 @@ def _with_roots(sketched: DataFrame, groups: DataFrame) -> DataFrame:
         "doc_id", "text_key", "n_shingles", F.coalesce("_root", "set_id").alias("root")), "rooted")
 
 
-def _texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, members: DataFrame, pairs: DataFrame, alike: bool = False) -> DataFrame:
     """(set_id, text) of every set that occurs in ``pairs``."""
     ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     wanted = materialise(members.join(ids, "set_id").select("set_id", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "wanted")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("k"), "text")
+    if alike:  # the first round wants a share of all texts: the same join whatever their number
+        wanted = wanted.hint("merge")
     return materialise(keyed.join(wanted, (F.col("k") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
                        .select("set_id", "text"), "texts")
 
