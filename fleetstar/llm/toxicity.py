@@ -2,7 +2,7 @@
 
 The lexicon is a trie of whole terms and of stems (terms of any ending),
 learned from labelled rows: words and word beginnings much more frequent in
-toxic than in other documents. A word is matched by running it through the
+toxic than in other documents, and in varied company. A word is matched by running it through the
 Levenshtein automata of all terms at once, that is along the trie with a
 budget of edits (none below 5 letters, one up to 8, two beyond); the states
 so reached are made deterministic as they are met and kept, so most words
@@ -42,12 +42,15 @@ SAMPLE_PER_LABEL = 5000
 MIN_DOCS = 8               # toxic documents that a term must occur in
 MIN_SHARE = 0.003          # and their share of the toxic sample
 MIN_LIFT = 4.0             # times as frequent in toxic documents
+MIN_CONTEXTS = 0.3         # different words before a term, by its toxic documents
+MAX_CANDIDATES = 20_000
 MAX_TERMS = 2000
 STEM = (4, 12)             # letters of a stem
 WINDOW = 6                 # words on either side that tell a quotation
 QUOTED = 0.3               # weight of a hit inside a quotation
 MISSPELLED = 0.5           # weight of a hit with edits
-MAX_WORDS = 400_000        # remembered words per worker
+MAX_WORDS = 500_000        # remembered words per worker
+MAX_STATES = 200_000       # remembered states of the automata
 QUOTES = re.compile("[\"“”„«»‘]")
 # Words of reporting in the four languages, as text.
 REPORTING = frozenset("said says say called calls quote quoted quotes wrote writes word term "
@@ -57,8 +60,8 @@ REPORTING = frozenset("said says say called calls quote quoted quotes wrote writ
 
 
 def tidy(word: str) -> str:
-    """A word without case and outer punctuation."""
-    return word.strip("\"'.,;:!?()[]{}<>«»“”„‘’*_-#&%$|/\\~`").lower()
+    """A lower-cased word without outer punctuation."""
+    return word.strip("\"'.,;:!?()[]{}<>«»“”„‘’*_-#&%$|/\\~`")
 
 
 class Automata:
@@ -117,6 +120,18 @@ class Automata:
         self.steps[state][c] = self._state(after)
         return self.steps[state][c]
 
+    def leads_nowhere(self, start: str) -> bool:
+        """Whether no word that begins with ``start`` matches."""
+        state = self.start
+        for c in start:
+            step = self.steps[state].get(c)
+            state = self._step(state, c) if step is None else step
+            if state < 0:
+                return True
+            if self.accepts[state][1]:
+                return False
+        return False
+
     def match(self, word: str) -> tuple[int, int] | None:
         """(term, edits) of the nearest term, if one is near enough."""
         state, found = self.start, None
@@ -145,7 +160,8 @@ class Lexicon:
 
     def _forget(self):
         self.automata = Automata(self.terms)
-        self.known: dict[str, tuple | None] = {}
+        self.known: dict[str, float] = {}
+        self.dead: set[str] = set()      # beginnings of four letters that lead nowhere
 
     def __getstate__(self):
         return {"terms": self.terms, "weights": self.weights, "coefficients": self.coefficients}
@@ -154,20 +170,30 @@ class Lexicon:
         self.__dict__.update(state)
         self._forget()
 
+    def _weight(self, word: str) -> float:
+        """Weight of a lower-cased word, 0 if it matches nothing."""
+        weight = self.known.get(word)
+        if weight is None:
+            m = self.automata.match(tidy(word))
+            weight = self.weights[m[0]] * (MISSPELLED if m[1] else 1.0) if m else 0.0
+            start = word[:4]
+            if not m and len(start) == 4 and start.isalpha() and self.automata.leads_nowhere(start):
+                self.dead.add(start)
+            else:
+                self.known[word] = weight
+        return weight
+
     def hits(self, words: list[str]) -> list[tuple[int, float]]:
         """(position, weight) of the words that match, quotation left aside."""
-        known = self.known
-        if len(known) > MAX_WORDS or len(self.automata.states) > 50_000:
+        if len(self.known) > MAX_WORDS or len(self.dead) > MAX_WORDS or len(self.automata.states) > MAX_STATES:
             self._forget()
-            known = self.known
-        for w in set(words).difference(known):
-            m = self.automata.match(tidy(w))
-            known[w] = m and self.weights[m[0]] * (MISSPELLED if m[1] else 1.0)
-        return [(i, known[w]) for i, w in enumerate(words) if known[w]]
+        dead = self.dead
+        found = {w: weight for w in set(words) if w[:4] not in dead and (weight := self._weight(w))}
+        return [(i, found[w]) for i, w in enumerate(words) if w in found] if found else []
 
     def features(self, text: str | None) -> list[float]:
         """Constant, summed and largest weight, hits a word, quoted share, and whether any hit is there."""
-        words = (text or "").split()
+        words = (text or "").lower().split()
         total = top = quoted = 0.0
         found = self.hits(words)
         for i, weight in found:
@@ -189,11 +215,16 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def choose_terms(counts: dict[tuple[str, bool], tuple[int, int]], n_toxic: int, n_clean: int) -> Lexicon:
-    """Terms and stems that tell: each beginning only as long as it stays as frequent."""
+def telling(counts: dict[tuple[str, bool], tuple[int, int]], n_toxic: int, n_clean: int) -> dict[tuple[str, bool], tuple[int, float]]:
+    """(toxic documents, log odds) of the terms and stems that occur mostly in toxic documents."""
     least = max(MIN_DOCS, MIN_SHARE * n_toxic)
     odds = lambda a, b: math.log((a + 0.5) / (n_toxic + 1) * (n_clean + 1) / (b + 0.5))
     good = {k: (a, odds(a, b)) for k, (a, b) in counts.items() if a >= least and odds(a, b) >= math.log(MIN_LIFT)}
+    return dict(sorted(good.items(), key=lambda x: (-x[1][0] * x[1][1], x[0]))[:MAX_CANDIDATES])
+
+
+def choose_terms(good: dict[tuple[str, bool], tuple[int, float]]) -> Lexicon:
+    """The lexicon: each beginning only as long as it stays as frequent."""
     chosen = []
     for (text, stem), (a, w) in good.items():
         longer = [k for k in ((text[:n], True) for n in range(STEM[0], len(text))) if k in good]
@@ -239,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Lexicon:
             toxic, clean = Counter(), Counter()
             n = [0, 0]
             for text, label in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                words = {tidy(w) for w in (text or "").split()}
+                words = {tidy(w) for w in (text or "").lower().split()}
                 found = {(w, False) for w in words if len(w) >= 3}
                 found |= {(w[:k], True) for w in words for k in range(STEM[0], min(len(w) - 1, STEM[1]) + 1)}
                 (toxic if label else clean).update(found)
@@ -255,7 +286,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Lexicon:
     n_toxic, n_clean = counts.pop(("", False), (0, 0))
     if not n_toxic or not n_clean:
         return Lexicon([], [])
-    lexicon = choose_terms(counts, n_toxic, n_clean)
+    good = telling(counts, n_toxic, n_clean)
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = set()
+            for text in batch.column(0).to_pylist():
+                before = ""
+                for word in map(tidy, (text or "").lower().split()):
+                    found.update((*k, before) for k in [(word, False), *((word[:n], True) for n in range(STEM[0], min(len(word) - 1, STEM[1]) + 1))]
+                                 if k in good)
+                    before = word
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["word", "stem", "before"])
+
+    # A word that follows the same words everywhere is a passage copied, not a term.
+    varied = (sample.where("toxic = 1").select("text").mapInArrow(contexts, "word string, stem boolean, before string").distinct()
+              .groupBy("word", "stem").count().collect())  # at most MAX_CANDIDATES rows
+    good = {k: good[k] for r in varied if r["count"] >= MIN_CONTEXTS * good[k := (r["word"], r["stem"])][0]}
+    lexicon = choose_terms(good)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
