@@ -19,10 +19,6 @@ THERM_WARN_KEY = 2
 # --- fixed values: data quality flags --------------------------------------
 QUALITY_FLAGS = ["CLEAN", "NOISY", "MISSING", "SPIKE"]
 
-# --- fixed values: regions and store tiers ---------------------------------
-REGIONS = ["North America", "EMEA", "APAC", "LATAM"]
-STORE_TIERS = ["Flagship", "Standard", "Outlet"]
-
 # --- fixed values: default thresholds --------------------------------------
 HIGH_RISK_MIN_RATE = 10          # percent, strict >
 TREND_WARM = 2                   # degrees, strict >
@@ -30,7 +26,6 @@ TREND_COOL = -2                  # degrees, strict <
 EARLY_WARNING_JUMP = 20          # degrees, strict >
 FIRMWARE_FAIL = 10               # percent, strict >
 FIRMWARE_WARN = 7                # percent, strict >
-SPIKE_THRESHOLD = 230            # degrees, default device ceiling
 CRITICAL_TEMP = 245              # degrees, THERM-CRIT above this
 ZSCORE_K = 2.5
 IQR_MULTIPLIER = 1.5
@@ -47,6 +42,8 @@ MAINTENANCE_LABELS = {
 FIRMWARE_LABELS = ("FAILED — force update required", "WARNING — update recommended", "COMPLIANT")
 
 # --- fixed values: alert card and e-mail wording ---------------------------
+CARD_CONTENT_TYPE = "application/vnd.microsoft.card.adaptive"
+CARD_SCHEMA = "http://adaptivecards.io/schemas/adaptive-card.json"
 CARD_HEADLINE = "CRITICAL THERMAL ALERT"
 CARD_SHUTOFF_TEXT = "Device has been automatically shut off. Immediate inspection required."
 CARD_ACTION_TITLE = "View Dashboard"

@@ -114,20 +114,25 @@ def card_facts(routed: DataFrame) -> Column:
 
 def alert_cards(routed: DataFrame, dashboard_url: str = "https://example.com/dashboard") -> DataFrame:
     """One JSON message card per routed alert (headline, facts, shut-off note, action)."""
+    text, flag, facts = "string", "boolean", "array<struct<title:string,value:string>>"
+
+    def block(**fields):
+        """A body element; properties that it lacks are left out of the JSON."""
+        kinds = {"type": text, "text": text, "weight": text, "size": text, "color": text, "wrap": flag, "facts": facts}
+        return F.struct(*[(fields[n] if n == "facts" and n in fields else F.lit(fields.get(n)).cast(k)).alias(n)
+                          for n, k in kinds.items()])
+
     body = F.array(
-        F.struct(F.lit("TextBlock").alias("type"), F.lit(C.CARD_HEADLINE).alias("text"),
-                 F.lit(None).cast("array<struct<title:string,value:string>>").alias("facts")),
-        F.struct(F.lit("FactSet").alias("type"), F.lit(None).cast("string").alias("text"),
-                 card_facts(routed).alias("facts")),
-        F.struct(F.lit("TextBlock").alias("type"), F.lit(C.CARD_SHUTOFF_TEXT).alias("text"),
-                 F.lit(None).cast("array<struct<title:string,value:string>>").alias("facts")),
-    )
-    card = F.struct(
-        F.lit("message").alias("type"),
-        F.lit("1.4").alias("version"),
+        block(type="TextBlock", text=C.CARD_HEADLINE, weight="Bolder", size="Large", color="Attention"),
+        block(type="FactSet", facts=card_facts(routed)),
+        block(type="TextBlock", text=C.CARD_SHUTOFF_TEXT, wrap=True, color="Attention"))
+    content = F.struct(
+        F.lit(C.CARD_SCHEMA).alias("$schema"), F.lit("AdaptiveCard").alias("type"), F.lit("1.4").alias("version"),
         body.alias("body"),
         F.array(F.struct(F.lit("Action.OpenUrl").alias("type"), F.lit(C.CARD_ACTION_TITLE).alias("title"),
                          F.lit(dashboard_url).alias("url"))).alias("actions"))
+    card = F.struct(F.lit("message").alias("type"), F.array(F.struct(
+        F.lit(C.CARD_CONTENT_TYPE).alias("contentType"), content.alias("content"))).alias("attachments"))
     return routed.select("telemetry_key", "region", "manager_email", F.to_json(card).alias("card_json"))
 
 
@@ -155,16 +160,16 @@ def notification_outbox(routed: DataFrame, run_ts, keep=()) -> DataFrame:
         F.lit(C.OUTBOX_STATUS).alias("status"))
 
 
-def append_outbox(rows: DataFrame, outbox_path: str, batch_id: int) -> None:
+def append_outbox(rows: DataFrame, outbox_path: str, run_id: str, batch_id: int = 0) -> None:
     """Batch append to the audit outbox with the streaming sink's exactly-once rules.
 
     ``rows`` is ``notification_outbox(..., keep=("event_day",))`` with
-    ``event_day`` the reading's date; re-running
-    the same ``batch_id`` replaces that batch instead of duplicating it.
+    ``event_day`` the reading's date; re-running the same ``run_id`` and
+    ``batch_id`` replaces that batch and nothing else.
     """
     from fleetstar.streaming.alerts import OutboxWriter
 
-    OutboxWriter(outbox_path)(rows, batch_id)
+    OutboxWriter(outbox_path, run_id)(rows, batch_id)
 
 
 def retain(log: DataFrame, ts_col: str = "notified_at", months: int = 12, as_of=None) -> DataFrame:

@@ -1,14 +1,17 @@
 """Statistical anomaly detector: z-score, inter-quartile fences, quality flag.
 
 The detector analyses readings with a temperature. Global statistics (mean,
-sample standard deviation, quartiles) are one aggregate, attached to every
-row as a single scalar subquery: each task merges partial aggregates once
-and the value is shipped into the expression, so no join is needed.
+sample standard deviation) are one aggregate, attached to every row as a
+scalar subquery; exact quartiles are picked from the distinct values' sorted
+counts, spread over all tasks, and enter as literals. So no join is needed
+and no task gathers the values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetstar import constants as C
@@ -21,25 +24,72 @@ IQR_COLUMNS = ("power_draw_watts", "session_duration_secs")
 METHODS = ("ZSCORE", "IQR_POWER", "IQR_SESSION", "QUALITY")
 
 
-def _quartiles(c: Column, exact: bool) -> Column:
+QUARTILES = (0.25, 0.75)
+
+
+def exact_quantiles(rows: DataFrame, cols, probs=QUARTILES) -> list[list[float | None]]:
+    """Interpolated quantiles of each column (NULLs left out), as SQL's PERCENTILE_CONT.
+
+    Equal values are counted (with partial aggregation) and sorted by range
+    partitions; partition totals, one row each, give every value's rank, and
+    only the values around the wanted ranks come back.
+    """
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v"))
+                                             for i, c in enumerate(cols)])).alias("x")).select("x.*")
+    checkpoint_base(rows.sparkSession)
+    counts = (values.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy("i", "v").withColumn("p", F.spark_partition_id()).checkpoint(eager=True))
+    totals = counts.groupBy("i", "p").agg(F.sum("n").alias("n"))  # one row per column and partition at most
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("i").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = totals.select("i", "p", before.alias("off"), F.sum("n").over(Window.partitionBy("i")).alias("all"))
+    ranked = (counts.join(F.broadcast(offsets), ["i", "p"])
+              .withColumn("last", F.col("off") + F.sum("n").over(Window.partitionBy("i", "p").orderBy("v"))))
+    out: list[list[float | None]] = [[None] * len(probs) for _ in cols]
+    wanted = [F.lit(q) * (F.col("all") - 1) for q in probs]
+    covers = [(F.col("last") - F.col("n") <= f(w)) & (f(w) < F.col("last")) for w in wanted for f in (F.floor, F.ceil)]
+    hit = covers[0]
+    for c in covers[1:]:
+        hit = hit | c
+    found = ranked.where(hit).select("i", "v", "all", (F.col("last") - F.col("n")).alias("first"), "last").collect()
+    for i in range(len(cols)):
+        mine = [r for r in found if r["i"] == i]
+        for j, q in enumerate(probs if mine else ()):
+            place = q * (mine[0]["all"] - 1)
+            low, high = (next(r["v"] for r in mine if r["first"] <= k < r["last"]) for k in (math.floor(place), math.ceil(place)))
+            out[i][j] = low + (place - math.floor(place)) * (high - low)
+    return out
+
+
+def _quartiles(rows: DataFrame, cols, exact: bool) -> list[list[float | None]]:
+    """[Q1, Q3] of each column: exact, or within 1/10000 of the rank in one pass."""
+    if not cols:
+        return []
     if exact:
-        return F.percentile(c, F.array(F.lit(0.25), F.lit(0.75)))
-    return F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.75)), 10000).cast("array<double>")
+        return exact_quantiles(rows, cols)
+    probs = F.array(*map(F.lit, QUARTILES))
+    row = rows.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10000).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).first()
+    return [list(row[f"q{i}"] or [None, None]) for i in range(len(cols))]
+
+
+def _quartile_columns(rows: DataFrame, cols, exact: bool) -> list[Column]:
+    return [F.array(*[F.lit(v).cast("double") for v in pair]).alias(f"q{i}")
+            for i, pair in enumerate(_quartiles(rows, cols, exact))]
 
 
 def analysed(fact: DataFrame, temp: str = TEMP) -> DataFrame:
     return fact.filter(F.col(temp).isNotNull())
 
 
-def _stat_fields(temp: str, iqr_cols, exact: bool) -> list[Column]:
+def _moments(temp: str) -> list[Column]:
     t = F.col(temp).cast("double")
-    fields = [F.avg(t).alias("mu"), F.stddev_samp(t).alias("sd")]
-    return fields + [_quartiles(F.col(c).cast("double"), exact).alias(f"q{i}") for i, c in enumerate(iqr_cols)]
+    return [F.avg(t).alias("mu"), F.stddev_samp(t).alias("sd")]
 
 
 def detector_stats(rows: DataFrame, temp: str = TEMP, iqr_cols=IQR_COLUMNS, exact: bool = True) -> Column:
-    """One scalar: struct(mu, sd, q0, q1, ...) over ``rows``; ``qi`` = [Q1, Q3] of iqr_cols[i]."""
-    return rows.select(F.struct(*_stat_fields(temp, iqr_cols, exact))).scalar()
+    """struct(mu, sd, q0, q1, ...) over ``rows``; ``qi`` = [Q1, Q3] of iqr_cols[i]."""
+    moments = rows.select(F.struct(*_moments(temp))).scalar()
+    return F.struct(moments["mu"].alias("mu"), moments["sd"].alias("sd"), *_quartile_columns(rows, iqr_cols, exact))
 
 
 def zscore_flag(value: Column, mu: Column, sd: Column, k: float) -> Column:
@@ -75,13 +125,14 @@ def composite_anomaly(fact: DataFrame, k: float = C.ZSCORE_K, m: float = C.IQR_M
 
 
 def frozen_stats(fact: DataFrame, temp: str = TEMP, iqr_cols=IQR_COLUMNS, exact: bool = True) -> dict:
-    """Detector statistics computed once (one aggregate row) for reuse elsewhere.
+    """Detector statistics computed once for reuse elsewhere.
 
     A stream must not recompute global statistics per micro-batch; it applies
     the statistics of the last batch run with ``flag_with_stats``.
     """
-    row = analysed(fact, temp).agg(F.struct(*_stat_fields(temp, iqr_cols, exact)).alias("s")).first()
-    return row["s"].asDict()
+    rows = analysed(fact, temp)
+    quartiles = {f"q{i}": pair for i, pair in enumerate(_quartiles(rows, iqr_cols, exact))}
+    return rows.agg(*_moments(temp)).first().asDict() | quartiles
 
 
 def flag_with_stats(df: DataFrame, stats: dict, k: float = C.ZSCORE_K, m: float = C.IQR_MULTIPLIER,
@@ -107,9 +158,7 @@ def zscore_flags(fact: DataFrame, k: float = C.ZSCORE_K, temp: str = TEMP) -> Da
 def iqr_flags(fact: DataFrame, cols=IQR_COLUMNS, m: float = C.IQR_MULTIPLIER, exact: bool = True,
               temp: str = TEMP) -> DataFrame:
     rows = analysed(fact, temp)
-    st = rows.select(F.struct(*[_quartiles(F.col(c).cast("double"), exact).alias(f"q{i}")
-                                for i, c in enumerate(cols)])).scalar()
-    d = rows.withColumn("_st", st)
+    d = rows.withColumn("_st", F.struct(*_quartile_columns(rows, cols, exact)))
     return d.select("telemetry_key", *[iqr_flag(F.col(c).cast("double"), F.col(f"_st.q{i}"), m)
                                        .alias(f"iqr_{c}_flag") for i, c in enumerate(cols)])
 

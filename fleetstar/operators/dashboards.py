@@ -15,6 +15,7 @@ from fleetstar import schemas as S
 from fleetstar.functions.exprs import calendar_columns, mean_from_cents, sum_cents
 from fleetstar.operators.common import fact_date
 from fleetstar.plans.joins import join_dim
+from fleetstar.session import checkpoint_base
 
 
 def telemetry_export(fact: DataFrame, store: DataFrame, device: DataFrame, alert: DataFrame) -> DataFrame:
@@ -27,17 +28,46 @@ def telemetry_export(fact: DataFrame, store: DataFrame, device: DataFrame, alert
     return x.select(*S.FLAT_COLUMNS)
 
 
-def _rate(flat: DataFrame):
-    spikes = F.sum(F.col("is_thermal_spike").cast("int"))
-    return (spikes / F.count("telemetry_key")) * F.lit(100.0)
+_STORE = ["store_key", "store_name", "city", "country", "region"]
 
 
-def spike_rate_map(flat: DataFrame) -> DataFrame:
+def _sums() -> list:
+    t = F.col("temperature_celsius")
+    return [F.count("telemetry_key").alias("readings"), F.sum(F.col("is_thermal_spike").cast("int")).alias("spikes"),
+            sum_cents(t).alias("cents"), F.count(t).alias("temps")]
+
+
+def store_totals(fact: DataFrame, store: DataFrame) -> DataFrame:
+    """Sums per store with the store's attributes: all that the store dashboards need.
+
+    The fact is aggregated by its store key before the join, so neither
+    devices nor alerts are read and no reading is shuffled.
+    """
+    return join_dim(fact.groupBy("store_key").agg(*_sums()), store.select(*_STORE), "store_key")
+
+
+def _totals(frame: DataFrame) -> DataFrame:
+    """``store_totals`` as they are, or of a flat extract."""
+    return frame if "cents" in frame.columns else frame.groupBy(*_STORE).agg(*_sums())
+
+
+def _rate():
+    return (F.sum("spikes") / F.sum("readings")) * F.lit(100.0)
+
+
+def _mean():
+    return F.round(mean_from_cents(F.sum("cents"), F.sum("temps")), 6)
+
+
+def spike_rate_map(frame: DataFrame) -> DataFrame:
     """Unrounded spike rate by country, city and region; ATTR(store_name)."""
     attr = F.when(F.min("store_name") == F.max("store_name"), F.min("store_name")).otherwise(F.lit("*"))
-    return (flat.groupBy("country", "city", "region")
-            .agg(F.count("telemetry_key").alias("readings"), _rate(flat).alias("spike_rate_pct"),
-                 attr.alias("store_name")))
+    return (_totals(frame).groupBy("country", "city", "region")
+            .agg(F.sum("readings").alias("readings"), _rate().alias("spike_rate_pct"), attr.alias("store_name")))
+
+
+def with_date(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("full_date", fact_date(fact))
 
 
 def monthly_operational_health(flat: DataFrame, by_year: bool = False) -> DataFrame:
@@ -53,25 +83,21 @@ def monthly_operational_health(flat: DataFrame, by_year: bool = False) -> DataFr
                               F.count("session_duration_secs").cast("double")).alias("avg_session_secs")))
 
 
-def store_vs_global(flat: DataFrame, key: str = "store_name") -> DataFrame:
-    """Each store's mean temperature against the record-weighted fleet mean."""
-    t = F.col("temperature_celsius")
-    global_avg = flat.select(F.round(mean_from_cents(sum_cents(t), F.count(t)), 6)).scalar()
-    per = (flat.groupBy(key)
-           .agg(F.count("telemetry_key").alias("readings"),
-                F.round(mean_from_cents(sum_cents(t), F.count(t)), 6).alias("avg_temp"),
-                _rate(flat).alias("spike_rate_pct"))
-           .withColumn("global_avg_temp", global_avg))
-    return (per.withColumn("store_vs_global_diff", F.col("avg_temp") - F.col("global_avg_temp"))
+def store_vs_global(frame: DataFrame, key: str = "store_name") -> DataFrame:
+    """Each store's mean temperature against the record-weighted fleet mean; the difference is rounded once."""
+    checkpoint_base(frame.sparkSession)
+    totals = _totals(frame).checkpoint(eager=True)  # one row per store: read for the fleet and for the stores
+    fleet = totals.agg(F.sum("cents").alias("c"), F.sum("temps").alias("n"), _mean().alias("mean")).first()
+    per = totals.groupBy(key).agg(F.sum("readings").alias("readings"), _mean().alias("avg_temp"), _rate().alias("spike_rate_pct"),
+                                  F.sum("cents").alias("_c"), F.sum("temps").alias("_n"))
+    overall = F.lit(fleet["c"] / fleet["n"] if fleet["n"] else None).cast("double")
+    return (per.withColumn("global_avg_temp", F.lit(fleet["mean"]))
+            .withColumn("store_vs_global_diff", F.round((F.try_divide("_c", "_n") - overall) / 100, 6).cast("decimal(20,6)")).drop("_c", "_n")
             .orderBy(F.desc("store_vs_global_diff"), key))
 
 
-def country_city_drill(flat: DataFrame) -> DataFrame:
+def country_city_drill(frame: DataFrame) -> DataFrame:
     """Spike rate and mean temperature at fleet, country and city level (ROLLUP)."""
-    t = F.col("temperature_celsius")
-    return (flat.rollup("country", "city")
-            .agg(F.grouping_id().alias("level"),
-                 F.count("telemetry_key").alias("readings"),
-                 F.sum(F.col("is_thermal_spike").cast("int")).cast("long").alias("spikes"),
-                 _rate(flat).alias("spike_rate_pct"),
-                 F.round(mean_from_cents(sum_cents(t), F.count(t)), 6).alias("avg_temp")))
+    return (_totals(frame).rollup("country", "city")
+            .agg(F.grouping_id().alias("level"), F.sum("readings").alias("readings"),
+                 F.sum("spikes").cast("long").alias("spikes"), _rate().alias("spike_rate_pct"), _mean().alias("avg_temp")))

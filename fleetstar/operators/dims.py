@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetstar import schemas as S
 from fleetstar.functions.exprs import calendar_columns
 from fleetstar.operators.common import fact_date
 from fleetstar.plans.ordinal import global_rank
+from fleetstar.session import checkpoint_base
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -79,43 +80,73 @@ def assign_fact_keys(new: DataFrame, offset: int, out: str = "telemetry_key") ->
 REQUIRED_FACT = [f.name for f in S.FACT.fields if not f.nullable and f.name != "ingestion_timestamp"]
 
 
-def validate_facts(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split rows into (valid, rejected) on NOT NULL and the quality-flag domain."""
+def validate_facts(fact: DataFrame, device: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Every row with its ``reject_reason`` (NULL: valid).
+
+    Checked: all required columns exist (else ValueError) and are not NULL,
+    the quality-flag domain, the device when ``device`` is given, one row per
+    key (the least by its other columns stays), and keys in ``known``.
+    """
     from fleetstar import constants as C
 
-    ok = F.lit(True)
+    missing = [c for c in REQUIRED_FACT if c not in fact.columns]
+    if missing:
+        raise ValueError(f"required columns are absent: {', '.join(missing)}")
+    reason = F.lit(None).cast("string")
+    reason = F.when(~F.col("data_quality_flag").isin(C.QUALITY_FLAGS), "unknown quality flag").otherwise(reason)
     for c in REQUIRED_FACT:
-        if c in fact.columns:
-            ok = ok & F.col(c).isNotNull()
-    ok = ok & F.col("data_quality_flag").isin(C.QUALITY_FLAGS)
-    flagged = fact.withColumn("_valid", F.coalesce(ok, F.lit(False)))
-    return (flagged.filter("_valid").drop("_valid"), flagged.filter(~F.col("_valid")).drop("_valid"))
-
-
-def append_facts(fact_new: DataFrame, path: str, rejects_path: str | None = None) -> None:
-    """Validated append: stamp ingestion time, write month partitions, divert rejects.
-
-    The file commit protocol makes the append atomic per job; partitioning by
-    month lets readers prune by reading date.
+        reason = F.when(F.col(c).isNull(), f"{c} is null").otherwise(reason)
+    rows = fact.withColumn("reject_reason", reason)
+    if device is not None:
+        keys = device.select(F.col("device_key").alias("_dk")).distinct()
+        rows = rows.join(keys, rows["device_key"] == keys["_dk"], "left").withColumn(
+            "reject_reason", F.coalesce("reject_reason", F.when(F.col("_dk").isNull(), "unknown device"))).drop("_dk")
+    # Rows without a key are rejected already; they are spread over all tasks.
+    spread = F.when(F.col("telemetry_key").isNull(), F.xxhash64(*fact.columns))
+    order = [F.col("reject_reason").isNotNull(), F.xxhash64(*fact.columns)]
+    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("telemetry_key", spread).orderBy(*order)))
+    twice = F.col("telemetry_key").isNotNull() & (F.col("_n") > 1)
+    rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(twice, "duplicate key"))).drop("_n")
+    if known is not None:
+        loaded = known.select(F.col("telemetry_key").alias("_tk")).distinct()
+        rows = rows.join(loaded, rows["telemetry_key"] == loaded["_tk"], "left").withColumn(
+            "reject_reason", F.coalesce("reject_reason", F.when(F.col("_tk").isNotNull(), "key already loaded"))).drop("_tk")
+    return rows
+
+
+def append_facts(fact_new: DataFrame, path: str, rejects_path: str, load_id: str, device: DataFrame | None = None) -> None:
+    """Checked append of one load: valid rows by (load, month), the rest with their reason to ``rejects_path``.
+
+    The rows are judged once, into the shared checkpoint folder; both writes
+    replace only the partitions of this ``load_id``, so a load that failed
+    between them, or is run again, adds nothing twice.
     """
-    valid, rejected = validate_facts(fact_new)
-    valid = (valid.withColumn("ingestion_timestamp", F.localtimestamp())
-             .withColumn("reading_month", F.date_format(fact_date(valid), "yyyy-MM")))
-    valid.write.mode("append").partitionBy("reading_month").parquet(path)
-    if rejects_path:
-        rejected.write.mode("append").parquet(rejects_path)
+    from pyspark.errors import AnalysisException
+
+    try:
+        known = fact_new.sparkSession.read.parquet(path).where(F.col("load") != load_id)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    checkpoint_base(fact_new.sparkSession)
+    judged = validate_facts(fact_new, device, known).withColumn("load", F.lit(load_id)).checkpoint(eager=True)
+    valid = (judged.where("reject_reason is null").drop("reject_reason").withColumn("ingestion_timestamp", F.localtimestamp())
+             .withColumn("reading_month", F.date_format(fact_date(fact_new), "yyyy-MM")))
+    for rows, target, parts in ((valid.hint("rebalance", "reading_month"), path, ["load", "reading_month"]),
+                                (judged.where("reject_reason is not null"), rejects_path, ["load"])):
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target))
 
 
 def write_star(star, path: str, max_records_per_file: int = 5_000_000) -> None:
     """Materialise a star: fact partitioned by reading month, dimensions as files.
 
-    Rows are sorted inside each task by (month, device, time) without any
-    shuffle, so every file covers a narrow device range of one month: row-group
-    statistics then skip data for device and time filters, and per-device
-    sequences read mostly contiguous rows.
+    Rows are rebalanced by month (a large month over several tasks), so files
+    are few and of even size, and sorted inside each task by (month, device,
+    time): row-group statistics then skip data for device and time filters.
     """
     fact = star.fact.withColumn("reading_month", F.date_format(fact_date(star.fact), "yyyy-MM"))
-    (fact.sortWithinPartitions("reading_month", "device_key", "event_timestamp")
+    (fact.hint("rebalance", "reading_month").sortWithinPartitions("reading_month", "device_key", "event_timestamp")
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("reading_month").parquet(f"{path}/fact"))
     star.store.write.mode("overwrite").parquet(f"{path}/store")

@@ -134,11 +134,12 @@ def mom_temp_trend(fact: DataFrame, store: DataFrame, warm: float = C.TREND_WARM
 
 def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFrame,
                                jump: float = C.EARLY_WARNING_JUMP, k: int | None = 50,
-                               bucket_seconds: int = 3600) -> DataFrame:
+                               bucket_seconds: int | str = "auto") -> DataFrame:
     """Next reading of each device (LEAD) and an early-warning label.
 
-    The top-k runs before the dimension joins, so only k rows are joined;
-    that relies on referential integrity, which ``check_constraints`` verifies.
+    The top-k runs before the dimension joins, so only k rows are joined in
+    full; readings of unknown devices or stores are left out before it by
+    semi-joins on the keys.
     """
     base = fact.filter(F.col("temperature_celsius").isNotNull()).select(
         "telemetry_key", "device_key", "store_key", "event_timestamp", "temperature_celsius",
@@ -149,6 +150,8 @@ def next_session_early_warning(fact: DataFrame, device: DataFrame, store: DataFr
     seq = (seq.filter(F.col("next_temperature_celsius").isNotNull())
            .withColumn("_jump", F.col("next_temperature_celsius") - F.col("temperature_celsius")))
     if k is not None:
+        seq = join_dim(seq, device.select("device_key"), "device_key", how="left_semi")
+        seq = join_dim(seq, store.select("store_key"), "store_key", how="left_semi")
         seq = seq.orderBy(F.desc_nulls_last("_jump"), F.asc("telemetry_key")).limit(k)
     seq = join_dim(seq, device.select("device_key", "device_id"), "device_key")
     seq = join_dim(seq, store.select("store_key", "store_name"), "store_key")

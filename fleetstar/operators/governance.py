@@ -23,21 +23,26 @@ def load_summary(fact: DataFrame) -> DataFrame:
 
 
 def gdpr_report(fact: DataFrame, device: DataFrame, store: DataFrame, by: str = "store") -> DataFrame:
-    """Non-compliant readings (count, rate) and masked devices, per store or per region."""
+    """Non-compliant readings (count, rate) and masked devices, per store or per region.
+
+    Every store (region) with a reading or a masked device has a row; without
+    readings its rate is NULL.
+    """
     per = (fact.groupBy("store_key")
            .agg(F.count(F.lit(1)).alias("total_readings"),
                 count_true(~F.col("gdpr_compliant")).alias("non_compliant")))
     masked = device.groupBy("store_key").agg(count_true(F.col("gdpr_masked")).alias("masked_devices"))
-    per = join_dim(per, store.select("store_key", "store_name", "region"), "store_key")
-    per = join_dim(per, masked, "store_key", how="left").fillna(0, ["masked_devices"])
+    counts = ["total_readings", "non_compliant", "masked_devices"]
+    both = per.join(masked, "store_key", "full").fillna(0, counts)
+    per = join_dim(both, store.select("store_key", "store_name", "region"), "store_key")
     keys = ["store_name", "region"]
     if by == "region":
         keys = ["region"]
-        per = per.groupBy("region").agg(*[F.sum(c).alias(c) for c in
-                                          ("total_readings", "non_compliant", "masked_devices")])
-    return per.select(*keys, "total_readings", "non_compliant",
-                      exact_pct(F.col("non_compliant"), F.col("total_readings")).alias("non_compliant_pct"),
-                      F.col("masked_devices").cast("long").alias("masked_devices"))
+        per = per.groupBy("region").agg(*[F.sum(c).alias(c) for c in counts])
+    rate = F.when(F.col("total_readings") > 0, exact_pct(F.col("non_compliant"), F.col("total_readings")))
+    return per.where("total_readings > 0 or masked_devices > 0").select(
+        *keys, "total_readings", "non_compliant", rate.alias("non_compliant_pct"),
+        F.col("masked_devices").cast("long").alias("masked_devices"))
 
 
 def register_star(star, prefix: str = "", with_views: bool = True) -> None:

@@ -77,9 +77,9 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     """Per column: type, non-NULL count, NULL count and distinct count.
 
     Counts are one aggregate pass. Distinct counts are HyperLogLog sketches
-    in that same pass by default; ``exact=True`` runs one distinct
-    aggregation per column instead (map-side de-duplicated), never the
-    row-multiplying expansion a multi-column COUNT(DISTINCT) would need.
+    in that same pass by default; ``exact=True`` counts distinct (column,
+    value) pairs instead: one more pass and one shuffle for all columns,
+    de-duplicated map-side.
     """
     aggs = []
     for i, c in enumerate(df.columns):
@@ -97,12 +97,12 @@ def column_profile(df: DataFrame, exact: bool = False) -> DataFrame:
     prof = one.select(F.explode(rows).alias("p")).select("p.*")
     if not exact:
         return prof
-    distinct = reduce(DataFrame.unionByName, [
-        df.select(F.col(f"`{c}`").alias("v")).filter(F.col("v").isNotNull()).distinct()
-        .agg(F.count(F.lit(1)).alias("distinct_count")).select(F.lit(c).alias("column_name"), "distinct_count")
-        for c in df.columns])
-    return (prof.drop("distinct_count").join(distinct, "column_name")
-            .select("column_name", "data_type", "non_null_count", "null_count", "distinct_count"))
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v"))
+                                          for c in df.columns])).alias("p")).select("p.*")
+    distinct = (pairs.where("v is not null").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
+    return (prof.drop("distinct_count").join(distinct, "column_name", "left")
+            .select("column_name", "data_type", "non_null_count", "null_count",
+                    F.coalesce("distinct_count", F.lit(0)).cast("long").alias("distinct_count")))
 
 
 def quality_breakdown(fact: DataFrame, store: DataFrame, device: DataFrame | None = None,
@@ -158,7 +158,7 @@ def default_rules(tables: dict) -> list[Rule]:
     from fleetstar import schemas as S
 
     rules: list[Rule] = []
-    declared = {"fact": S.FACT, "store": S.STORE, "device": S.DEVICE, "alert": S.ALERT}
+    declared = {"fact": S.FACT, "store": S.STORE, "device": S.DEVICE, "alert": S.ALERT, "date": S.DATE}
     for t, schema in declared.items():
         if t not in tables:
             continue
@@ -166,8 +166,9 @@ def default_rules(tables: dict) -> list[Rule]:
         present = set(cols if isinstance(cols, (list, tuple, set)) else cols.columns)
         rules += [Rule("not_null", t, f.name) for f in schema.fields if not f.nullable and f.name in present]
         rules += [Rule("max_length", t, c, n) for c, n in S.VARCHAR_LIMITS.get(t, {}).items() if c in present]
-    pk = {"fact": "telemetry_key", "store": "store_key", "device": "device_key", "alert": "alert_type_key"}
-    unique = {"store": "store_id", "device": "device_id", "alert": "alert_code"}
+    pk = {"fact": "telemetry_key", "store": "store_key", "device": "device_key", "alert": "alert_type_key",
+          "date": "date_key"}
+    unique = {"store": "store_id", "device": "device_id", "alert": "alert_code", "date": "full_date"}
     for t in tables:
         if t in pk:
             rules.append(Rule("duplicate", t, pk[t]))
@@ -178,7 +179,8 @@ def default_rules(tables: dict) -> list[Rule]:
         rules.append(Rule("missing_iff_null", "fact"))
         for child_col, parent, parent_col in [("store_key", "store", "store_key"),
                                               ("device_key", "device", "device_key"),
-                                              ("alert_type_key", "alert", "alert_type_key")]:
+                                              ("alert_type_key", "alert", "alert_type_key"),
+                                              ("date_key", "date", "date_key")]:
             if parent in tables:
                 rules.append(Rule("orphan", "fact", child_col, (parent, parent_col)))
         if "device" in tables:
@@ -200,19 +202,15 @@ def _row_rule(r: Rule):
         return count_true(~c.isin(list(r.arg)))
     if r.kind == "missing_iff_null":
         return count_true((F.col("data_quality_flag") == "MISSING") != F.col("temperature_celsius").isNull())
-    if r.kind == "duplicate":
-        # Extra rows beyond one per key value = rows - distinct values (NULL counts as one value).
-        has_null = F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
-        return F.count(F.lit(1)) - F.countDistinct(c) - has_null
     return None
 
 
 def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
     """One row per rule: (rule, table_name, violations).
 
-    * Row-level rules and duplicate-key counts of a dimension share one
-      aggregate pass (duplicates = rows - distinct key values); the fact's
-      primary-key check is a separate key-only grouped count.
+    * Row-level rules are one aggregate pass per table, without distinct counts.
+    * Duplicate keys are grouped counts of the key alone: one pass for all
+      dimension keys together, one for the fact's.
     * Reference rules on the fact run on the fact pre-aggregated by its
       foreign keys (map-side partial counts, so a hot key costs one row per
       task), then anti-join the parent's keys (broadcast when proven small).
@@ -221,9 +219,7 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
     parts: list[DataFrame] = []
     by_table: dict[str, list[Rule]] = {}
     for r in rules:
-        # The fact's key check stays a separate key-only aggregate: folded into
-        # the row pass, every key would be shuffled with all the rules' buffers.
-        if _row_rule(r) is not None and not (r.kind == "duplicate" and r.table == "fact"):
+        if _row_rule(r) is not None:
             by_table.setdefault(r.table, []).append(r)
     for t, rs in by_table.items():
         one = tables[t].agg(*[_row_rule(r).alias(f"r{i}") for i, r in enumerate(rs)])
@@ -231,6 +227,16 @@ def check_constraints(tables: dict[str, DataFrame], rules: list[Rule] | None = N
                                   F.col(f"r{i}").cast("long").alias("violations")) for i, r in enumerate(rs)])
         parts.append(one.select(F.explode(rows).alias("x")).select("x.*"))
 
+    keyed = [r for r in rules if r.kind == "duplicate" and r.table != "fact"]
+    if keyed:
+        keys = reduce(DataFrame.unionByName, [tables[r.table].select(
+            F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"), F.col(r.column).cast("string").alias("k")) for r in keyed])
+        per_key = keys.groupBy("rule", "table_name", "k").agg((F.count(F.lit(1)) - 1).alias("more"))
+        extra = per_key.groupBy("rule", "table_name").agg(F.sum("more").cast("long").alias("violations"))
+        names = keys.sparkSession.createDataFrame([(r.name, r.table) for r in keyed], "rule string, table_name string")
+        parts.append(names.join(extra, ["rule", "table_name"], "left").select(
+            "rule", "table_name", F.coalesce("violations", F.lit(0)).cast("long").alias("violations")))
+
     ref_rules = [r for r in rules if r.kind in ("orphan", "store_matches_device")]
     fk_cols = sorted({r.column for r in ref_rules if r.kind == "orphan" and r.table == "fact"}
                      | ({"device_key", "store_key"} if any(r.kind == "store_matches_device" for r in ref_rules)

@@ -351,9 +351,11 @@ _FACT_TEXT = {
 CARD_FACT_COLUMNS = ["fact_" + t.lower().replace(" ", "_") for t in C.CARD_FACT_TITLES]
 
 ALERT_CARDS = ALERT_BASE + f"""
-SELECT telemetry_key, {q(C.CARD_HEADLINE)} AS headline, CAST({len(C.CARD_FACT_TITLES)} AS BIGINT) AS fact_count,
+SELECT telemetry_key, 'message' AS message_type, {q(C.CARD_CONTENT_TYPE)} AS content_type, {q(C.CARD_SCHEMA)} AS card_schema,
+       'AdaptiveCard' AS card_type, '1.4' AS card_version, {q(C.CARD_HEADLINE)} AS headline, 'Bolder' AS headline_weight,
+       'Large' AS headline_size, 'Attention' AS headline_color, CAST({len(C.CARD_FACT_TITLES)} AS BIGINT) AS fact_count,
        {', '.join(f'{_FACT_TEXT[t]} AS {c}' for t, c in zip(C.CARD_FACT_TITLES, CARD_FACT_COLUMNS))},
-       {q(C.CARD_SHUTOFF_TEXT)} AS shutoff_text, manager_email
+       {q(C.CARD_SHUTOFF_TEXT)} AS shutoff_text, 'true' AS shutoff_wrap, 'Action.OpenUrl' AS action_type, manager_email
 FROM routed"""
 
 EMAIL_ROWS = ALERT_BASE + f"""
@@ -507,7 +509,7 @@ per AS (SELECT store_name, COUNT(telemetry_key) AS readings, SUM({cents('tempera
                COUNT(temperature_celsius) AS tn, {_RATE_D} AS spike_rate_pct FROM flat GROUP BY store_name)""") + """
 SELECT store_name, readings, CAST((20000 * ts + tn) // (2 * tn) AS DOUBLE) / 1000000 AS avg_temp, spike_rate_pct,
        CAST((20000 * gs + gn) // (2 * gn) AS DOUBLE) / 1000000 AS global_avg_temp,
-       CAST((20000 * ts + tn) // (2 * tn) - (20000 * gs + gn) // (2 * gn) AS DOUBLE) / 1000000 AS store_vs_global_diff
+       round((CAST(ts AS DOUBLE) / tn - CAST(gs AS DOUBLE) / gn) / 100, 6) AS store_vs_global_diff
 FROM per, g"""
 
 COUNTRY_CITY_DRILL = with_(P1, ALERT_CTE, FLAT) + f"""
@@ -578,6 +580,14 @@ SELECT firmware_version, data_quality_flag, readings,
        {pct2('readings', 'SUM(readings) OVER (PARTITION BY firmware_version)')} AS share_pct
 FROM per"""
 
+QUALITY_BREAKDOWN_DEVICE = with_(P1, """
+per AS (SELECT d.device_key, d.device_id, d.firmware_version, f.data_quality_flag, COUNT(*) AS readings
+        FROM p1_fact f JOIN p1_device d ON f.device_key = d.device_key
+        GROUP BY d.device_key, d.device_id, d.firmware_version, f.data_quality_flag)""") + f"""
+SELECT device_key, device_id, firmware_version, data_quality_flag, readings,
+       {pct2('readings', 'SUM(readings) OVER (PARTITION BY device_key)')} AS share_pct
+FROM per"""
+
 QUALITY_BREAKDOWN_MONTH = with_(P2, """
 per AS (SELECT year(full_date) AS year, month(full_date) AS month_number, data_quality_flag, COUNT(*) AS readings
         FROM p2_fact GROUP BY 1, 2, 3)""") + f"""
@@ -585,25 +595,25 @@ SELECT CAST(year AS BIGINT) AS year, CAST(month_number AS BIGINT) AS month_numbe
        {pct2('readings', 'SUM(readings) OVER (PARTITION BY year, month_number)')} AS share_pct
 FROM per"""
 
-GDPR_REPORT = with_(P1, """
+_GDPR_STORES = with_(P1, """
 per AS (SELECT store_key, COUNT(*) AS total_readings, COUNT(*) FILTER (WHERE NOT gdpr_compliant) AS non_compliant
         FROM p1_fact GROUP BY store_key)""", """
-masked AS (SELECT store_key, COUNT(*) FILTER (WHERE gdpr_masked) AS masked_devices FROM p1_device GROUP BY store_key)""") + f"""
-SELECT s.store_name, s.region, per.total_readings, per.non_compliant,
-       {pct2('per.non_compliant', 'per.total_readings')} AS non_compliant_pct,
-       COALESCE(masked.masked_devices, 0) AS masked_devices
-FROM per JOIN p1_store s ON per.store_key = s.store_key LEFT JOIN masked ON per.store_key = masked.store_key"""
-
-GDPR_REPORT_BY_REGION = with_(P1, """
-per AS (SELECT s.region, COUNT(*) AS total_readings, COUNT(*) FILTER (WHERE NOT f.gdpr_compliant) AS non_compliant
-        FROM p1_fact f JOIN p1_store s ON f.store_key = s.store_key GROUP BY s.region)""", """
-masked AS (SELECT s.region, COUNT(*) FILTER (WHERE d.gdpr_masked) AS masked_devices
-           FROM p1_device d JOIN p1_store s ON d.store_key = s.store_key
-           WHERE d.store_key IN (SELECT DISTINCT store_key FROM p1_fact) GROUP BY s.region)""") + f"""
-SELECT per.region, per.total_readings, per.non_compliant,
-       {pct2('per.non_compliant', 'per.total_readings')} AS non_compliant_pct,
-       CAST(COALESCE(masked.masked_devices, 0) AS BIGINT) AS masked_devices
-FROM per LEFT JOIN masked ON per.region = masked.region"""
+masked AS (SELECT store_key, COUNT(*) FILTER (WHERE gdpr_masked) AS masked_devices FROM p1_device GROUP BY store_key)""", """
+stores AS (SELECT s.store_name, s.region, COALESCE(per.total_readings, 0) AS total_readings,
+                  COALESCE(per.non_compliant, 0) AS non_compliant, COALESCE(masked.masked_devices, 0) AS masked_devices
+           FROM p1_store s LEFT JOIN per ON per.store_key = s.store_key LEFT JOIN masked ON masked.store_key = s.store_key)""")
+
+_GDPR_RATE = f"CASE WHEN total_readings > 0 THEN {pct2('non_compliant', 'total_readings')} END AS non_compliant_pct"
+
+GDPR_REPORT = _GDPR_STORES + f"""
+SELECT store_name, region, total_readings, non_compliant, {_GDPR_RATE}, masked_devices
+FROM stores WHERE total_readings > 0 OR masked_devices > 0"""
+
+GDPR_REPORT_BY_REGION = _GDPR_STORES + f"""
+SELECT *, {_GDPR_RATE} FROM (
+  SELECT region, CAST(SUM(total_readings) AS BIGINT) AS total_readings, CAST(SUM(non_compliant) AS BIGINT) AS non_compliant,
+         CAST(SUM(masked_devices) AS BIGINT) AS masked_devices
+  FROM stores GROUP BY region) WHERE total_readings > 0 OR masked_devices > 0"""
 
 
 def _rule_sql(r, table_of) -> str:
@@ -634,18 +644,44 @@ def _rule_sql(r, table_of) -> str:
     return f"SELECT {q(r.name)} AS rule, {q(r.table)} AS table_name, CAST({expr} AS BIGINT) AS violations FROM {src}"
 
 
-def _check_constraints() -> str:
+_CALENDAR = """
+p1_date AS (SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS BIGINT) AS date_key, d AS full_date,
+                   dayname(d) AS day_of_week, isodow(d) AS day_number, weekofyear(d) AS week_number, month(d) AS month_number,
+                   monthname(d) AS month_name, quarter(d) AS quarter, year(d) AS year, isodow(d) >= 6 AS is_weekend,
+                   'FY' || year(d) || '-Q' || quarter(d) AS fiscal_period
+            FROM (SELECT CAST(unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS DATE) AS d {src}))"""
+
+
+def _check_constraints(broken: bool = False) -> str:
     from fleetstar import schemas as S
     from fleetstar.operators.quality import default_rules
 
     cols = {"fact": S.FACT_COLUMNS + ["full_date"], "store": [f.name for f in S.STORE.fields],
-            "device": [f.name for f in S.DEVICE.fields], "alert": [f.name for f in S.ALERT.fields]}
-    table_of = {"fact": "p1_fact", "store": "p1_store", "device": "p1_device", "alert": "p1_alert"}
-    rules = default_rules(cols)
-    return with_(P1, ALERT_CTE) + "\n" + "\nUNION ALL\n".join(_rule_sql(r, table_of) for r in rules)
+            "device": [f.name for f in S.DEVICE.fields], "alert": [f.name for f in S.ALERT.fields],
+            "date": [f.name for f in S.DATE.fields]}
+    table_of = {"fact": "p1_fact", "store": "p1_store", "device": "p1_device", "alert": "p1_alert", "date": "p1_date"}
+    rules, more = default_rules(cols), []
+    if broken:  # accounts in good standing, each once per order-free copy, and a calendar that ends too early
+        table_of["device"] = "good_device"
+        more = ["good_device AS (SELECT d.* FROM p1_device d JOIN customer c ON c.c_custkey = d.device_key WHERE c.c_acctbal >= 0 "
+                "UNION ALL SELECT d.* FROM p1_device d JOIN customer c ON c.c_custkey = d.device_key WHERE c.c_acctbal >= 9000)",
+                _CALENDAR.format(lo="TIMESTAMP '2024-01-01'", hi="TIMESTAMP '2024-01-15'", src="")]
+    else:
+        more = [_CALENDAR.format(lo="CAST(lo AS TIMESTAMP)", hi="CAST(hi AS TIMESTAMP)",
+                                 src="FROM (SELECT min(full_date) AS lo, max(full_date) AS hi FROM p1_fact)")]
+    return with_(P1, ALERT_CTE, *more) + "\n" + "\nUNION ALL\n".join(_rule_sql(r, table_of) for r in rules)
 
 
 CHECK_CONSTRAINTS = _check_constraints()
+CHECK_CONSTRAINTS_BROKEN = _check_constraints(broken=True)
+
+APPEND_FACTS = with_(P1, """
+j AS (SELECT f.telemetry_key, c.c_custkey IS NOT NULL AS known FROM p1_fact f
+      LEFT JOIN customer c ON c.c_custkey = f.device_key AND c.c_acctbal >= 0)""") + """
+SELECT 'load-1' AS load, CASE WHEN known THEN 'valid' ELSE 'unknown device' END AS outcome, COUNT(*) AS readings FROM j GROUP BY ALL
+UNION ALL
+SELECT 'load-2' AS load, CASE WHEN known THEN 'key already loaded' ELSE 'unknown device' END AS outcome, COUNT(*) AS readings
+FROM j GROUP BY ALL"""
 
 DATE_DIMENSION = with_(P2, """
 days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
@@ -659,10 +695,8 @@ FROM days"""
 
 _DEV_COLS = "device_key, device_id, store_key, model_version, firmware_version, gdpr_masked"
 DEVICE_UPSERT = with_(P1, f"""
-target AS (SELECT {_DEV_COLS} FROM p1_device
-           WHERE device_key IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0))""", f"""
-incoming AS (SELECT {', '.join('d.' + c.strip() for c in _DEV_COLS.split(','))}
-             FROM events e JOIN p1_device d ON e.user_id = d.device_key)""", """
+target AS (SELECT {_DEV_COLS} FROM p1_device WHERE device_key IN (SELECT user_id FROM events))""", f"""
+incoming AS (SELECT {_DEV_COLS} FROM p1_device)""", """
 fresh AS (SELECT DISTINCT * FROM incoming WHERE device_id NOT IN (SELECT device_id FROM target))""")
 INSERT_IF_ABSENT = DEVICE_UPSERT + " SELECT * FROM target UNION ALL SELECT * FROM fresh"
 ASSIGN_SURROGATE_KEYS = DEVICE_UPSERT + """
@@ -684,12 +718,15 @@ ORACLE.update({
     "zscore_flags": ZSCORE_FLAGS,
     "iqr_flags": IQR_FLAGS,
     "composite_anomaly": COMPOSITE_ANOMALY,
+    "refresh_anomaly_flags": APPLY_ANOMALY_FLAGS,
     "apply_anomaly_flags": APPLY_ANOMALY_FLAGS,
     "anomaly_report": ANOMALY_REPORT,
+    "anomaly_report_csv": ANOMALY_REPORT,
     "anomaly_rate_by_region": ANOMALY_RATE_BY_REGION,
     "anomaly_rate_by_device": ANOMALY_RATE_BY_DEVICE,
     "anomaly_summary": ANOMALY_SUMMARY,
     "telemetry_export": TELEMETRY_EXPORT,
+    "telemetry_export_csv": TELEMETRY_EXPORT,
     "spike_rate_map": SPIKE_RATE_MAP,
     "monthly_operational_health": monthly_health(False),
     "monthly_operational_health_by_year": monthly_health(True),
@@ -702,11 +739,14 @@ ORACLE.update({
     "conform_fact": CONFORM_FACT,
     "column_profile": COLUMN_PROFILE,
     "quality_breakdown": QUALITY_BREAKDOWN,
+    "quality_breakdown_device": QUALITY_BREAKDOWN_DEVICE,
     "quality_breakdown_firmware": QUALITY_BREAKDOWN_FIRMWARE,
     "quality_breakdown_month": QUALITY_BREAKDOWN_MONTH,
     "gdpr_report": GDPR_REPORT,
     "gdpr_report_by_region": GDPR_REPORT_BY_REGION,
     "check_constraints": CHECK_CONSTRAINTS,
+    "check_constraints_broken": CHECK_CONSTRAINTS_BROKEN,
+    "append_facts": APPEND_FACTS,
     "date_dimension": DATE_DIMENSION,
     "insert_if_absent": INSERT_IF_ABSENT,
     "assign_surrogate_keys": ASSIGN_SURROGATE_KEYS,
@@ -721,16 +761,12 @@ SELECT telemetry_key, store_name AS store, device_id AS device, CAST(temperature
        region, manager_name AS manager, {q(C.OUTBOX_STATUS)} AS status
 FROM routed"""
 
-# Append mode emits a window once the watermark (max event time of the
-# alert stream minus the 15-minute delay) has passed its end.
 STREAM_ALERT_WINDOW_COUNTS = with_(P1, ALERT_CTE, ALERTED) + """
 SELECT time_bucket(INTERVAL 15 MINUTE, event_timestamp) AS window_start,
        time_bucket(INTERVAL 15 MINUTE, event_timestamp) + INTERVAL 15 MINUTE AS window_end,
        COUNT(*) AS alerts
 FROM alerted
-GROUP BY 1, 2
-HAVING time_bucket(INTERVAL 15 MINUTE, event_timestamp) + INTERVAL 15 MINUTE
-       <= (SELECT max(event_timestamp) FROM alerted) - INTERVAL 15 MINUTE"""
+GROUP BY 1, 2"""
 
 ORACLE.update({
     "stream_alert_outbox": STREAM_ALERT_OUTBOX,

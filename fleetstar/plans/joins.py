@@ -1,7 +1,8 @@
 """Size-checked broadcast of dimension-like inputs.
 
-A broadcast hint is only given after the side has been *measured*: a bounded
-``limit(n + 1).count()`` proves the row count is at most ``n``. Larger sides
+A broadcast hint is only given after the side has been *measured*: a plain
+``count()`` (one row per task, Parquet footers where nothing is filtered)
+proves the row count is at most ``n``. Larger sides
 are left to the planner (sort-merge join, re-planned at runtime by adaptive
 execution, which also splits skewed partitions).
 
@@ -30,17 +31,17 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops reading early).
+    """True when ``df`` has at most ``max_rows`` rows.
 
     Decisions are reused for the same plan for ``fleetstar.broadcast.checkTtlSeconds``
     (default 600): a dimension that grows is measured again.
     """
     ttl = float(df.sparkSession.conf.get("fleetstar.broadcast.checkTtlSeconds", None) or 600)
-    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (app_id(df.sparkSession), df.semanticHash(), tuple(df.dtypes), max_rows)
     hit = _decisions.get(key)
     now = time.monotonic()
     if hit is None or now - hit[1] > ttl:
-        hit = (df.limit(max_rows + 1).count() <= max_rows, now)
+        hit = (df.count() <= max_rows, now)
         _decisions[key] = hit
     return hit[0]
 
@@ -62,17 +63,12 @@ def aggregate_by_attributes(fact: DataFrame, dim: DataFrame, key: str, attrs: li
     """GROUP BY dimension attributes (plus fact columns ``extra_keys``).
 
     ``aggs`` maps output name -> (aggregate over fact rows, merge function for
-    partial results, e.g. ``F.sum``). When the dimension is proven small it is
-    broadcast and joined map-side, so the partial aggregation already groups by
-    the attributes (one shuffle of a few rows per task). Otherwise the fact is
-    aggregated by ``key`` first and the much smaller result is joined and
-    re-aggregated (eager aggregation: no shuffle of raw fact rows to the join).
+    partial results, e.g. ``F.sum``). The fact is aggregated by ``key`` first
+    (an integer, with partial aggregation) and the much smaller result is
+    joined and re-aggregated, so neither raw rows nor long attribute values
+    of every row take part in a shuffle.
     """
-    proj = dim.select(key, *attrs)
-    limit = max_rows or broadcast_limit(proj)
     exprs = [expr.alias(name) for name, (expr, _) in aggs.items()]
-    if fits(proj, limit):
-        return fact.join(F.broadcast(proj), key).groupBy(*attrs, *extra_keys).agg(*exprs)
-    per = fact.groupBy(key, *extra_keys).agg(*exprs).join(proj, key)
+    per = join_dim(fact.groupBy(key, *extra_keys).agg(*exprs), dim.select(key, *attrs), key, max_rows=max_rows)
     return per.groupBy(*attrs, *extra_keys).agg(*[merge(F.col(name)).alias(name)
                                                   for name, (_, merge) in aggs.items()])

@@ -1,7 +1,7 @@
 """Global RANK / DENSE_RANK / NTILE / ROW_NUMBER that scale past one task.
 
 A window without PARTITION BY runs in a single task. That is fine for a few
-thousand aggregated rows, so small inputs (row count proven by a bounded
+thousand aggregated rows, so small inputs (row count proven by a
 count of the checkpointed input) use the built-in window. Larger inputs are
 ordered by a distributed range-partitioned sort; each row's position is its
 partition's offset (from per-partition counts: one row per partition, a
@@ -97,7 +97,7 @@ def global_rank(df: DataFrame, kind: str, order, out: str, tiebreak=(), buckets:
     # shared checkpoint folder; the size check and the ranking both read that.
     checkpoint_base(df.sparkSession)
     df = df.checkpoint(eager=True)
-    if df.limit(limit + 1).count() <= limit:
+    if df.count() <= limit:
         if groups:
             return df.withColumn(out, F.rank().over(Window.partitionBy(*groups).orderBy(*_sort_cols(order))))
         w_order = Window.orderBy(*_sort_cols(order))

@@ -1,8 +1,10 @@
 """Per-entity neighbours in time order (LEAD / LAG IGNORE NULLS), skew-safe.
 
-``Window.partitionBy(entity)`` sends every reading of an entity to one task;
-a single hot device holding a third of all rows would then be sorted by one
-task. Instead each entity's timeline is cut into fixed time buckets:
+``Window.partitionBy(entity)`` sends every reading of an entity to one task:
+one shuffle, and right for ordinary entities. A single hot device holding a
+third of all rows would then be sorted by one task, so rows are counted per
+entity first (partially aggregated), and only the timelines of entities above
+``hot_rows`` are cut into time buckets:
 
 1. the window runs per (entity, bucket), so a hot entity spreads over many
    tasks;
@@ -20,11 +22,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetstar.session import checkpoint_base
 
 DEFAULT_BUCKET_SECONDS = 3600
 
 
 TARGET_ROWS_PER_BUCKET = 1_000_000
+HOT_ROWS = 1_000_000  # fleetstar.sequence.hotRows
+
+
+def split_hot(df: DataFrame, entity: str, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary entities, rows of entities with more than ``hot_rows`` rows or None)."""
+    limit = hot_rows if hot_rows is not None else int(
+        df.sparkSession.conf.get("fleetstar.sequence.hotRows", None) or HOT_ROWS)
+    checkpoint_base(df.sparkSession)
+    hot = (df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+           .select(F.col(entity).alias("_hot")).checkpoint(eager=True))
+    if hot.isEmpty():
+        return df, None
+    on = df[entity].eqNullSafe(hot["_hot"])
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
 def auto_bucket_seconds(df: DataFrame, entity: str, ts: str, target_rows: int = TARGET_ROWS_PER_BUCKET) -> int:
@@ -52,11 +69,22 @@ def _with_bucket(df: DataFrame, ts: str, bucket_seconds) -> DataFrame:
 
 
 def next_in_sequence(df: DataFrame, entity: str, ts: str, tiebreak: str, values: list[str],
-                     prefix: str = "next_", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     prefix: str = "next_", bucket_seconds: int | str = "auto",
+                     hot_rows: int | None = None) -> DataFrame:
     """Add ``prefix + v`` = LEAD(v) OVER (PARTITION BY entity ORDER BY ts, tiebreak).
 
-    ``bucket_seconds`` is the time-bucket width, or ``"auto"`` to size it from the data.
+    ``bucket_seconds`` is the bucket width of hot entities, or ``"auto"`` to size it from their data.
     """
+    df, busy = split_hot(df, entity, hot_rows)
+    w = Window.partitionBy(entity).orderBy(ts, tiebreak)
+    out = df.withColumns({prefix + v: F.lead(v).over(w) for v in values})
+    if busy is None:
+        return out
+    return out.unionByName(_next_in_buckets(busy, entity, ts, tiebreak, values, prefix, bucket_seconds))
+
+
+def _next_in_buckets(df: DataFrame, entity: str, ts: str, tiebreak: str, values: list[str], prefix: str,
+                     bucket_seconds) -> DataFrame:
     if bucket_seconds == "auto":
         bucket_seconds = auto_bucket_seconds(df, entity, ts)
     d = _with_bucket(df, ts, bucket_seconds)
@@ -77,8 +105,18 @@ def next_in_sequence(df: DataFrame, entity: str, ts: str, tiebreak: str, values:
 
 
 def previous_non_null(df: DataFrame, entity: str, ts: str, tiebreak: str, value: str, out: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int | str = "auto", hot_rows: int | None = None) -> DataFrame:
     """Add ``out`` = last non-NULL ``value`` strictly before each row of the entity."""
+    df, busy = split_hot(df, entity, hot_rows)
+    w = Window.partitionBy(entity).orderBy(ts, tiebreak).rowsBetween(Window.unboundedPreceding, -1)
+    found = df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    if busy is None:
+        return found
+    return found.unionByName(_previous_in_buckets(busy, entity, ts, tiebreak, value, out, bucket_seconds))
+
+
+def _previous_in_buckets(df: DataFrame, entity: str, ts: str, tiebreak: str, value: str, out: str,
+                         bucket_seconds) -> DataFrame:
     if bucket_seconds == "auto":
         bucket_seconds = auto_bucket_seconds(df, entity, ts)
     d = _with_bucket(df, ts, bucket_seconds)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetstar.operators import fleet
-from fleetstar.session import app_id
+from fleetstar.session import app_id, scratch_path
 from fleetstar.sources.profiles import event_star, orderline_star
 
 
@@ -83,6 +83,7 @@ from fleetstar.operators import governance as G  # noqa: E402
 from fleetstar.operators import quality as Q  # noqa: E402
 from fleetstar import schemas as S  # noqa: E402
 from fleetstar.oracle import CARD_FACT_COLUMNS, OUTBOX_RUN_TS, RETAIN_AS_OF  # noqa: E402
+from fleetstar.sources import files  # noqa: E402
 from fleetstar.sources.profiles import read_table, routing_table  # noqa: E402
 
 
@@ -98,14 +99,19 @@ def _since(s):
 
 def _cards(spark, s):
     cards = A.alert_cards(_routed(spark, s))
-    facts = [F.get_json_object("card_json", f"$.body[1].facts[{i}].value").alias(c)
-             for i, c in enumerate(CARD_FACT_COLUMNS)]
+    at = lambda path: F.get_json_object("card_json", f"$.attachments[0].{path}")
+    facts = [at(f"content.body[1].facts[{i}].value").alias(c) for i, c in enumerate(CARD_FACT_COLUMNS)]
     return cards.select("telemetry_key",
-                        F.get_json_object("card_json", "$.body[0].text").alias("headline"),
-                        F.json_array_length(F.get_json_object("card_json", "$.body[1].facts")).cast("long")
-                        .alias("fact_count"),
+                        F.get_json_object("card_json", "$.type").alias("message_type"),
+                        at("contentType").alias("content_type"),
+                        F.get_json_object("card_json", "$.attachments[0].content['$schema']").alias("card_schema"),
+                        at("content.type").alias("card_type"), at("content.version").alias("card_version"),
+                        at("content.body[0].text").alias("headline"), at("content.body[0].weight").alias("headline_weight"),
+                        at("content.body[0].size").alias("headline_size"), at("content.body[0].color").alias("headline_color"),
+                        F.json_array_length(at("content.body[1].facts")).cast("long").alias("fact_count"),
                         *facts,
-                        F.get_json_object("card_json", "$.body[2].text").alias("shutoff_text"),
+                        at("content.body[2].text").alias("shutoff_text"), at("content.body[2].wrap").alias("shutoff_wrap"),
+                        at("content.actions[0].type").alias("action_type"),
                         "manager_email")
 
 
@@ -116,14 +122,10 @@ def _p1s(fn):
 
 
 def _device_sets(spark, sf_dir, s):
+    """(registry so far, incoming devices): the devices that reported, then every customer's."""
     cols = ["device_key", "device_id", "store_key", "model_version", "firmware_version", "gdpr_masked"]
-    # Registry so far: accounts in good standing; incoming: every device that reported.
-    good = (read_table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
-            .select(F.col("c_custkey").alias("device_key")))
-    target = s.device.join(good, "device_key", "left_semi").select(*cols)
-    ev = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("device_key"))
-    incoming = ev.join(s.device, "device_key").select(*cols)
-    return target, incoming
+    seen = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("device_key"))
+    return s.device.join(seen, "device_key", "left_semi").select(*cols), s.device.select(*cols)
 
 
 def _insert_if_absent(spark, sf_dir):
@@ -141,8 +143,40 @@ def _assign_keys(spark, sf_dir):
     return present(keyed.select("device_id", "new_device_key"))
 
 
-def _p2_flat(s):
-    return D.telemetry_export(s.fact, s.store, s.device, s.alert)
+def _csv_round_trip(spark, df: DataFrame, schema=None) -> DataFrame:
+    """Write as CSV to the shared folder and read it back with its explicit schema."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(df, path)
+    return files.read_csv(spark, path, schema or df.schema)
+
+
+def _good_devices(spark, sf_dir, s):
+    """Devices of accounts in good standing."""
+    good = (read_table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+            .select(F.col("c_custkey").alias("device_key")))
+    return s.device.join(good, "device_key", "left_semi").select(*s.device.columns)
+
+
+def _append_facts(spark, sf_dir):
+    """Load all readings twice under one name and once more under another; what arrived, read back."""
+    s = _star(event_star, spark, sf_dir)
+    path, rejects = scratch_path(spark, "facts"), scratch_path(spark, "fact-rejects")
+    device = _good_devices(spark, sf_dir, s)
+    for load in ("load-1", "load-1", "load-2"):
+        M.append_facts(s.fact, path, rejects, load, device)
+    return present(spark.read.parquet(path).select("load", F.lit("valid").alias("outcome"))
+                   .unionByName(spark.read.parquet(rejects).select("load", F.col("reject_reason").alias("outcome")))
+                   .groupBy("load", "outcome").agg(F.count(F.lit(1)).alias("readings")))
+
+
+def _constraints_broken(spark, sf_dir):
+    """The rules over tables that break them: devices missing or doubled, a calendar that ends early."""
+    s = _star(event_star, spark, sf_dir)
+    rich = (read_table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 9000)
+            .select(F.col("c_custkey").alias("device_key")))
+    device = _good_devices(spark, sf_dir, s).unionByName(s.device.join(rich, "device_key", "left_semi").select(*s.device.columns))
+    return present(Q.check_constraints({"fact": s.fact, "store": s.store, "device": device, "alert": s.alert,
+                                        "date": M.date_dimension(spark, "2024-01-01", "2024-01-15")}))
 
 
 QUERIES.update({
@@ -164,18 +198,22 @@ QUERIES.update({
     "composite_anomaly": _p1(lambda s: N.composite_anomaly(s.fact).select(
         "telemetry_key", "z_flag", "iqr_power_flag", "iqr_session_flag", "quality_flag", "is_anomaly_detected",
         "anomaly_methods")),
-    "apply_anomaly_flags": _p1(lambda s: N.refresh_anomaly_flags(s.fact).select("telemetry_key", "is_anomaly")),
+    "refresh_anomaly_flags": _p1(lambda s: N.refresh_anomaly_flags(s.fact).select("telemetry_key", "is_anomaly")),
+    "apply_anomaly_flags": _p1(lambda s: N.apply_anomaly_flags(s.fact, N.composite_anomaly(s.fact)).select(
+        "telemetry_key", "is_anomaly")),
     "anomaly_report": _p1(lambda s: N.anomaly_report(s.fact, s.device, s.store)),
     "anomaly_rate_by_region": _p1(lambda s: N.anomaly_rate_by_region(s.fact, s.store)),
     "anomaly_rate_by_device": _p1(lambda s: N.anomaly_rate_by_device(s.fact, s.device, s.store)),
     "anomaly_summary": _p1(lambda s: N.anomaly_summary(s.fact, s.device, s.store)),
     "telemetry_export": _p1(lambda s: D.telemetry_export(s.fact, s.store, s.device, s.alert)),
-    "spike_rate_map": _p1(lambda s: D.spike_rate_map(D.telemetry_export(s.fact, s.store, s.device, s.alert))),
-    "monthly_operational_health": _p2(lambda s: D.monthly_operational_health(_p2_flat(s))),
-    "monthly_operational_health_by_year": _p2(lambda s: D.monthly_operational_health(_p2_flat(s), by_year=True)),
-    "store_vs_global": _p1(lambda s: D.store_vs_global(D.telemetry_export(s.fact, s.store, s.device, s.alert))),
-    "country_city_drill": _p1(lambda s: D.country_city_drill(
-        D.telemetry_export(s.fact, s.store, s.device, s.alert))),
+    "telemetry_export_csv": _p1s(lambda spark, s: _csv_round_trip(
+        spark, D.telemetry_export(s.fact, s.store, s.device, s.alert), files.FLAT_CSV_SCHEMA)),
+    "anomaly_report_csv": _p1s(lambda spark, s: _csv_round_trip(spark, N.anomaly_report(s.fact, s.device, s.store))),
+    "spike_rate_map": _p1(lambda s: D.spike_rate_map(D.store_totals(s.fact, s.store))),
+    "monthly_operational_health": _p2(lambda s: D.monthly_operational_health(D.with_date(s.fact))),
+    "monthly_operational_health_by_year": _p2(lambda s: D.monthly_operational_health(D.with_date(s.fact), by_year=True)),
+    "store_vs_global": _p1(lambda s: D.store_vs_global(D.store_totals(s.fact, s.store))),
+    "country_city_drill": _p1(lambda s: D.country_city_drill(D.store_totals(s.fact, s.store))),
     "load_summary": _p1(lambda s: G.load_summary(s.fact)),
     "classify_alerts": _p1(lambda s: Q.classify_alert(Q.spike_flag(s.fact), crit=150).select(
         "telemetry_key", "spike_recomputed", "alert_type_key_derived")),
@@ -185,12 +223,16 @@ QUERIES.update({
     "column_profile": _p1(lambda s: Q.column_profile(s.fact.select(*S.FACT_COLUMNS), exact=True)
                           .drop("data_type")),
     "quality_breakdown": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, by="store")),
+    "quality_breakdown_device": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, s.device, by="device")),
     "quality_breakdown_firmware": _p1(lambda s: Q.quality_breakdown(s.fact, s.store, s.device, by="firmware")),
     "quality_breakdown_month": _p2(lambda s: Q.quality_breakdown(s.fact, s.store, by="month")),
     "gdpr_report": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store)),
     "gdpr_report_by_region": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store, by="region")),
     "check_constraints": _p1(lambda s: Q.check_constraints(
-        {"fact": s.fact, "store": s.store, "device": s.device, "alert": s.alert})),
+        {"fact": s.fact, "store": s.store, "device": s.device, "alert": s.alert,
+         "date": M.date_dimension_covering(s.fact)})),
+    "check_constraints_broken": _constraints_broken,
+    "append_facts": _append_facts,
     "date_dimension": _p2(lambda s: M.date_dimension_covering(s.fact)),
     "insert_if_absent": _insert_if_absent,
     "assign_surrogate_keys": _assign_keys,
@@ -201,7 +243,6 @@ QUERIES.update({
 # Streaming: drain the file source once (availableNow) and read the sink back
 # ---------------------------------------------------------------------------
 
-from fleetstar.session import scratch_path  # noqa: E402
 from fleetstar import streaming as ST  # noqa: E402
 
 
@@ -215,7 +256,7 @@ def _stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "alert-counts"), scratch_path(spark, "alert-counts-ckpt")
     ST.run_alert_window_counts(spark, sf_dir, sf_dir, out, ckpt, glob="events.parquet")
-    return present(spark.read.parquet(out))
+    return present(ST.window_counts(spark, out))
 
 
 QUERIES.update({

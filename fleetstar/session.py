@@ -39,7 +39,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    checkpoint_base(spark)
+    if is_local_master(spark.sparkContext.master):
+        checkpoint_base(spark)
     return spark
 
 
@@ -64,27 +65,38 @@ def cluster_settings(input_bytes: float, executor_cores: int = 4, target_partiti
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the shared checkpoint folder, creating a local one only in a local session.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only a session without it (tests, a laptop) gets a fresh
-    temporary folder.
+    always wins. Only ``local[*]`` without it (tests, a laptop) gets a fresh
+    temporary folder; anywhere else a missing setting raises, because a
+    machine-local folder would not be seen by the other machines.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server owns the checkpoint folder
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise ValueError(f"master {sc.master}: set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="fleetstar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local_master(master: str) -> bool:
+    """True for ``local`` and ``local[...]``, which run in one process on one machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def app_id(spark: SparkSession) -> str:
     """Identity of the running application (changes when a session is rebuilt)."""
     return spark.conf.get("spark.app.id", "") or spark.conf.get("spark.app.name", "")

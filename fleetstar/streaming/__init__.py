@@ -1,3 +1,4 @@
 from fleetstar.streaming.alerts import (  # noqa: F401
-    OutboxWriter, alert_window_counts, critical_alert_stream, run_alert_outbox, run_alert_window_counts,
+    OutboxWriter, alert_window_counts, compact_outbox, critical_alert_stream, run_alert_outbox,
+    run_alert_window_counts, window_counts,
 )

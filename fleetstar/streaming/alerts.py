@@ -1,31 +1,31 @@
 """Continuous critical-alert notification with Structured Streaming.
 
-Readings arrive as files. Each micro-batch joins the static dimensions
-(stream-static joins, no state), keeps notifying alerts, routes them and
-appends them to the outbox exactly once per ``telemetry_key``:
-
-* duplicates inside a batch are dropped;
-* keys already in the outbox from *other* batches are removed with an anti
-  join that reads only the key column of the event days present in the batch
-  (partition pruning: a routine batch touches one or two days);
-* the batch writes only its own ``batch=<id>`` partitions with dynamic
-  overwrite, so a re-run of the same batch id (after a failure) replaces
-  its output instead of adding to it.
+Readings arrive as files. Each micro-batch reads the dimensions afresh, keeps
+notifying alerts, routes them and appends them to the outbox exactly once per
+``telemetry_key``; readings of unknown devices go to a rejects table beside
+it. Both are written in partitions of their own run (the streaming query's
+id, or the caller's) and batch, replaced by a re-run of that batch and by
+nothing else. A key that any other run or batch has written, on whatever day,
+is left out by an anti-join with the whole outbox's keys, narrowed by the
+batch's least and greatest key, which row-group statistics answer.
 
 Late readings are not dropped: there is no watermark on this path, so a
 critical reading that arrives months late is still notified. A separate
-query counts alerts per 15-minute event-time window with a watermark.
+query counts alerts per event-time window.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetstar import constants as C
-from fleetstar.operators.alerts import _alerted, notification_outbox, route_alerts
+from fleetstar.operators.alerts import _alerted, notification_outbox, retain, route_alerts
+from fleetstar.plans.joins import bounded_broadcast
 from fleetstar.sources.profiles import (alert_dim, _nation_stores, event_devices, events_to_fact,
                                         routing_table)
 
@@ -37,130 +37,167 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
     T.StructField("props", T.StringType()),
 ])
+MAX_FILES = 1000  # files of one micro-batch, so that a backlog is taken in steps
 
 
 def _source(spark: SparkSession, events_dir: str, glob: str | None, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files or MAX_FILES)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(events_dir)
 
 
-def critical_alert_stream(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
-                          codes=(C.ALERT_TYPES[0][1],), max_files: int | None = None,
-                          routing: DataFrame | None = None, default: dict | None = None) -> DataFrame:
-    """Streaming DataFrame of routed notifying alerts (outbox shape + event month)."""
+def routed_alerts_of(events: DataFrame, dims_dir: str, codes=(C.ALERT_TYPES[0][1],),
+                     routing: DataFrame | None = None, default: dict | None = None) -> DataFrame:
+    """Outbox rows (with the event's day) of the notifying alerts among ``events``, batch or streaming."""
+    spark = events.sparkSession
     devices = event_devices(spark, dims_dir)
-    fact = events_to_fact(_source(spark, events_dir, glob, max_files), devices)
-    alerts = _alerted(fact, devices, _nation_stores(spark, dims_dir), alert_dim(spark), codes)
+    alerts = _alerted(events_to_fact(events, devices), devices, _nation_stores(spark, dims_dir), alert_dim(spark), codes)
     if routing is None:
         routing, default = routing_table(spark)
-    routed = route_alerts(alerts, routing, default)
-    routed = (routed.withColumn("_now", F.localtimestamp())
+    routed = (route_alerts(alerts, routing, default).withColumn("_now", F.localtimestamp())
               .withColumn("event_day", F.to_date("event_timestamp")))
     return notification_outbox(routed, F.col("_now"), keep=("event_day",))
 
 
-class OutboxWriter:
-    """``foreachBatch`` sink: exactly-once outbox rows per telemetry key."""
+def critical_alert_stream(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
+                          codes=(C.ALERT_TYPES[0][1],), max_files: int | None = None,
+                          routing: DataFrame | None = None, default: dict | None = None) -> DataFrame:
+    """Streaming DataFrame of routed notifying alerts (dimensions as of the query's start)."""
+    return routed_alerts_of(_source(spark, events_dir, glob, max_files), dims_dir, codes, routing, default)
+
+
+def unknown_devices_of(events: DataFrame, dims_dir: str) -> DataFrame:
+    """Readings whose device is not in the device dimension (the inner join would drop them)."""
+    keys = bounded_broadcast(event_devices(events.sparkSession, dims_dir).select(F.col("device_key").alias("_dk")))
+    return events.join(keys, events.user_id == keys._dk, "left_anti")
+
 
-    def __init__(self, outbox_path: str):
-        self.path = outbox_path
+def stream_run_id(spark: SparkSession) -> str | None:
+    """The id of the streaming query whose batch is being processed; kept by its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _overwrite(rows: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Write the partition of one run and batch, replacing only an earlier attempt at it."""
+    (rows.withColumn("run", F.lit(run)).withColumn("batch", F.lit(batch_id).cast("long"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "batch").parquet(path))
+
+
+class OutboxWriter:
+    """``foreachBatch`` sink, or batch sink with a caller's run id: one outbox row per telemetry key."""
 
     # Outbox rows as written: the audit columns plus the two partition columns.
-    SCHEMA = ("telemetry_key bigint, store string, device string, temperature decimal(10,2), region string, "
-              "manager string, notified_at timestamp_ntz, status string, event_day date, batch bigint")
+    SCHEMA = ("event_day date, telemetry_key bigint, store string, device string, temperature decimal(10,2), "
+              "region string, manager string, notified_at timestamp_ntz, status string, run string, batch bigint")
+
+    def __init__(self, outbox_path: str, run_id: str | None = None):
+        self.path, self.run_id = outbox_path, run_id
 
-    def _existing(self, spark: SparkSession) -> DataFrame | None:
+    def existing(self, spark: SparkSession) -> DataFrame | None:
+        """The outbox; None only if there is no such folder yet."""
         try:
             return spark.read.schema(self.SCHEMA).parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
-    def _write(self, rows: DataFrame, batch_id: int) -> None:
-        (rows.withColumn("batch", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_day", "batch").parquet(self.path))
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates(["telemetry_key"])
-        prior = self._existing(spark)
-        if prior is None:  # first write: nothing to de-duplicate against, one action
-            self._write(rows, batch_id)
+        run = self.run_id or stream_run_id(spark)
+        if not run:
+            raise ValueError("a batch outside of a streaming query needs a run id")
+        # Of rows with one key the least by its other columns stays, on every attempt.
+        others = [c for c in batch.columns if c not in ("telemetry_key", "notified_at")]
+        rows = (batch.groupBy("telemetry_key").agg(F.min(F.struct(*others)).alias("r"), F.max("notified_at").alias("notified_at"))
+                .select("telemetry_key", "r.*", "notified_at").select(*batch.columns))
+        prior = self.existing(spark)
+        if prior is None:  # first write: nothing to compare with, one action
+            _overwrite(rows, self.path, run, batch_id)
             return
         cached = rows.persist()
         try:
-            # Distinct event days of one micro-batch: bounded by the calendar.
-            days = [r[0] for r in cached.select("event_day").distinct().collect()]
-            if not days:
-                return
-            seen = (prior.filter(F.col("event_day").isin(days) & (F.col("batch") != F.lit(batch_id)))
-                    .select("telemetry_key"))
-            self._write(cached.join(seen, "telemetry_key", "left_anti"), batch_id)
+            span = cached.agg(F.min("telemetry_key").alias("lo"), F.max("telemetry_key").alias("hi")).first()
+            if span["lo"] is not None:
+                own = (F.col("run") == run) & (F.col("batch") == batch_id)
+                seen = prior.where(F.col("telemetry_key").between(span["lo"], span["hi"]) & ~own).select("telemetry_key")
+                cached = cached.join(seen, "telemetry_key", "left_anti").select(*batch.columns)
+            _overwrite(cached, self.path, run, batch_id)
         finally:
-            cached.unpersist()
-
-
-def unknown_device_stream(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
-                          max_files: int | None = None) -> DataFrame:
-    """Readings whose device is not in the device dimension (the inner join would drop them)."""
-    from fleetstar.plans.joins import bounded_broadcast
-
-    keys = bounded_broadcast(event_devices(spark, dims_dir).select(F.col("device_key").alias("_dk")))
-    src = _source(spark, events_dir, glob, max_files)
-    return src.join(keys, src.user_id == keys._dk, "left_anti")
+            rows.unpersist()
 
 
 def run_alert_outbox(spark: SparkSession, events_dir: str, dims_dir: str, outbox_path: str, checkpoint: str,
                      glob: str | None = None, available_now: bool = True, interval: str = "5 minutes",
                      max_files: int | None = None, rejects_path: str | None = None):
-    """Start (and with ``available_now`` drain) the outbox stream; returns the query.
+    """Start (and with ``available_now`` drain) the outbox stream; returns its query.
 
-    With ``rejects_path`` a second query appends readings of unknown devices
-    there (file sink: exactly-once through its own commit log), so they can
-    be replayed once the dimension catches up.
+    Readings of unknown devices go to ``rejects_path`` (default: beside the
+    outbox), so they can be replayed once the dimension catches up. Both
+    tables are written by the one query that is returned.
     """
-    stream = critical_alert_stream(spark, events_dir, dims_dir, glob=glob, max_files=max_files)
-    writer = stream.writeStream.foreachBatch(OutboxWriter(outbox_path)).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
-    q = writer.start()
-    rq = None
-    if rejects_path:
-        rw = (unknown_device_stream(spark, events_dir, dims_dir, glob=glob, max_files=max_files)
-              .writeStream.format("parquet").option("path", rejects_path)
-              .option("checkpointLocation", checkpoint.rstrip("/") + "-rejects"))
-        rw = rw.trigger(availableNow=True) if available_now else rw.trigger(processingTime=interval)
-        rq = rw.start()
+    writer = OutboxWriter(outbox_path)
+    rejects = rejects_path or outbox_path.rstrip("/") + "-rejects"
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        # The dimensions are read here, so a device added since the start is known.
+        _overwrite(unknown_devices_of(batch, dims_dir), rejects, stream_run_id(batch.sparkSession), batch_id)
+        writer(routed_alerts_of(batch, dims_dir), batch_id)
+
+    stream = _source(spark, events_dir, glob, max_files).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    q = (stream.trigger(availableNow=True) if available_now else stream.trigger(processingTime=interval)).start()
     if available_now:
         q.awaitTermination()
-        if rq is not None:
-            rq.awaitTermination()
     return q
 
 
+def compact_outbox(spark: SparkSession, outbox_path: str, target_path: str, months: int | None = None, as_of=None) -> int:
+    """Copy the outbox to a new folder in few files, without rows older than ``months``; returns the rows kept.
+
+    The writers go on with the new folder. A key that retention removes could be notified again by a
+    replay from before then, so ``months`` must exceed the age of any replay.
+    """
+    rows = OutboxWriter(outbox_path).existing(spark)
+    if rows is None:
+        raise FileNotFoundError(outbox_path)
+    if months is not None:
+        rows = retain(rows, months=months, as_of=as_of)
+    once = Window.partitionBy("telemetry_key").orderBy("notified_at", "run", "batch")
+    kept = rows.withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n", "run", "batch")
+    _overwrite(kept.hint("rebalance"), target_path, f"compacted-{uuid.uuid4().hex[:12]}", 0)
+    return OutboxWriter(target_path).existing(spark).count()
+
+
 def alert_window_counts(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
-                        window: str = "15 minutes", delay: str = "15 minutes",
-                        codes=(C.ALERT_TYPES[0][1],), max_files: int | None = None) -> DataFrame:
-    """Streaming count of notifying alerts per tumbling event-time window."""
+                        window: str = "15 minutes", codes=(C.ALERT_TYPES[0][1],),
+                        max_files: int | None = None) -> DataFrame:
+    """Streaming count of notifying alerts per tumbling event-time window.
+
+    No watermark: late alerts count, and the state is one row per window with an alert.
+    """
     devices = event_devices(spark, dims_dir)
     fact = events_to_fact(_source(spark, events_dir, glob, max_files), devices)
     alerts = _alerted(fact, devices, _nation_stores(spark, dims_dir), alert_dim(spark), codes)
-    return (alerts.withColumn("event_time", F.col("event_timestamp").cast("timestamp"))
-            .withWatermark("event_time", delay)
-            .groupBy(F.window("event_time", window).alias("w"))
+    return (alerts.groupBy(F.window("event_timestamp", window).alias("w"))
             .agg(F.count(F.lit(1)).alias("alerts"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                     F.col("w.end").cast("timestamp_ntz").alias("window_end"), "alerts"))
 
 
 def run_alert_window_counts(spark: SparkSession, events_dir: str, dims_dir: str, out_path: str, checkpoint: str,
-                            glob: str | None = None, window: str = "15 minutes", delay: str = "15 minutes"):
-    """Append closed windows to Parquet (the watermark decides when a window is final)."""
-    counts = alert_window_counts(spark, events_dir, dims_dir, glob=glob, window=window, delay=delay)
-    q = (counts.writeStream.outputMode("append").format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+                            glob: str | None = None, window: str = "15 minutes", max_files: int | None = None):
+    """Write each batch's changed windows with their new counts; ``window_counts`` reads the latest."""
+    counts = alert_window_counts(spark, events_dir, dims_dir, glob=glob, window=window, max_files=max_files)
+    q = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .foreachBatch(lambda b, i: _overwrite(b, out_path, stream_run_id(b.sparkSession), i)).start())
     q.awaitTermination()
     return q
+
+
+def window_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The latest count of every window, over all runs' last batches that changed it."""
+    rows = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, alerts bigint, run string, batch bigint").parquet(out_path)
+    return (rows.groupBy("window_start", "window_end", "run").agg(F.max_by("alerts", "batch").alias("alerts"))
+            .groupBy("window_start", "window_end").agg(F.max("alerts").alias("alerts")))

@@ -97,13 +97,30 @@ def test_csv_round_trip_and_ingest(spark, micro, tmp_dir):
     files.write_parquet(back, f"{tmp_dir}/extract", partition_by=["year"])   # columnar copy of the CSV
     assert spark.read.parquet(f"{tmp_dir}/extract").count() == 12
 
-    M.append_facts(micro.fact, f"{tmp_dir}/fact", f"{tmp_dir}/rejects")
-    M.append_facts(micro.fact.limit(2), f"{tmp_dir}/fact", f"{tmp_dir}/rejects")
-    stored = spark.read.parquet(f"{tmp_dir}/fact")
-    assert stored.count() == 14 and "reading_month" in stored.columns
+    path, rejects = f"{tmp_dir}/fact", f"{tmp_dir}/rejects"
+    for _ in range(2):  # a load that is run again replaces itself
+        M.append_facts(micro.fact, path, rejects, "monday", micro.device)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 12 and "reading_month" in stored.columns
     assert stored.filter(F.col("ingestion_timestamp") == F.col("event_timestamp")).count() == 0
 
 
+def test_append_keeps_every_rejected_row(spark, micro, tmp_dir):
+    path, rejects = f"{tmp_dir}/fact", f"{tmp_dir}/rejects"
+    M.append_facts(micro.fact.where("telemetry_key <= 3"), path, rejects, "first", micro.device)
+    bad = (micro.fact.where("telemetry_key > 10").unionByName(micro.fact.where("telemetry_key = 12"))
+           .unionByName(micro.fact.where("telemetry_key = 2"))
+           .unionByName(micro.fact.where("telemetry_key = 4").withColumn("device_key", F.lit(99).cast("long")))
+           .unionByName(micro.fact.where("telemetry_key = 5").withColumn("data_quality_flag", F.lit("ODD")))
+           .unionByName(micro.fact.where("telemetry_key = 6").withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))))
+    M.append_facts(bad, path, rejects, "second", micro.device)
+    assert spark.read.parquet(path).count() == 5
+    reasons = sorted(r.reject_reason for r in spark.read.parquet(rejects).collect())
+    assert reasons == ["duplicate key", "event_timestamp is null", "key already loaded", "unknown device", "unknown quality flag"]
+    with pytest.raises(ValueError, match="absent"):
+        M.append_facts(micro.fact.select("telemetry_key", "device_key"), path, rejects, "third")
+
+
 def test_star_materialise_and_versions(spark, micro, tmp_dir):
     M.write_star(micro, f"{tmp_dir}/star")
     star = M.read_star(spark, f"{tmp_dir}/star")

@@ -31,11 +31,18 @@ def test_route_cards_email_outbox(micro, micro_routing):
     managers = {r.telemetry_key: r.manager_name for r in routed.collect()}
     assert managers == {11: "Ops Desk", 5: "Bo Example", 6: "Bo Example"}
     cards = {r.telemetry_key: json.loads(r.card_json) for r in A.alert_cards(routed).collect()}
-    facts = {f["title"]: f["value"] for f in cards[11]["body"][1]["facts"]}
+    attachment = cards[11]["attachments"][0]
+    assert cards[11]["type"] == "message" and attachment["contentType"] == "application/vnd.microsoft.card.adaptive"
+    content = {k: c["attachments"][0]["content"] for k, c in cards.items()}
+    assert content[11]["$schema"].endswith("/adaptive-card.json") and content[11]["type"] == "AdaptiveCard"
+    assert content[11]["body"][0] == {"type": "TextBlock", "text": "CRITICAL THERMAL ALERT", "weight": "Bolder",
+                                      "size": "Large", "color": "Attention"}
+    assert content[11]["body"][2]["wrap"] is True and content[11]["actions"][0]["type"] == "Action.OpenUrl"
+    facts = {f["title"]: f["value"] for f in content[11]["body"][1]["facts"]}
     assert list(facts)[0] == "Store" and len(facts) == 11
     assert facts["Overage"] == "+20.00°C above safety limit"
     assert facts["Assigned To"] == "Ops Desk (@ops)"
-    null_facts = {f["title"]: f["value"] for f in cards[5]["body"][1]["facts"]}
+    null_facts = {f["title"]: f["value"] for f in content[5]["body"][1]["facts"]}
     assert null_facts["Overage"].startswith("+N/A")
     mails = {r.telemetry_key: r for r in A.email_rows(routed).collect()}
     assert mails[6].subject == "[CRITICAL] Thermal Alert — Beta — D2"
@@ -147,9 +154,9 @@ def test_batch_outbox_append(spark, micro, micro_routing, tmp_dir):
                             routing, default)
     rows = A.notification_outbox(routed.withColumn("event_day", F.to_date("event_timestamp")),
                                  "2025-04-01 00:00:00", keep=("event_day",))
-    A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
-    A.append_outbox(rows, f"{tmp_dir}/outbox", 1)
-    A.append_outbox(rows, f"{tmp_dir}/outbox", 2)
+    A.append_outbox(rows, f"{tmp_dir}/outbox", "nightly", 1)
+    A.append_outbox(rows, f"{tmp_dir}/outbox", "nightly", 1)
+    A.append_outbox(rows, f"{tmp_dir}/outbox", "nightly", 2)
     assert spark.read.parquet(f"{tmp_dir}/outbox").count() == 3
 
 
@@ -158,7 +165,7 @@ def test_zero_temperature_is_a_number(spark, micro, micro_routing):
     zero = micro.fact.filter("telemetry_key = 11").withColumn("temperature_celsius", F.lit(0).cast("decimal(5,2)"))
     routed = A.route_alerts(A.critical_alerts(zero, micro.device, micro.store, micro.alert, k=None), routing, default)
     card = json.loads(A.alert_cards(routed).collect()[0].card_json)
-    facts = {f["title"]: f["value"] for f in card["body"][1]["facts"]}
+    facts = {f["title"]: f["value"] for f in card["attachments"][0]["content"]["body"][1]["facts"]}
     assert facts["Temperature"].startswith("0.00°C") and facts["Overage"].startswith("+-230.00")
 
 

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from fleetstar.oracle import ORACLE
+from fleetstar.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tests.parity import compare, duck
 
-NAMES = sorted(entry.oracle_sql())
+NAMES = sorted(ORACLE)  # the library's own; the training-data queries have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +25,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

@@ -42,9 +42,9 @@ def test_sequence_matches_plain_window(spark):
                             w.rowsBetween(Window.unboundedPreceding, -1)).alias("p"))
     for bucket in (60, 3600, 86400 * 40):
         nxt = next_in_sequence(fact, "device_key", "event_timestamp", "telemetry_key", ["temperature_celsius"],
-                               bucket_seconds=bucket).select("telemetry_key", F.col("next_temperature_celsius").alias("n"))
+                               bucket_seconds=bucket, hot_rows=0).select("telemetry_key", F.col("next_temperature_celsius").alias("n"))
         prv = previous_non_null(fact, "device_key", "event_timestamp", "telemetry_key", "temperature_celsius", "p",
-                                bucket_seconds=bucket).select("telemetry_key", "p")
+                                bucket_seconds=bucket, hot_rows=0).select("telemetry_key", "p")
         got = nxt.join(prv, "telemetry_key").select("telemetry_key", "n", "p")
         assert sorted(got.collect()) == sorted(plain.collect()), bucket
 
@@ -55,7 +55,7 @@ def test_hot_device_spreads_over_buckets(spark):
     fact = fact.dropDuplicates(["telemetry_key"]).select("telemetry_key", "device_key", "event_timestamp",
                                                          "temperature_celsius")
     out = next_in_sequence(fact, "device_key", "event_timestamp", "telemetry_key", ["temperature_celsius"],
-                           bucket_seconds=86400 * 30)
+                           bucket_seconds=86400 * 30, hot_rows=0)
     w = Window.partitionBy("device_key").orderBy("event_timestamp", "telemetry_key")
     plain = fact.select("telemetry_key", F.lead("temperature_celsius").over(w).alias("n"))
     assert sorted(out.select("telemetry_key", F.col("next_temperature_celsius").alias("n")).collect()) == sorted(
@@ -97,7 +97,7 @@ def test_auto_bucket_width(spark):
     w = Window.partitionBy("device_key").orderBy("event_timestamp", "telemetry_key")
     plain = hot.select("telemetry_key", F.lead("temperature_celsius").over(w).alias("n"))
     out = next_in_sequence(hot, "device_key", "event_timestamp", "telemetry_key", ["temperature_celsius"],
-                           bucket_seconds=narrow)
+                           bucket_seconds=narrow, hot_rows=100)
     assert sorted(out.select("telemetry_key", F.col("next_temperature_celsius").alias("n")).collect()) == sorted(
         plain.collect())
 
@@ -112,3 +112,42 @@ def test_partitioned_rank_distributed_equals_window(spark):
     expect = sorted(plain.select("k", "r").collect())
     assert sorted(local.select("k", "r").collect()) == expect
     assert sorted(dist.select("k", "r").collect()) == expect
+
+
+def test_sequences_agree_whoever_is_hot(spark):
+    from fleetstar.plans.sequence import previous_non_null, split_hot
+
+    fact = orderline_star(spark, SF_SMALL).fact.dropDuplicates(["telemetry_key"])
+    busiest = fact.groupBy("device_key").count().agg(F.max("count")).first()[0]
+    assert split_hot(fact, "device_key", busiest)[1] is None
+    w = Window.partitionBy("device_key").orderBy("event_timestamp", "telemetry_key")
+    t = F.col("temperature_celsius")
+    want = sorted(fact.select("telemetry_key", F.lead(t).over(w).alias("n"), F.last(t, ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, -1)).alias("p")).collect(), key=lambda r: r.telemetry_key)
+    for hot_rows in (busiest, busiest - 1, 0):  # none, some, all
+        got = next_in_sequence(fact, "device_key", "event_timestamp", "telemetry_key", ["temperature_celsius"], hot_rows=hot_rows)
+        got = previous_non_null(got, "device_key", "event_timestamp", "telemetry_key", "temperature_celsius", "p", hot_rows=hot_rows)
+        rows = sorted(got.select("telemetry_key", F.col("next_temperature_celsius").alias("n"), "p").collect(), key=lambda r: r.telemetry_key)
+        assert rows == want
+
+
+def test_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from fleetstar.operators.anomaly import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 40, 501).astype(float), rng.normal(size=501)
+    df = spark.createDataFrame([(float(x), float(y) if i % 5 else None) for i, (x, y) in enumerate(zip(a, b))], "a double, b double")
+    got = exact_quantiles(df.repartition(7), ["a", "b"], (0.0, 0.25, 0.5, 0.9, 1.0))
+    kept = [y for i, y in enumerate(b) if i % 5]
+    for found, values in zip(got, (a, kept)):
+        assert np.allclose(found, np.quantile(values, [0.0, 0.25, 0.5, 0.9, 1.0]))
+    assert exact_quantiles(df.where("a < 0"), ["a"]) == [[None, None]]
+
+
+def test_checkpoint_folder_must_be_named_off_one_machine():
+    from fleetstar.session import is_local_master
+
+    assert is_local_master("local") and is_local_master("local[*]") and is_local_master("local[4]")
+    assert not is_local_master("local-cluster[2,1,1024]") and not is_local_master("spark://host:7077") and not is_local_master("yarn")

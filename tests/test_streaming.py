@@ -66,7 +66,7 @@ def test_outbox_exactly_once(spark, tmp_dir):
 
 def test_batch_rerun_is_idempotent(spark, tmp_dir):
     outbox = f"{tmp_dir}/outbox"
-    writer = OutboxWriter(outbox)
+    writer = OutboxWriter(outbox, "nightly")
     from fleetstar.operators.alerts import notification_outbox, route_alerts, critical_alerts
     from fleetstar.sources.profiles import event_star, routing_table
 
@@ -101,3 +101,87 @@ def test_unknown_devices_go_to_rejects(spark, tmp_dir):
     assert spark.read.parquet(rejects).count() == 3
     strays = {r.event_id for r in stray.collect()}
     assert not strays & {r.telemetry_key for r in spark.read.parquet(outbox).collect()}
+
+
+def _rows(spark, keys, day="2024-01-01", temp="260.00"):
+    rows = spark.createDataFrame([(day, k, "s", "d", temp, "EMEA", "m", "PENDING") for k in keys],
+                                 "event_day string, telemetry_key bigint, store string, device string, temperature string, "
+                                 "region string, manager string, status string")
+    return rows.select(F.to_date("event_day").alias("event_day"), "telemetry_key", "store", "device",
+                       F.col("temperature").cast("decimal(10,2)").alias("temperature"), "region", "manager",
+                       F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("notified_at"), "status")
+
+
+def _keys(spark, path):
+    return sorted(r.telemetry_key for r in _outbox(spark, path).collect())
+
+
+def test_a_new_run_overwrites_no_other(spark, tmp_dir):
+    path = f"{tmp_dir}/outbox"
+    OutboxWriter(path, "one")(_rows(spark, [1, 2]), 0)
+    OutboxWriter(path, "two")(_rows(spark, [3]), 0)   # a new checkpoint starts at batch 0 again
+    assert _keys(spark, path) == [1, 2, 3]
+
+
+def test_a_key_is_notified_once_whatever_its_day(spark, tmp_dir):
+    path = f"{tmp_dir}/outbox"
+    OutboxWriter(path, "one")(_rows(spark, [1, 2]), 0)
+    OutboxWriter(path, "one")(_rows(spark, [1, 5], day="2024-03-09"), 1)
+    assert _keys(spark, path) == [1, 2, 5]
+
+
+def test_a_retry_picks_the_same_rows(spark, tmp_dir):
+    path = f"{tmp_dir}/outbox"
+    batch = _rows(spark, [1, 2], day="2024-01-02").unionByName(_rows(spark, [1], day="2024-01-01"))
+    OutboxWriter(path, "one")(batch.where("telemetry_key = 2"), 0)      # a first attempt that wrote a part
+    OutboxWriter(path, "one")(batch.repartition(3), 0)
+    OutboxWriter(path, "one")(batch.coalesce(1), 0)
+    days = {r.telemetry_key: str(r.event_day) for r in _outbox(spark, path).collect()}
+    assert days == {1: "2024-01-01", 2: "2024-01-02"} and len(_keys(spark, path)) == 2
+
+
+def test_other_read_errors_are_not_taken_for_an_empty_outbox(spark, tmp_dir):
+    import pytest
+
+    os.makedirs(f"{tmp_dir}/outbox/run=a/batch=0")
+    with open(f"{tmp_dir}/outbox/run=a/batch=0/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        OutboxWriter(f"{tmp_dir}/outbox", "one")(_rows(spark, [1]), 0)
+
+
+def test_compaction_keeps_one_row_a_key_and_retention_applies(spark, tmp_dir):
+    from fleetstar.streaming import compact_outbox
+
+    path, target = f"{tmp_dir}/outbox", f"{tmp_dir}/compacted"
+    for i in range(4):
+        OutboxWriter(path, "one")(_rows(spark, [i, i + 10]), i)
+    assert compact_outbox(spark, path, target) == 8
+    files = [f for _, _, names in os.walk(target) for f in names if f.endswith(".parquet")]
+    assert len(files) == 1
+    OutboxWriter(target, "one")(_rows(spark, [3, 99]), 9)
+    assert _keys(spark, target) == sorted([*range(4), *range(10, 14), 99])
+    assert compact_outbox(spark, path, f"{tmp_dir}/old", months=1, as_of="2024-06-01 00:00:00") == 0
+
+
+def test_devices_added_later_are_known_to_a_running_stream(spark, tmp_dir):
+    landing, dims = f"{tmp_dir}/landing", f"{tmp_dir}/dims"
+    os.makedirs(landing)
+    os.makedirs(dims)
+    for name in os.listdir(SF_SMALL):
+        if name != "customer.parquet":
+            os.symlink(f"{SF_SMALL}/{name}", f"{dims}/{name}")
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    customers = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    hot = ev.filter(F.col("value") > 150)
+    stray = hot.limit(1).withColumn("user_id", F.lit(10**9).cast("long"))
+    customers.write.parquet(f"{dims}/customer.parquet")
+    outbox, ckpt = f"{tmp_dir}/outbox", f"{tmp_dir}/ckpt"
+    _drop_file(spark, stray, landing, "events0")
+    run_alert_outbox(spark, landing, dims, outbox, ckpt, glob="events*.parquet")
+    assert spark.read.parquet(outbox + "-rejects").count() == 1
+    customers.limit(1).withColumn("c_custkey", F.lit(10**9).cast("long")).write.mode("append").parquet(f"{dims}/customer.parquet")
+    again = stray.withColumn("event_id", F.col("event_id") + 10**9)
+    _drop_file(spark, again, landing, "events1")
+    run_alert_outbox(spark, landing, dims, outbox, ckpt, glob="events*.parquet")
+    assert _keys(spark, outbox) == [again.first().event_id]
