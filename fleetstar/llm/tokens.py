@@ -18,10 +18,12 @@ import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
+from operator import attrgetter
 
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
-MAX_PIECES = 600_000   # remembered pieces per worker
+MAX_PIECES = 900_000   # remembered pieces per worker
 MAX_PIECE_CHARS = 48   # longer pieces are encoded each time
+TOKEN_ID = attrgetter("id")
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
@@ -45,6 +47,7 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.table = byte_characters()
+        self.space = self.table[32]
         self.by_word = self.tokenizer.normalizer is not None  # lower case, spaces dropped
         self.known: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
@@ -54,14 +57,18 @@ class PieceEncoder:
 
     def _word(self, core: str) -> bytes:
         text = core.lower() if self.by_word else " " + core
-        return array("I", [t.id for t in self.merge(text.encode().decode("latin-1").translate(self.table))]).tobytes()
+        if not core.isascii():
+            text = text.encode().decode("latin-1").translate(self.table)
+        elif not self.by_word:
+            text = self.space + core  # ASCII letters stand for themselves
+        return array("I", map(TOKEN_ID, self.merge(text))).tobytes()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces not yet known; the short ones are remembered."""
         known, rest, out = self.known, [], {}
         for p in pieces:
             core = p.rstrip(".,")
-            if core.isalpha() and max(core) < "İ":
+            if core.isalpha() and (core.isascii() or max(core) < "İ"):
                 ids = known.get(core)
                 if ids is None:
                     ids = self._word(core)
