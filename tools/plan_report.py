@@ -28,7 +28,7 @@ def summarise(plan: str) -> dict:
 
 def main(argv) -> None:
     from fleetstar.session import build_session
-    import __spark_entry__ as entry
+    from fleetstar.registry import QUERIES
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
@@ -42,7 +42,7 @@ def main(argv) -> None:
     print("plan text repeats it); a subquery listed once in the subqueries column executes once.\n")
     print("| query | hash | range | single | BHJ | SMJ | windows | subqueries | scans (columns; pushed filters) |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         s = summarise(fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
