@@ -14,9 +14,9 @@ be links only a maximum spanning forest is confirmed on the full sets: if all
 of its links hold, so does the group. Where one fails, a second round confirms
 every remaining candidate pair between different groups. So the number of
 confirmed pairs grows with the documents, not with the square of a group.
-Nodes that one group fills by half or more do not thin out by branching;
-their members outside that group are compared, block by block, with all of
-the node, and the most alike of each block are confirmed too.
+Nodes that are large at level ``FIRST`` lose links by branching on; in all of
+them the members outside the largest group are compared, block by block, with
+all of the node, and the most alike of each block are confirmed too.
 
 Groups are the connected components of the confirmed links (alternating large
 and small stars). Hot sets, nodes and hubs are pre-aggregated or joined
@@ -45,7 +45,7 @@ TREES = 16
 LEVELS = 8          # levels of a tree with tokens of their own
 FIRST = 3           # levels of the shortest path
 NODE = 256          # members of a node that is compared exhaustively
-BLOCK = 2000        # members of a filled node that a straggler meets at once
+BLOCK = 2000        # members of a large node that a straggler meets at once
 NEAREST = 6         # of them that are confirmed
 SURELY_NOT = 0.16   # signatures that agree on this much less than the threshold can't be links (5 sigma)
 _RNG = np.random.default_rng(977)
@@ -206,12 +206,14 @@ def candidates(nodes: DataFrame, threshold: float, groups: DataFrame | None = No
 
 
 def stragglers(large: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) to confirm between a filled node's group and its members outside of it."""
+    """Pairs (a, b) to confirm between different groups of a large node: its members outside
+    of the largest group meet all of the node."""
     rooted = materialise(large.join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "large-nodes")
     sizes = materialise(rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held")), "node-groups")
-    filled = materialise(sizes.groupBy(F.col("key").alias("_key")).agg(F.max(F.struct("held", "root")).alias("m"))
-                         .select("_key", F.col("m.held").alias("held"), F.col("m.root").alias("main")), "filled-nodes")
-    dense = rooted.join(filled, rooted["key"] == filled["_key"]).where("2 * held >= n")
+    mixed = materialise(sizes.groupBy(F.col("key").alias("_key"))
+                        .agg(F.max(F.struct("held", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+                        .select("_key", F.col("m.root").alias("main")), "mixed-nodes")
+    dense = rooted.join(mixed, rooted["key"] == mixed["_key"])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     columns = ["key", "block", "outside", "set_id", "root", "signature"]
     inside = dense.withColumns({"block": F.pmod(F.xxhash64("set_id"), blocks).cast("int"), "outside": F.lit(False)})

@@ -71,6 +71,50 @@ def test_groups_match_all_pairs(spark, monkeypatch, words, node):
     assert not wrong
 
 
+def edited(rng, words, n):
+    """``words`` with ``n`` of them replaced by new ones, no two side by side."""
+    words, left = words[:], list(range(0, len(words), 2))
+    for at in rng.sample(left, n):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def families(n, size, change, linked):
+    """``n`` families of near copies that share a boilerplate, and texts linked to one member of a family."""
+    rng = random.Random(8)
+    base, out = [f"base{i}" for i in range(200)], []
+    for _ in range(n):
+        centre = edited(rng, base, 6)
+        out.append([edited(rng, centre, change) for _ in range(size)])
+    texts = [" ".join(w) for f in out for w in f] + [" ".join(edited(rng, rng.choice(rng.choice(out)), 10)) for _ in range(linked)]
+    return list(enumerate(texts))
+
+
+def assert_groups(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], DOC)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, 2).collect()}
+    want = {d: c for d, _, c in brute(rows, 2, 0.8)}
+    assert not {d for d in want if got[d] != want[d]}
+    return len(set(want.values()))
+
+
+def only_in_one_large_node(monkeypatch, first):
+    """From document ``first`` on no text is in a leaf; all texts are in one node that no token divides."""
+    real = near_dedup.leaves
+
+    def leaves(members):
+        late = members.where(members["doc_id"] >= first).select("set_id")
+        node = members.selectExpr("1L AS key", "0 AS tree", "set_id", "signature", f"{members.count()}L AS n")
+        return real(members)[0].join(late, "set_id", "left_anti"), node
+
+    monkeypatch.setattr(near_dedup, "leaves", leaves)
+
+
+def test_texts_linked_to_one_of_several_families(spark, monkeypatch):
+    only_in_one_large_node(monkeypatch, 80)
+    assert assert_groups(spark, families(n=4, size=20, change=3, linked=20)) == 4
+
+
 def test_edge_rows(edge_docs, edge_rows, no_docs):
     got = sorted((tuple(r[:4]) for r in near_dedup.near_duplicates(edge_docs, 2).collect()), key=repr)
     want = brute([(r[0], r[1]) for r in edge_rows], 2, 0.8)
