@@ -16,7 +16,8 @@ every remaining candidate pair between different groups. So the number of
 confirmed pairs grows with the documents, not with the square of a group.
 Nodes that are large at level ``FIRST`` lose links by branching on; in all of
 them the members outside the largest group are compared, block by block, with
-all of the node, and the most alike of each block are confirmed too.
+all of the node. Full sets go with the blocks, so candidates are confirmed
+there, the most alike first, until two groups are one or none is left.
 
 Groups are the connected components of the confirmed links (alternating large
 and small stars). Hot sets, nodes and hubs are pre-aggregated or joined
@@ -45,8 +46,9 @@ TREES = 16
 LEVELS = 8          # levels of a tree with tokens of their own
 FIRST = 3           # levels of the shortest path
 NODE = 256          # members of a node that is compared exhaustively
-BLOCK = 2000        # members of a large node that a straggler meets at once
-NEAREST = 6         # of them that are confirmed
+BLOCK = 2000        # members of a large node that others meet at once
+BLOCK_SHINGLES = 4_000_000  # shingles of them, about
+OUTSIDE = 20_000    # members outside of the largest group that meet a block in one task, about
 SURELY_NOT = 0.16   # signatures that agree on this much less than the threshold can't be links (5 sigma)
 _RNG = np.random.default_rng(977)
 _MULTIPLY = _RNG.integers(0, 2**63, TREES * LEVELS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -205,53 +207,132 @@ def candidates(nodes: DataFrame, threshold: float, groups: DataFrame | None = No
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def stragglers(large: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) to confirm between different groups of a large node: its members outside
-    of the largest group meet all of the node."""
-    rooted = materialise(large.join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")), "large-nodes")
-    sizes = materialise(rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held")), "node-groups")
-    mixed = materialise(sizes.groupBy(F.col("key").alias("_key"))
-                        .agg(F.max(F.struct("held", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-                        .select("_key", F.col("m.root").alias("main")), "mixed-nodes")
-    dense = rooted.join(mixed, rooted["key"] == mixed["_key"])
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    columns = ["key", "block", "outside", "set_id", "root", "signature"]
-    inside = dense.withColumns({"block": F.pmod(F.xxhash64("set_id"), blocks).cast("int"), "outside": F.lit(False)})
-    outside = dense.where("root <> main").withColumns({
-        "block": F.explode(F.sequence(F.lit(0), blocks - 1)), "outside": F.lit(True)})
-    rows = inside.select(*columns).unionByName(outside.select(*columns))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    least = (threshold - SURELY_NOT) * TREES * LEVELS
-
-    def compare(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        out, ids, roots = (np.concatenate([h[i] for h in held]) for i in (0, 1, 2))
-        signatures = np.concatenate([h[3] for h in held])
-        inner = np.flatnonzero(~out)
+class Block:
+    """Members of one block of a node, with full sets, and the groups that links join."""
+
+    def __init__(self, rows: pa.Table, threshold: float):
+        self.percent, self.least = round(threshold * 100), (threshold - SURELY_NOT) * TREES * LEVELS
+        self.ids, self.label = rows["set_id"].to_numpy(), rows["root"].to_numpy().copy()
+        self.main = rows["main"].to_numpy()
+        self.paths = np.array(rows["paths"].to_pylist(), np.int64)
+        self.signatures = np.ascontiguousarray(_signatures(rows).T)
+        sets = rows["shingles"].to_pylist()
+        self.sizes = np.array([len(s) // 8 for s in sets])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.known, self.codes = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+        self.joined: dict[int, int] = {}
+
+    def group(self, root: int) -> int:
+        while root in self.joined:
+            root = self.joined[root]
+        return root
+
+    def shared(self, members: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """How many shingles of each of ``members`` are marked in ``held``."""
+        sizes = self.sizes[members]
+        first = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[members] - first, sizes) + np.arange(sizes.sum())
+        return np.add.reduceat(held[self.codes[at]].astype(np.int64), first)
+
+    def meet(self, rows: pa.Table) -> list[tuple[int, int]]:
+        """Links of ``rows`` to the block's members of other groups, at least one for each two groups
+        that are linked: the most alike are confirmed first, until both are of one group or
+        no candidate is left."""
+        ids, roots, trees = (rows[c].to_numpy() for c in ("set_id", "root", "tree"))
+        paths, signatures, sets = np.array(rows["paths"].to_pylist(), np.int64), _signatures(rows), rows["shingles"].to_pylist()
         found = []
-        for i in np.flatnonzero(out):
-            alike = (signatures[inner] == signatures[i]).sum(1)
-            alike[roots[inner] == roots[i]] = -1
-            best = np.argsort(-alike, kind="stable")[:NEAREST]
-            found += [sorted((int(ids[i]), int(ids[inner[j]]))) for j in best if alike[j] >= least]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], schema=schema)
+        for lo in range(0, len(ids), 64):
+            some = signatures[lo:lo + 64]
+            alike = np.zeros((len(some), len(self.ids)), np.uint8)  # TREES * LEVELS at most
+            for k, row in enumerate(self.signatures):
+                alike += row[None, :] == some[:, k, None]
+            for i, near in enumerate(alike, lo):
+                group = self.group(int(roots[i]))
+                # Two members outside of the largest group meet once, in the first tree they share a node of.
+                left = np.flatnonzero((near >= self.least) & (self.label != group) & (self.main | (self.ids > ids[i])))
+                left = left[~(self.paths[left, :trees[i]] == paths[i, :trees[i]]).any(1)]
+                if not len(left):
+                    continue
+                left = left[np.argsort(-near[left].astype(np.int64), kind="stable")]
+                own = np.frombuffer(sets[i], np.uint64)
+                at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+                held = np.zeros(len(self.known), bool)
+                held[at[self.known[at] == own]] = True
+                take = 8
+                while len(left):
+                    now, left = left[:take], left[take:]
+                    common = self.shared(now, held)
+                    for j in now[100 * common >= self.percent * (self.sizes[now] + len(own) - common)]:
+                        other = int(self.label[j])
+                        if other != group:
+                            found.append((min(int(ids[i]), int(self.ids[j])), max(int(ids[i]), int(self.ids[j]))))
+                            self.joined[group] = other
+                            self.label[self.label == group] = other
+                            group = other
+                    left, take = left[self.label[left] != group], min(4 * take, 512)
+        return found
+
+
+def _signatures(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(len(rows), -1)
+
+
+def full_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(set_id, shingles): the hashes of each set as bytes."""
+    schema = pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = [], None
         for batch in batches:
-            key, block, out, ids, roots = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            signatures = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(len(ids), -1)
-            cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(block) != 0)) + 1
-            for a, b in zip(np.append(0, cuts), np.append(cuts, len(ids))):
-                if (key[a], block[a]) != current and held:
-                    yield from compare(held)
-                    held = []
-                current = (key[a], block[a])
-                held.append((out[a:b], ids[a:b], roots[a:b], signatures[a:b]))
-        if held:
-            yield from compare(held)
+            ids, found = batch.column(0), batch.column(1).to_pylist()
+            for a, b in text_blocks(found):
+                sets = [s.tobytes() for s in shingle_sets(found[a:b], words)]
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(sets, pa.binary())], schema=schema)
+
+    return texts.select("set_id", "text").mapInArrow(run, "set_id long, shingles binary")
+
+
+def stragglers(large: DataFrame, members: DataFrame, groups: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links (a, b) between different groups of a large node: its members outside of the
+    largest group meet all of the node, and every candidate is confirmed on the full
+    sets until its two groups are one."""
+    rooted = (large.select("set_id", "tree", "key", "signature").join(members.select("set_id", "paths", "n_shingles"), "set_id")
+              .join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id")))
+    rooted = materialise(rooted, "large-nodes")
+    sizes = materialise(rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("held"), F.sum("n_shingles").alias("size")), "node-groups")
+    mixed = sizes.groupBy(F.col("key").alias("_key")).agg(
+        F.max(F.struct("held", "root")).alias("m"), F.sum("held").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("roots"))
+    mixed = materialise(mixed.where("roots > 1").select(
+        "_key", F.col("m.root").alias("_main"), F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+        F.ceil((F.col("n") - F.col("m.held")) / OUTSIDE).cast("int").alias("parts")), "mixed-nodes")
+    rows = materialise(rooted.join(mixed, rooted["key"] == mixed["_key"]).withColumn("main", F.col("root") == F.col("_main")), "mixed-members")
+    wanted = rows.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"))
+    rows = rows.join(materialise(full_sets(_texts(docs, members, wanted), words), "sets"), "set_id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("set_id", F.lit(n)), F.col(n)).cast("int")
+    columns = ["key", "block", "part", "outside", "set_id", "root", "main", "tree", "signature", "paths", "shingles"]
+    inside = rows.withColumn("block", dealt("blocks")).withColumn("part", every("parts")).withColumn("outside", F.lit(False))
+    outside = rows.where("not main").withColumn("part", dealt("parts")).withColumn("block", every("blocks")).withColumn("outside", F.lit(True))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    ordered = rows.repartition("key", "block").sortWithinPartitions("key", "block", "outside")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, block = None, [], None
+        for batch in batches:
+            key, at, part, out = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(at) != 0) | (np.diff(part) != 0) | (out[1:] != out[:-1])) + 1
+            for a, b in zip(np.append(0, cuts), np.append(cuts, len(key))):
+                if (key[a], at[a], part[a]) != current:
+                    current, held, block = (key[a], at[a], part[a]), [], None
+                piece = pa.Table.from_batches([batch.slice(a, b - a)])
+                if not out[a]:
+                    held.append(piece)
+                elif held:
+                    block = block or Block(pa.concat_tables(held), threshold)
+                    found = block.meet(piece)
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+
+    ordered = (inside.select(*columns).unionByName(outside.select(*columns)).repartition("key", "block", "part")
+               .sortWithinPartitions("key", "block", "part", "outside"))
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -314,15 +395,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     groups = materialise(components(checked.where("linked").select("a", "b")), "groups")
     rest = []
     if not checked.where("not linked").isEmpty():
-        rest.append(candidates(nodes, threshold, groups))
+        known = checked.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+        pairs = materialise(candidates(nodes, threshold, groups).join(
+            known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")
+        rest.append(confirm(pairs, _texts(docs, members, pairs), words, threshold).where("linked").select("a", "b"))
     if not large.isEmpty():
-        rest.append(stragglers(large, groups, threshold))
+        rest.append(stragglers(large, members, groups, docs, words, threshold))
     if rest:
-        known = checked.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-        pairs = (rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1]).distinct()).join(
-            known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti")
-        pairs = materialise(pairs, "more-pairs")
-        more = materialise(confirm(pairs, _texts(docs, members, pairs), words, threshold).where("linked").select("a", "b"), "more-links")
+        more = materialise(rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1]), "more-links")
         if not more.isEmpty():
             stars = groups.where("set_id <> root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
             groups = components(stars.unionByName(more))

@@ -115,6 +115,13 @@ def test_texts_linked_to_one_of_several_families(spark, monkeypatch):
     assert assert_groups(spark, families(n=4, size=20, change=3, linked=20)) == 4
 
 
+def test_texts_linked_to_few_of_a_large_group(spark, monkeypatch):
+    only_in_one_large_node(monkeypatch, 900)
+    monkeypatch.setattr(near_dedup, "BLOCK", 300)
+    rows = families(n=1, size=900, change=2, linked=60)
+    assert assert_groups(spark, rows) == 1
+
+
 def test_edge_rows(edge_docs, edge_rows, no_docs):
     got = sorted((tuple(r[:4]) for r in near_dedup.near_duplicates(edge_docs, 2).collect()), key=repr)
     want = brute([(r[0], r[1]) for r in edge_rows], 2, 0.8)
