@@ -7,9 +7,10 @@ penalties, then the logits are divided by a temperature fitted on a part of
 the sample that training left out.
 
 Document frequencies are counted over all training rows; the classifier is
-fitted on a sample of about ``SAMPLE_PER_LANGUAGE`` rows of each of the
-``MAX_LANGUAGES`` most frequent languages, chosen by a hash of the id. Every
-whole text is predicted, one batch at a time.
+fitted on a sample of each language's rows, chosen by a hash of the id: about
+``SAMPLE_PER_LANGUAGE``, or fewer (``SAMPLE_LEAST`` at least) where there are so
+many languages that the sample would pass ``SAMPLE_ROWS``. Every language is
+learned. Every whole text is predicted, one batch at a time.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if nothing could be learned; null languages are never
@@ -29,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
 from .tokens import text_blocks
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANGUAGE = 1000
-MAX_LANGUAGES = 64
+SAMPLE_ROWS = 64_000
+SAMPLE_LEAST = 20
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.5   # step, smoothing and penalties of the learner
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -79,7 +82,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray) -> Model:
-    """Learn from (buckets, counts, language) rows; every fifth one only sets the temperature."""
+    """Learn from (buckets, counts, language) rows; every fifth one only sets the temperature,
+    unless its language has no other."""
     languages = sorted({r[2] for r in rows})
     k = len(languages)
     number = {name: i for i, name in enumerate(languages)}
@@ -90,7 +94,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], idf: np.ndarray) -> Mode
         return np.where(np.abs(z[i]) <= L1, 0.0, -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
 
     held, train = rows[::5], [r for i, r in enumerate(rows) if i % 5]
-    train = [(np.append(b, BUCKETS), np.append(model.vector(b, c), 1.0), number[lang]) for b, c, lang in train or rows]
+    taught = {r[2] for r in train}
+    train += [r for r in held if r[2] not in taught]
+    train = [(np.append(b, BUCKETS), np.append(model.vector(b, c), 1.0), number[lang]) for b, c, lang in train]
     rng = np.random.default_rng(5)
     for _ in range(EPOCHS):
         for j in rng.permutation(len(train)):
@@ -119,10 +125,11 @@ def remainder(doc_id: Column, parts: int) -> Column:
 def train(labelled: DataFrame) -> Model | None:
     """Fit on rows (doc_id, text, lang): statistics over all of them, weights on the sample."""
     known = labelled.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count()
-             .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not sizes:
+    sizes = materialise(known.groupBy("lang").count(), "languages")
+    languages = sizes.count()
+    if not languages:
         return None
+    wanted = max(SAMPLE_LEAST, min(SAMPLE_PER_LANGUAGE, SAMPLE_ROWS // languages))
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("docs", pa.int64())])
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +152,8 @@ def train(labelled: DataFrame) -> Model | None:
     for bucket, n in found.items():
         seen[bucket] = n
     idf = np.log((1 + docs) / (1 + seen)) + 1
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, SAMPLE_PER_LANGUAGE / n))])
     chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003)) / 1_000_003
-    sample = known.where(chance < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
+    sample = known.join(sizes, "lang").where(chance < F.lit(float(wanted)) / F.col("count")).select("doc_id", "text", "lang")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -102,6 +102,16 @@ def test_language_edges(spark, edge_docs, no_docs):
     assert {r["lang_pred"] for r in language.predict(edge_docs, none).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    words = lambda i: [chr(0x4E00 + 40 * i + j) * 3 + chr(0x4E00 + 40 * i + j + 1) for j in range(30)]
+    rows = [(100 * i + r, " ".join(words(i)[r:r + 20]), f"l{i:02d}", "a", 1) for i in range(70) for r in range(6)]
+    docs = spark.createDataFrame(rows, DOC)
+    model = language.train(docs)
+    assert model.languages == [f"l{i:02d}" for i in range(70)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs, model).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+
+
 def test_letters_decide_what_is_a_language():
     empty = [len(b) for b, _ in language.ngram_counts(["", None, "123 !?\n", "é", "a1b", "\ud800"])]
     assert empty[:3] == [0, 0, 0] and empty[3] and empty[4]
