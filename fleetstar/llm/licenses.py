@@ -1,9 +1,10 @@
 """License scan: TF-IDF cosine of headers and licence files to templates, then directory inheritance.
 
 Every line of every text that holds a marker word is compared, as a sparse
-TF-IDF vector of its words and word pairs, to the templates; a licence file
-(by its name) is also compared as a whole. Document frequencies of the
-templates' terms are counted over all lines compared; a term that no template
+TF-IDF vector of its words and word pairs, to the templates, and so is every
+run of consecutive lines around it up to a blank line or ``longest_run`` words;
+a licence file (by its name) is also compared as a whole. Document frequencies of the
+templates' terms are counted over all lines with a marker; a term that no template
 has counts as rare. A file whose best cosine reaches the threshold has that
 licence; any other file takes that of the nearest directory above it, in the
 same repository, with a licence file.
@@ -99,6 +100,39 @@ def marked_lines(text: str | None) -> list[str]:
     return [line for line in low.split("\n") if MARKERS.search(line)] if MARKERS.search(low) else []
 
 
+def longest_run(threshold: float) -> int:
+    """Words of a run that can still reach the threshold: where no term repeats and W words hold all L of
+    a template, the squared cosine is L / W at most, as other words weigh as much as the template's or more."""
+    return math.ceil(max(len(TOKEN.findall(text)) for _, text in TEMPLATES) / max(threshold, 0.1) ** 2)
+
+
+def marked_runs(text: str | None, longest: int) -> list[str]:
+    """Runs of two or more consecutive lines without a blank one, with a marked line and at most ``longest`` words."""
+    low = (text or "").lower()
+    if not MARKERS.search(low):
+        return []
+    lines, sizes, runs = low.split("\n"), {}, set()
+
+    def size(i: int) -> int:
+        if i not in sizes:
+            sizes[i] = len(TOKEN.findall(lines[i])) if 0 <= i < len(lines) and lines[i].strip() else longest + 1
+        return sizes[i]
+
+    for i, line in enumerate(lines):
+        if MARKERS.search(line):
+            first, before = i, size(i)
+            while before <= longest:
+                last, words = i, before
+                while words <= longest:
+                    if first < last:
+                        runs.add((first, last))
+                    last += 1
+                    words += size(last)
+                first -= 1
+                before += size(first)
+    return ["\n".join(lines[a:b + 1]) for a, b in sorted(runs)]
+
+
 def frequencies(files: DataFrame) -> tuple[dict, int]:
     """Lines with each template term, and lines with a marker word, over all texts."""
     vocabulary = {t for _, text in TEMPLATES for t in terms(text)}
@@ -133,13 +167,13 @@ def own_licenses(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                         ("license", pa.string()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates(counts, lines)
+        templates, longest = Templates(counts, lines), longest_run(threshold)
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for a, b in text_blocks(columns[4]):
                 rows = []
                 for doc_id, repo, path, is_file, text in zip(*(c[a:b] for c in columns)):
-                    heads = marked_lines(text)
+                    heads = marked_lines(text) + marked_runs(text, longest)
                     score, name = max(map(templates.best, heads + ([text] if is_file and heads else [])), default=(0.0, None))
                     rows.append((doc_id, repo, path, is_file, name if score >= threshold else None, score))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)

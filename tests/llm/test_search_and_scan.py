@@ -83,6 +83,16 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(files.where("false")).count() == 0
 
 
+def test_headers_wrapped_over_lines(spark):
+    wrapped = "import os\n\n# This work is licensed under the\n# GNU General Public License,\n# version {}\n\nx = 1\n"
+    free = ("/* This program is free software: you can\n * redistribute it and/or modify it under the terms\n * of the GNU General "
+            "Public License as\n * published by the Free Software Foundation,\n * either version 3 of the License */\nint x;")
+    rows = [(1, "r", "a.py", wrapped.format(2)), (2, "r", "b.py", wrapped.format(3)), (3, "r", "c.c", free),
+            (4, "r", "d.py", "the licence plate\nof the car\nwas red")]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, repo string, path string, text string")).collect()
+    assert {r["doc_id"]: r["license"] for r in got} == {1: "GPL-2.0", 2: "GPL-3.0", 3: "GPL-3.0", 4: None}
+
+
 def test_each_template_names_its_licence():
     templates = licenses.Templates({}, 10)
     for name, text in licenses.TEMPLATES:
