@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, near_dedup, packing, quality, token_codes, topk, toxicity, warc
+from . import fill_in_middle, language, licenses, mixing, near_dedup, packing, quality, spelling, substrings, token_codes, topk, toxicity, warc
 from .common import materialise, read_table
 
 
@@ -84,6 +84,22 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.transform(read_table(spark, sf_dir, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+                      sha(fill_in_middle.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": near_duplicates,
     "op3_quality_divergence": quality_rules,
@@ -95,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity_scores,
     "op10_language_id": language_id,
     "op5_token_codes": token_output,
+    "op11_substring_dedup": substring_dedup,
+    "op12_spelling_variants": spelling_variants,
+    "op13_fill_in_middle": fill_in_the_middle,
 }
 MIX_SQL = r"""
 WITH d AS (
@@ -117,4 +136,35 @@ r AS (
 SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
        CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM r
 """
-ORACLE: dict[str, str] = {"op4_exact_topk": TOPK_SQL, "op6_source_mix": MIX_SQL}
+REPEATS_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos, len(words) AS n FROM d),
+starts AS (
+  SELECT doc_id, pos, word, list(word) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win, n FROM w),
+again AS (
+  SELECT doc_id, pos, word, n, pos + 19 <= n AND row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1 AS later FROM starts),
+covered AS (
+  SELECT doc_id, pos, word, max(later::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM again),
+kept AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone = 0) AS text FROM covered GROUP BY doc_id)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+k AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90
+              THEN 'plain' WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS pre, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS mid,
+         array_to_string(u[greatest(a, b) + 1:], '') AS suf FROM k)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM p
+"""
+ORACLE: dict[str, str] = {"op13_fill_in_middle": MIDDLE_SQL, "op11_substring_dedup": REPEATS_SQL, "op4_exact_topk": TOPK_SQL, "op6_source_mix": MIX_SQL}
