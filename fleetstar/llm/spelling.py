@@ -120,16 +120,15 @@ class Members:
         return near & (first == stretch)
 
 
-def _pairs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs of each block (of different sides where a block has two), some blocks at a time."""
+def _pairs(bounds: np.ndarray, side: np.ndarray, cross: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of each block, of different sides where two parts meet, some blocks at a time."""
     ones: list[np.ndarray] = []
     twos: list[np.ndarray] = []
     total = 0
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        if hi - lo < 2:
+        if hi - lo < 2 or cross[lo] and side[lo] == side[hi - 1]:
             continue
-        two_sided = side[lo] != side[hi - 1]
-        if two_sided:
+        if cross[lo]:
             cut = lo + int(np.searchsorted(side[lo:hi], side[hi - 1]))
             a, b = np.repeat(np.arange(lo, cut), hi - cut), np.tile(np.arange(cut, hi), cut - lo)
         else:
@@ -152,20 +151,20 @@ def neighbours(words: DataFrame) -> DataFrame:
     large = materialise(sizes.where(F.col("size") > BLOCK).withColumn("parts", F.ceil(F.col("size") / BLOCK).cast("int")).drop("size"), "large-blocks")
     small = materialise(sizes.where((F.col("size") > 1) & (F.col("size") <= BLOCK)).select("_key"), "small-blocks")
     rows = entered.join(small, entered["key"] == small["_key"], "left_semi").select(
-        "*", F.lit(0).alias("part"), F.lit(0).alias("side"))
+        "*", F.lit(0).alias("part"), F.lit(0).alias("side"), F.lit(False).alias("cross"))
     if not large.isEmpty():
         dealt = entered.join(large, entered["key"] == large["_key"]).withColumn("side", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int"))
         other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         met = dealt.withColumn("other", other).withColumn(
-            "part", F.least("side", "other") * F.col("parts") + F.greatest("side", "other"))
-        rows = rows.unionByName(met.select("key", "longer", "stretch", "word", "n", "part", "side"))
+            "part", F.least("side", "other") * F.col("parts") + F.greatest("side", "other")).withColumn("cross", F.col("side") != F.col("other"))
+        rows = rows.unionByName(met.select("key", "longer", "stretch", "word", "n", "part", "side", "cross"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
             members = Members(table["word"].to_pylist())
-            n, longer, stretch, side = (table[c].to_numpy() for c in ("n", "longer", "stretch", "side"))
+            n, longer, stretch, side, cross = (table[c].to_numpy() for c in ("n", "longer", "stretch", "side", "cross"))
             found = [np.zeros((0, 2), np.int64)]
-            for a, b in _pairs(bounds, side):
+            for a, b in _pairs(bounds, side, cross):
                 near = members.near(a, b, longer[a], stretch[a])
                 found += [np.stack([a[near], b[near]], 1), np.stack([b[near], a[near]], 1)]
             pairs = np.concatenate(found)
@@ -198,7 +197,7 @@ def neighbours(words: DataFrame) -> DataFrame:
             yield from answer(table, np.array([0, table.num_rows]))
 
     ordered = rows.repartition("key", "part").sortWithinPartitions("key", "part", "side")
-    each = ordered.select("key", "part", "side", "longer", "stretch", "word", "n").mapInArrow(
+    each = ordered.select("key", "part", "side", "cross", "longer", "stretch", "word", "n").mapInArrow(
         run, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("minus"), F.col("best").alias("best")))
     return (each.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("b"))
