@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from fleetstar import schemas as S
 from fleetstar.functions.exprs import calendar_columns
 from fleetstar.operators.common import fact_date
+from fleetstar.operators.key_index import KeyIndex
 from fleetstar.plans.ordinal import global_rank
 from fleetstar.session import checkpoint_base
+from fleetstar.sources.files import overwrite_partitions
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -80,12 +82,13 @@ def assign_fact_keys(new: DataFrame, offset: int, out: str = "telemetry_key") ->
 REQUIRED_FACT = [f.name for f in S.FACT.fields if not f.nullable and f.name != "ingestion_timestamp"]
 
 
-def validate_facts(fact: DataFrame, device: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+def validate_facts(fact: DataFrame, device: DataFrame | None = None, index: KeyIndex | None = None, load: str | None = None) -> DataFrame:
     """Every row with its ``reject_reason`` (NULL: valid).
 
     Checked: all required columns exist (else ValueError) and are not NULL,
     the quality-flag domain, the device when ``device`` is given, one row per
-    key (the least by its other columns stays), and keys in ``known``.
+    key (the least by its other columns stays), and keys that another load
+    than ``load`` has brought into ``index``.
     """
     from fleetstar import constants as C
 
@@ -107,35 +110,30 @@ def validate_facts(fact: DataFrame, device: DataFrame | None = None, known: Data
     rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("telemetry_key", spread).orderBy(*order)))
     twice = F.col("telemetry_key").isNotNull() & (F.col("_n") > 1)
     rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", F.when(twice, "duplicate key"))).drop("_n")
-    if known is not None:
-        loaded = known.select(F.col("telemetry_key").alias("_tk")).distinct()
-        rows = rows.join(loaded, rows["telemetry_key"] == loaded["_tk"], "left").withColumn(
-            "reject_reason", F.coalesce("reject_reason", F.when(F.col("_tk").isNotNull(), "key already loaded"))).drop("_tk")
+    if index is not None:
+        rows = index.mark_known(rows, load).withColumn(
+            "reject_reason", F.coalesce("reject_reason", F.when(F.col("known"), "key already loaded"))).drop("known")
     return rows
 
 
 def append_facts(fact_new: DataFrame, path: str, rejects_path: str, load_id: str, device: DataFrame | None = None) -> None:
     """Checked append of one load: valid rows by (load, month), the rest with their reason to ``rejects_path``.
 
-    The rows are judged once, into the shared checkpoint folder; both writes
+    The rows are judged once, into the shared checkpoint folder; all writes
     replace only the partitions of this ``load_id``, so a load that failed
-    between them, or is run again, adds nothing twice.
+    between them, or is run again, adds nothing twice. Keys are looked up in
+    the bucketed index beside the fact, so a load's cost follows the load. Its
+    own keys are entered first: a load that died is to be run again.
     """
-    from pyspark.errors import AnalysisException
-
-    try:
-        known = fact_new.sparkSession.read.parquet(path).where(F.col("load") != load_id)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = None
-    checkpoint_base(fact_new.sparkSession)
-    judged = validate_facts(fact_new, device, known).withColumn("load", F.lit(load_id)).checkpoint(eager=True)
+    spark = fact_new.sparkSession
+    checkpoint_base(spark)
+    index = KeyIndex(spark, f"{path.rstrip('/')}-keys")
+    judged = validate_facts(fact_new, device, index, load_id).withColumn("load", F.lit(load_id)).checkpoint(eager=True)
+    index.add(judged.where("reject_reason is null"), load_id)
     valid = (judged.where("reject_reason is null").drop("reject_reason").withColumn("ingestion_timestamp", F.localtimestamp())
              .withColumn("reading_month", F.date_format(fact_date(fact_new), "yyyy-MM")))
-    for rows, target, parts in ((valid.hint("rebalance", "reading_month"), path, ["load", "reading_month"]),
-                                (judged.where("reject_reason is not null"), rejects_path, ["load"])):
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(target))
+    overwrite_partitions(valid.hint("rebalance", "reading_month"), path, "load", "reading_month")
+    overwrite_partitions(judged.where("reject_reason is not null"), rejects_path, "load")
 
 
 def write_star(star, path: str, max_records_per_file: int = 5_000_000) -> None:
@@ -149,25 +147,16 @@ def write_star(star, path: str, max_records_per_file: int = 5_000_000) -> None:
     (fact.hint("rebalance", "reading_month").sortWithinPartitions("reading_month", "device_key", "event_timestamp")
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("reading_month").parquet(f"{path}/fact"))
-    star.store.write.mode("overwrite").parquet(f"{path}/store")
-    star.device.write.mode("overwrite").parquet(f"{path}/device")
-    star.alert.write.mode("overwrite").parquet(f"{path}/alert")
+    for name in ("store", "device", "alert"):
+        getattr(star, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    written = star.fact.sparkSession.read.parquet(f"{path}/fact")
+    calendar = star.date if star.date is not None else date_dimension_covering(written)
+    (calendar.withColumn("reading_month", F.date_format("full_date", "yyyy-MM")).coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/date"))
 
 
 def read_star(spark: SparkSession, path: str):
+    """A written star. Its calendar carries ``reading_month``, so that filters on it prune the fact's months."""
     from fleetstar.sources.profiles import Star
 
-    return Star(fact=spark.read.parquet(f"{path}/fact"), store=spark.read.parquet(f"{path}/store"),
-                device=spark.read.parquet(f"{path}/device"), alert=spark.read.parquet(f"{path}/alert"))
-
-
-def rewrite_fact_version(fact: DataFrame, base: str, version: int) -> str:
-    """Write an updated fact (e.g. refreshed anomaly flags) as a new version folder.
-
-    Parquet has no in-place update: readers switch to the new version once
-    the job has committed.
-    """
-    out = f"{base}/v{version}"
-    (fact.withColumn("reading_month", F.date_format(fact_date(fact), "yyyy-MM"))
-     .write.mode("overwrite").partitionBy("reading_month").parquet(out))
-    return out
+    return Star(**{name: spark.read.parquet(f"{path}/{name}") for name in ("fact", "store", "device", "alert", "date")})

@@ -200,13 +200,20 @@ def cumulative_spikes(fact: DataFrame, store: DataFrame, rows: int = 7) -> DataF
 
 
 def calendar_rolling_avg(fact: DataFrame, store: DataFrame, days: int = 7) -> DataFrame:
-    """True ``days``-day mean of daily spikes (days without readings count 0)."""
-    daily = (_daily_region_spikes(fact, store).repartitionByRange("region")
-             .withColumn("_day", F.unix_date("full_date")))
-    w = Window.partitionBy("region").orderBy("_day").rangeBetween(-(days - 1), 0)
-    mean = F.sum("daily_spikes").over(w).cast("decimal(20,0)") / F.lit(days).cast("decimal(20,0)")
-    return (daily.select("region", "full_date", "daily_spikes",
-                         F.round(mean, 2).alias(f"calendar_{days}day_avg"))
+    """True ``days``-day mean of daily spikes, a row for every day between a region's first and last.
+
+    Gaps are filled without a join: each day with readings is followed by the
+    days up to the region's next one, which have 0 spikes. The mean always
+    divides by ``days``.
+    """
+    w = Window.partitionBy("region").orderBy("full_date")
+    daily = _daily_region_spikes(fact, store).repartitionByRange("region")
+    until = F.coalesce(F.date_sub(F.lead("full_date").over(w), 1), F.col("full_date"))
+    spine = (daily.withColumn("_until", until)
+             .select("region", F.col("full_date").alias("_seen"), F.explode(F.sequence("full_date", "_until")).alias("full_date"), "daily_spikes")
+             .withColumn("daily_spikes", F.when(F.col("full_date") == F.col("_seen"), F.col("daily_spikes")).otherwise(F.lit(0).cast("long"))))
+    mean = F.sum("daily_spikes").over(w.rowsBetween(-(days - 1), 0)).cast("decimal(20,0)") / F.lit(days).cast("decimal(20,0)")
+    return (spine.select("region", "full_date", "daily_spikes", F.round(mean, 2).alias(f"calendar_{days}day_avg"))
             .orderBy("region", "full_date"))
 
 
@@ -260,3 +267,21 @@ def firmware_compliance(fact: DataFrame, device: DataFrame, fail: float = C.FIRM
             .orderBy("compliance_rank", "firmware_version")
             .select("compliance_rank", "firmware_version", "device_count", "total_readings", "avg_temp",
                     "total_spikes", "spike_rate_pct", "avg_power_watts", "compliance_status"))
+
+
+def fiscal_period_health(fact: DataFrame, date: DataFrame, where=None) -> DataFrame:
+    """Readings, spikes and mean temperature by fiscal period and weekend, through the calendar dimension.
+
+    The join carries ``reading_month`` where both sides have it, so a filter on
+    calendar attributes (``where``) prunes the fact's month partitions.
+    """
+    temp = F.col("temperature_celsius")
+    keys = [c for c in ("reading_month", "date_key") if c in fact.columns and c in date.columns]
+    per = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), count_true(F.col("is_thermal_spike")).alias("sp"),
+                                  sum_cents(temp).alias("t"), F.count(temp).alias("tn"))
+    days = date if where is None else date.where(where)
+    joined = join_dim(per, days.select(*keys, "fiscal_period", "is_weekend"), keys)
+    return (joined.groupBy("fiscal_period", "is_weekend")
+            .agg(F.sum("n").alias("total_readings"), F.sum("sp").alias("spike_count"),
+                 F.round(mean_from_cents(F.sum("t"), F.sum("tn")), 2).alias("avg_temp"))
+            .withColumn("spike_rate_pct", exact_pct(F.col("spike_count"), F.col("total_readings"))))

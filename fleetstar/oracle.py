@@ -195,11 +195,15 @@ WINDOW w1 AS (PARTITION BY region ORDER BY full_date ROWS BETWEEN UNBOUNDED PREC
        w7 AS (PARTITION BY region ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
 
 
-CALENDAR_ROLLING_AVG = with_(P2, _daily("p2")) + """
-SELECT region, full_date, daily_spikes,
+CALENDAR_ROLLING_AVG = with_(P2, _daily("p2"), """
+spine AS (SELECT region, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS full_date
+          FROM (SELECT region, min(full_date) AS lo, max(full_date) AS hi FROM daily GROUP BY region))""", """
+filled AS (SELECT p.region, p.full_date, COALESCE(d.daily_spikes, 0) AS daily_spikes
+           FROM spine p LEFT JOIN daily d ON p.region = d.region AND p.full_date = d.full_date)""") + """
+SELECT region, full_date, CAST(daily_spikes AS BIGINT) AS daily_spikes,
        CAST((200 * SUM(daily_spikes) OVER w + 7) // 14 AS DOUBLE) / 100 AS calendar_7day_avg
-FROM daily
-WINDOW w AS (PARTITION BY region ORDER BY full_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)"""
+FROM filled
+WINDOW w AS (PARTITION BY region ORDER BY full_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
 
 DEVICE_RISK_QUARTILES = with_(P1, f"""
 m AS (
@@ -319,11 +323,13 @@ CRITICAL_ALERTS_ALL = ALERT_BASE + ALERT_SELECT
 # critical readings whose temperature is missing.
 CRITICAL_ALERTS_NULLS_FIRST = (ALERT_BASE + ALERT_SELECT
                                + " ORDER BY temperature_celsius DESC NULLS FIRST, telemetry_key LIMIT 20")
-CRITICAL_ALERTS_SINCE = ALERT_BASE + """
+SINCE_SELECT = """
 SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
        CAST(max_temp_threshold AS DOUBLE) AS max_temp_threshold, device_id, firmware_version, store_name, city,
        country, region, alert_code, severity, CAST(sla_response_mins AS BIGINT) AS sla_response_mins
-FROM alerted WHERE event_timestamp >= (SELECT max(event_timestamp) FROM p1_fact) - INTERVAL 7 DAY"""
+FROM alerted"""
+CRITICAL_ALERTS_SINCE = ALERT_BASE + SINCE_SELECT + """
+WHERE event_timestamp >= (SELECT max(event_timestamp) FROM p1_fact) - INTERVAL 7 DAY"""
 
 ROUTED_ALERTS = ALERT_BASE + """
 SELECT telemetry_key, event_timestamp, CAST(temperature_celsius AS DOUBLE) AS temperature_celsius,
@@ -772,3 +778,37 @@ ORACLE.update({
     "stream_alert_outbox": STREAM_ALERT_OUTBOX,
     "stream_alert_window_counts": STREAM_ALERT_WINDOW_COUNTS,
 })
+
+# ---------------------------------------------------------------------------
+# Kept current load by load: the answer is that of one pass over everything
+# ---------------------------------------------------------------------------
+
+FISCAL_PERIOD_HEALTH = with_(P2, f"""
+f AS (SELECT 'FY' || year(full_date) || '-Q' || quarter(full_date) AS fiscal_period, isodow(full_date) >= 6 AS is_weekend, * FROM p2_fact)""") + f"""
+SELECT fiscal_period, is_weekend, COUNT(*) AS total_readings, {SPIKES} AS spike_count,
+       {mean2('SUM(' + cents('f.temperature_celsius') + ')', 'COUNT(f.temperature_celsius)')} AS avg_temp,
+       {pct2(SPIKES, 'COUNT(*)')} AS spike_rate_pct
+FROM f GROUP BY fiscal_period, is_weekend"""
+COLUMN_SKETCHES = "SELECT *, TRUE AS within_error FROM (" + COLUMN_PROFILE + ")"
+QUANTILE_SKETCHES = """
+SELECT column_name, CAST(prob AS DOUBLE) AS prob, TRUE AS within_error
+FROM (VALUES ('temperature_celsius'), ('power_draw_watts'), ('session_duration_secs')) c(column_name), (VALUES (0.25), (0.5), (0.75)) p(prob)"""
+CSV_QUARANTINE = with_(P1) + """
+SELECT CASE f.telemetry_key % 40 WHEN 3 THEN 'too few fields' WHEN 7 THEN 'temperature_celsius is no decimal(5,2)'
+            WHEN 11 THEN 'too many fields' ELSE 'valid' END AS outcome, COUNT(*) AS lines
+FROM p1_fact f JOIN p1_store s ON f.store_key = s.store_key JOIN p1_device d ON f.device_key = d.device_key GROUP BY 1"""
+
+ORACLE.update({
+    "poll_alerts": ALERT_BASE + SINCE_SELECT,
+    "anomaly_flags_versioned": APPLY_ANOMALY_FLAGS,
+    "temp_delta_loads": TEMP_DELTA,
+    "column_sketches": COLUMN_SKETCHES,
+    "quantile_sketches": QUANTILE_SKETCHES,
+    "csv_quarantine": CSV_QUARANTINE,
+    "fiscal_period_health": FISCAL_PERIOD_HEALTH,
+    "spike_rate_map_loads": SPIKE_RATE_MAP,
+    "store_vs_global_loads": STORE_VS_GLOBAL,
+    "country_city_drill_loads": COUNTRY_CITY_DRILL,
+    "monthly_operational_health_loads": monthly_health(False),
+    "stream_window_counts_late": STREAM_ALERT_WINDOW_COUNTS,
+})

@@ -33,12 +33,17 @@ def present(df: DataFrame) -> DataFrame:
 _stars: dict = {}
 
 
-def _star(kind, spark: SparkSession, sf_dir: str):
-    """Session-scoped catalog: one (lazy, immutable) star plan per profile and folder."""
-    key = (kind.__name__, id(spark), app_id(spark), sf_dir)
+def _star(kind, spark: SparkSession, sf_dir: str, written: bool = True):
+    """Session-scoped catalog: one star per profile and folder, written once to the shared folder and read from there."""
+    key = (kind.__name__, id(spark), app_id(spark), sf_dir, written)
     hit = _stars.get(key)
     if hit is None or hit[0] is not spark:
-        hit = (spark, kind(spark, sf_dir))
+        star = kind(spark, sf_dir)
+        if written:
+            path = scratch_path(spark, kind.__name__)
+            M.write_star(star, path)
+            star = M.read_star(spark, path)
+        hit = (spark, star)
         _stars[key] = hit
     return hit[1]
 
@@ -51,7 +56,8 @@ def _p1(fn):
 
 def _p2(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(fn(_star(orderline_star, spark, sf_dir)))
+        # An order line carries its store and part: nothing is gained by writing it again.
+        return present(fn(_star(orderline_star, spark, sf_dir, written=False)))
     return run
 
 
@@ -75,12 +81,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Alerts, anomalies, dashboards, quality, dimensions (events profile unless noted)
 # ---------------------------------------------------------------------------
 
+import datetime as dt  # noqa: E402
+
 from fleetstar.operators import alerts as A  # noqa: E402
 from fleetstar.operators import anomaly as N  # noqa: E402
+from fleetstar.operators import carried as K  # noqa: E402
 from fleetstar.operators import dashboards as D  # noqa: E402
 from fleetstar.operators import dims as M  # noqa: E402
 from fleetstar.operators import governance as G  # noqa: E402
+from fleetstar.operators import polling as L  # noqa: E402
 from fleetstar.operators import quality as Q  # noqa: E402
+from fleetstar.operators import sketches as H  # noqa: E402
+from fleetstar.operators import versions as V  # noqa: E402
 from fleetstar import schemas as S  # noqa: E402
 from fleetstar.oracle import CARD_FACT_COLUMNS, OUTBOX_RUN_TS, RETAIN_AS_OF  # noqa: E402
 from fleetstar.sources import files  # noqa: E402
@@ -169,6 +181,104 @@ def _append_facts(spark, sf_dir):
                    .groupBy("load", "outcome").agg(F.count(F.lit(1)).alias("readings")))
 
 
+def _dealt(df: DataFrame, n: int, *key: str) -> list[DataFrame]:
+    """All rows in ``n`` loads, as a hash of their key deals them."""
+    return [df.where(F.pmod(F.xxhash64(*key), F.lit(n)) == i) for i in range(n)]
+
+
+def _poll_alerts(spark, sf_dir):
+    """Five polls over the readings' arrival; after the third's rows were written its commit fails, and it is made again."""
+    s = _star(event_star, spark, sf_dir)
+    lo, hi = s.fact.agg(F.min("ingestion_timestamp"), F.max("ingestion_timestamp")).first()
+    consumer = L.AlertPoll(spark, scratch_path(spark, "polls"), "desk", overlap_minutes=24 * 60)
+    for step in range(1, 6):
+        upto = hi + dt.timedelta(seconds=1) if step == 5 else lo + (hi - lo) * step / 5
+        if step == 3:
+            consumer.collect(s.fact, s.device, s.store, s.alert, upto - (hi - lo) / 10)
+        consumer.poll(s.fact, s.device, s.store, s.alert, upto)
+    return present(consumer.delivered().select(*A.SINCE_COLUMNS))
+
+
+def _flags_versioned(spark, sf_dir):
+    """The detector's flags applied to a fact of daily parts as a new version."""
+    s = _star(event_star, spark, sf_dir)
+    fact = V.VersionedFact(spark, scratch_path(spark, "versions"), parts="yyyy-MM-dd")
+    fact.write(s.fact)
+    fact.update_flags(N.composite_anomaly(s.fact))
+    return present(fact.read().select("telemetry_key", "is_anomaly"))
+
+
+def _delta_loads(spark, sf_dir):
+    """Readings in four loads without regard to time, so most come late; one load is made twice."""
+    s = _star(event_star, spark, sf_dir)
+    deltas = K.CarriedDeltas(spark, scratch_path(spark, "deltas"))
+    for i, load in enumerate(_dealt(s.fact, 4, "telemetry_key")):
+        deltas.add(load, i)
+        if i == 2:
+            deltas.add(load, i)
+    return present(deltas.read())
+
+
+_extracts: dict = {}
+
+
+def _extract(spark, sf_dir, kind):
+    """The dashboards' sums, taken in by three loads of which one is made twice."""
+    s = _star(kind, spark, sf_dir, written=kind is event_star)
+    key = (kind.__name__, id(spark), app_id(spark), sf_dir)
+    if key not in _extracts:
+        state = K.ExtractState(spark, scratch_path(spark, "extract"))
+        loads = _dealt(s.fact, 3, "telemetry_key")
+        for name, i in (("a", 0), ("b", 1), ("b", 1), ("c", 2)):
+            state.add(loads[i], name)
+        _extracts[key] = state
+    return _extracts[key], s
+
+
+def _from_extract(fn, kind=event_star):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(fn(*_extract(spark, sf_dir, kind)))
+    return run
+
+
+def _column_sketches(spark, s):
+    """Exact counts, and whether the estimate united from daily sketches lies within the stated error."""
+    path = scratch_path(spark, "column-sketches")
+    rows = s.fact.select(*S.FACT_COLUMNS)
+    H.store_column_sketches(rows, F.to_date("event_timestamp").cast("string"), path)
+    found = H.merged_profile(spark, path).select("column_name", "distinct_estimate")
+    exact = Q.column_profile(rows, exact=True).drop("data_type").join(found, "column_name")
+    off = F.abs(F.col("distinct_estimate") - F.col("distinct_count"))
+    return exact.withColumn("within_error", off <= H.HLL_ERROR * F.col("distinct_count")).drop("distinct_estimate")
+
+
+def _quantile_sketches(spark, s):
+    """Whether quartiles united from daily sketches have a true rank within the stated error."""
+    path, columns = scratch_path(spark, "quantile-sketches"), [N.TEMP, *N.IQR_COLUMNS]
+    H.store_quantile_sketches(s.fact, columns, F.to_date("event_timestamp").cast("string"), path)
+    errors = H.rank_errors(s.fact, H.merged_quantiles(spark, path, (0.25, 0.5, 0.75)), columns)
+    return errors.select("column_name", "prob", (F.col("rank_error") <= H.KLL_RANK_ERROR).alias("within_error"))
+
+
+def _csv_quarantine(spark, s):
+    """The extract as lines, of which some are cut, lengthened or hold a word for a number; rows and rejects counted."""
+    flat = D.telemetry_export(s.fact, s.store, s.device, s.alert)
+    damage = F.pmod("telemetry_key", F.lit(40))
+    texts = [F.when(damage == 7, "warm").otherwise(F.col(c).cast("string")).alias(c) if c == "temperature_celsius" else F.col(c) for c in flat.columns]
+    line = F.to_csv(F.struct(*texts), {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    line = F.when(damage == 3, F.regexp_replace(line, ",[^,]*,[^,]*$", "")).when(damage == 11, F.concat(line, F.lit(",more,still more"))).otherwise(line)
+    path = scratch_path(spark, "lines")
+    flat.select(line.alias("value")).write.text(path)
+    rows, rejects = files.read_csv_quarantined(spark, path, header=False)
+    return (rows.select(F.lit("valid").alias("outcome")).unionByName(rejects.select(F.col("reason").alias("outcome")))
+            .groupBy("outcome").agg(F.count(F.lit(1)).alias("lines")))
+
+
+def _fiscal_periods(spark, sf_dir):
+    s = _star(orderline_star, spark, sf_dir)
+    return present(fleet.fiscal_period_health(s.fact, s.date))
+
+
 def _constraints_broken(spark, sf_dir):
     """The rules over tables that break them: devices missing or doubled, a calendar that ends early."""
     s = _star(event_star, spark, sf_dir)
@@ -230,9 +340,20 @@ QUERIES.update({
     "gdpr_report_by_region": _p1(lambda s: G.gdpr_report(s.fact, s.device, s.store, by="region")),
     "check_constraints": _p1(lambda s: Q.check_constraints(
         {"fact": s.fact, "store": s.store, "device": s.device, "alert": s.alert,
-         "date": M.date_dimension_covering(s.fact)})),
+         "date": s.date})),
     "check_constraints_broken": _constraints_broken,
     "append_facts": _append_facts,
+    "poll_alerts": _poll_alerts,
+    "anomaly_flags_versioned": _flags_versioned,
+    "temp_delta_loads": _delta_loads,
+    "column_sketches": _p1s(_column_sketches),
+    "quantile_sketches": _p1s(_quantile_sketches),
+    "csv_quarantine": _p1s(_csv_quarantine),
+    "fiscal_period_health": _fiscal_periods,
+    "spike_rate_map_loads": _from_extract(lambda x, s: D.spike_rate_map(x.store_totals(s.store))),
+    "store_vs_global_loads": _from_extract(lambda x, s: D.store_vs_global(x.store_totals(s.store))),
+    "country_city_drill_loads": _from_extract(lambda x, s: D.country_city_drill(x.store_totals(s.store))),
+    "monthly_operational_health_loads": _from_extract(lambda x, s: x.monthly_health(), orderline_star),
     "date_dimension": _p2(lambda s: M.date_dimension_covering(s.fact)),
     "insert_if_absent": _insert_if_absent,
     "assign_surrogate_keys": _assign_keys,
@@ -256,10 +377,25 @@ def _stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, ckpt = scratch_path(spark, "alert-counts"), scratch_path(spark, "alert-counts-ckpt")
     ST.run_alert_window_counts(spark, sf_dir, sf_dir, out, ckpt, glob="events.parquet")
+    ST.reconcile_window_counts(spark, out)
+    return present(ST.window_counts(spark, out))
+
+
+def _stream_counts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last third of the readings arrives first, so the others' alerts are late for their windows; corrected afterwards."""
+    out, ckpt, landing = (scratch_path(spark, n) for n in ("late-counts", "late-counts-ckpt", "landing"))
+    events = read_table(spark, sf_dir, "events")
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    one, two = ((F.lit(lo + (hi - lo) * k / 3).cast("timestamp_ntz")) for k in (1, 2))
+    for part in (F.col("ts") >= two, F.col("ts") < one, (F.col("ts") >= one) & (F.col("ts") < two)):
+        events.where(part).write.mode("append").parquet(landing)
+        ST.run_alert_window_counts(spark, landing, sf_dir, out, ckpt)
+    ST.reconcile_window_counts(spark, out)
     return present(ST.window_counts(spark, out))
 
 
 QUERIES.update({
     "stream_alert_outbox": _stream_outbox,
     "stream_alert_window_counts": _stream_counts,
+    "stream_window_counts_late": _stream_counts_late,
 })

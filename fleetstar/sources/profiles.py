@@ -33,6 +33,7 @@ class Star:
     store: DataFrame
     device: DataFrame
     alert: DataFrame
+    date: DataFrame | None = None   # the calendar; a written star always has it
 
 
 # Declared schemas of the driver's tables: reading with them skips footer

@@ -11,7 +11,8 @@ batch's least and greatest key, which row-group statistics answer.
 
 Late readings are not dropped: there is no watermark on this path, so a
 critical reading that arrives months late is still notified. A separate
-query counts alerts per event-time window.
+query counts alerts per event-time window behind a watermark, which bounds its
+state to the open windows; a corrections job adds the alerts that came later.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ from pyspark.sql import types as T
 from fleetstar import constants as C
 from fleetstar.operators.alerts import _alerted, notification_outbox, retain, route_alerts
 from fleetstar.plans.joins import bounded_broadcast
+from fleetstar.session import checkpoint_base
 from fleetstar.sources.profiles import (alert_dim, _nation_stores, event_devices, events_to_fact,
                                         routing_table)
+from fleetstar.sources.files import read_existing
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -170,34 +173,110 @@ def compact_outbox(spark: SparkSession, outbox_path: str, target_path: str, mont
     return OutboxWriter(target_path).existing(spark).count()
 
 
+def _alert_times(events: DataFrame, dims_dir: str, codes) -> DataFrame:
+    """Event time of every notifying alert among ``events``, as an instant."""
+    spark = events.sparkSession
+    devices = event_devices(spark, dims_dir)
+    alerts = _alerted(events_to_fact(events, devices), devices, _nation_stores(spark, dims_dir), alert_dim(spark), codes)
+    return alerts.select(F.col("event_timestamp").cast("timestamp").alias("at"))
+
+
+def _per_window(alerts: DataFrame, window: str, delay: str | None = None) -> DataFrame:
+    """Alerts by window; with ``delay`` also the time up to which they close windows."""
+    more = [] if delay is None else [(F.max("at") - F.expr(f"INTERVAL {delay}")).cast("timestamp_ntz").alias("horizon")]
+    return (alerts.groupBy(F.window("at", window).alias("w")).agg(F.count(F.lit(1)).alias("alerts"), *more)
+            .withColumns({f"window_{edge}": F.col(f"w.{edge}").cast("timestamp_ntz") for edge in ("start", "end")})
+            .select("window_start", "window_end", "alerts", *(["horizon"] if more else [])))
+
+
 def alert_window_counts(spark: SparkSession, events_dir: str, dims_dir: str, glob: str | None = None,
                         window: str = "15 minutes", codes=(C.ALERT_TYPES[0][1],),
-                        max_files: int | None = None) -> DataFrame:
-    """Streaming count of notifying alerts per tumbling event-time window.
+                        max_files: int | None = None, delay: str = "1 hour") -> DataFrame:
+    """Streaming count of notifying alerts per tumbling event-time window, given out once, when it closes.
 
-    No watermark: late alerts count, and the state is one row per window with an alert.
+    The watermark follows the latest alert by ``delay``; windows behind it leave
+    the state, so the state holds open windows only. Alerts later than that are
+    not counted here: ``reconcile_window_counts`` adds them.
     """
-    devices = event_devices(spark, dims_dir)
-    fact = events_to_fact(_source(spark, events_dir, glob, max_files), devices)
-    alerts = _alerted(fact, devices, _nation_stores(spark, dims_dir), alert_dim(spark), codes)
-    return (alerts.groupBy(F.window("event_timestamp", window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("alerts"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "alerts"))
+    alerts = _alert_times(_source(spark, events_dir, glob, max_files), dims_dir, codes)
+    return _per_window(alerts.withWatermark("at", delay), window)
 
 
 def run_alert_window_counts(spark: SparkSession, events_dir: str, dims_dir: str, out_path: str, checkpoint: str,
-                            glob: str | None = None, window: str = "15 minutes", max_files: int | None = None):
-    """Write each batch's changed windows with their new counts; ``window_counts`` reads the latest."""
-    counts = alert_window_counts(spark, events_dir, dims_dir, glob=glob, window=window, max_files=max_files)
-    q = (counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-         .foreachBatch(lambda b, i: _overwrite(b, out_path, stream_run_id(b.sparkSession), i)).start())
-    q.awaitTermination()
-    return q
+                            glob: str | None = None, window: str = "15 minutes", max_files: int | None = None,
+                            codes=(C.ALERT_TYPES[0][1],), delay: str = "1 hour"):
+    """Drain the source once; returns the finished counting query.
+
+    ``closed`` receives every window's count when it closes, ``arrivals`` what each
+    batch brought, by window and without state: one row per batch and window.
+    Both are partitioned by run (the first query's id, kept by its checkpoint) and batch.
+    """
+    counts = alert_window_counts(spark, events_dir, dims_dir, glob, window, codes, max_files, delay)
+
+    def start(rows: DataFrame, name: str, process, mode: str):
+        q = (rows.writeStream.outputMode(mode).option("checkpointLocation", f"{checkpoint}/{name}").trigger(availableNow=True)
+             .foreachBatch(process).start())
+        q.awaitTermination()
+        return q
+
+    counted = start(counts, "closed", lambda b, i: _overwrite(b, f"{out_path}/closed", stream_run_id(b.sparkSession), i), "append")
+    run = str(counted.id)
+
+    def arrived(batch: DataFrame, batch_id: int) -> None:
+        _overwrite(_per_window(batch, window, delay), f"{out_path}/arrivals", run, batch_id)
+
+    start(_alert_times(_source(spark, events_dir, glob, max_files), dims_dir, codes), "arrivals", arrived, "append")
+    return counted
+
+
+_COUNTS = "window_start timestamp_ntz, window_end timestamp_ntz, alerts bigint"
+_KEYS = ["run", "window_start", "window_end"]
+
+
+def _counted(spark: SparkSession, out_path: str, table: str) -> DataFrame:
+    """Counts of a table by run and window."""
+    rows = read_existing(spark, f"{out_path}/{table}", f"{_COUNTS}, run string, batch bigint")
+    if rows is None:
+        return spark.createDataFrame([], f"run string, {_COUNTS}")
+    return rows.groupBy(*_KEYS).agg(F.sum("alerts").alias("alerts"))
+
+
+def _arrived(spark: SparkSession, out_path: str) -> DataFrame:
+    """Alerts that came, by run and window, and whether the run has closed that window."""
+    rows = spark.read.schema(f"{_COUNTS}, horizon timestamp_ntz, run string, batch bigint").parquet(f"{out_path}/arrivals")
+    upto = rows.groupBy(F.col("run").alias("_run")).agg(F.max("horizon").alias("upto"))  # one row per run
+    per = rows.groupBy(*_KEYS).agg(F.sum("alerts").alias("came"))
+    return per.join(upto, per["run"] == upto["_run"]).withColumn("is_closed", F.col("window_end") <= F.col("upto")).drop("_run", "upto")
+
+
+def reconcile_window_counts(spark: SparkSession, out_path: str) -> None:
+    """The corrections job: alerts of closed windows that came too late to be counted, by run and window.
+
+    What came less what was counted; each run's corrections are replaced, so the job may be run at any time and again.
+    """
+    closed = _counted(spark, out_path, "closed").withColumnRenamed("alerts", "counted")
+    late = (_arrived(spark, out_path).where("is_closed").join(closed, _KEYS, "left")
+            .withColumn("alerts", F.col("came") - F.coalesce("counted", F.lit(0))))
+    checkpoint_base(spark)
+    rows = late.where("alerts <> 0").select("window_start", "window_end", "alerts", "run").checkpoint(eager=True)
+    rows.withColumn("batch", F.lit(0).cast("long")).write.mode("overwrite").partitionBy("run", "batch").parquet(f"{out_path}/corrections")
 
 
 def window_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The latest count of every window, over all runs' last batches that changed it."""
-    rows = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, alerts bigint, run string, batch bigint").parquet(out_path)
-    return (rows.groupBy("window_start", "window_end", "run").agg(F.max_by("alerts", "batch").alias("alerts"))
-            .groupBy("window_start", "window_end").agg(F.max("alerts").alias("alerts")))
+    """Alerts of every window over all runs: closed counts, their corrections, and what open windows hold so far."""
+    still_open = _arrived(spark, out_path).where("not is_closed").select(*_KEYS, F.col("came").alias("alerts"))
+    parts = still_open.unionByName(_counted(spark, out_path, "closed")).unionByName(_counted(spark, out_path, "corrections"))
+    return parts.groupBy("window_start", "window_end").agg(F.sum("alerts").alias("alerts"))
+
+
+def compact_window_counts(spark: SparkSession, out_path: str, target_path: str) -> None:
+    """Copy counts and arrivals to a new folder with one batch per run; the streams may go on with it."""
+    for table, extra in (("closed", ""), ("arrivals", ", horizon timestamp_ntz")):
+        rows = read_existing(spark, f"{out_path}/{table}", f"{_COUNTS}{extra}, run string, batch bigint")
+        if rows is None:
+            continue
+        last = rows.groupBy(F.col("run").alias("_run")).agg(F.max("batch").alias("batch"))
+        sums = [F.sum("alerts").alias("alerts")] + ([F.max("horizon").alias("horizon")] if extra else [])
+        merged = rows.groupBy(*_KEYS).agg(*sums)
+        (merged.join(last, merged["run"] == last["_run"]).drop("_run").hint("rebalance", "run")
+         .write.mode("overwrite").partitionBy("run", "batch").parquet(f"{target_path}/{table}"))
