@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetstar.session import scratch_path
 
 # Words are runs of anything but ASCII white space (space, tab to carriage return).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-WORD = re.compile(WORD_PATTERN)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,19 +19,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def arrow_schema(ddl_fields: list[tuple[str, pa.DataType]]) -> pa.Schema:
-    return pa.schema([pa.field(n, t) for n, t in ddl_fields])
-
-
-def byte_blocks(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Consecutive row ranges of at most ``limit`` bytes, or of one longer row."""
-    start, total = 0, 0
-    for i, n in enumerate(lengths):
-        if i > start and total + n > limit:
-            yield start, i
-            start, total = i, 0
-        total += int(n)
-    if start < len(lengths):
-        yield start, len(lengths)

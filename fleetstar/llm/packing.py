@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .tokens import encoder, text_blocks
+from .tokens import batch_blocks, encoder
 
 SEQUENCE = 1024          # tokens of a sequence
 END_ID = 2               # closes each document
@@ -88,15 +88,14 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            ids_of, texts, keys = (batch.column(i).to_pylist() for i in range(3))
-            for a, b in text_blocks(texts):
+            for block in batch_blocks(batch, 1):
+                ids_of, texts, keys = (block.column(i).to_pylist() for i in range(3))
                 rows = []
-                for doc, key, ids in zip(ids_of[a:b], keys[a:b], enc.encode(texts[a:b])):
+                for doc, key, ids in zip(ids_of, keys, enc.encode(texts)):
                     ids = memoryview(ids + end)
                     for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         rows.append((doc, n, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), key))
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=[f.split()[0] for f in PIECES.split(", ")]),
-                                                 schema=ARROW, preserve_index=False)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ARROW)], schema=ARROW)
 
     return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_key")).mapInArrow(run, PIECES)
 

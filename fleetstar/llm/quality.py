@@ -40,7 +40,7 @@ CLASSES = ("letters", "capitals", "digits", "spaces", "stops", "symbols", "other
 
 def words_of(text: Column) -> Column:
     """Runs of anything but ASCII white space; null and blank texts have none."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "")
     return F.when(bare != "", F.split(bare, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>"))
 
 
@@ -57,10 +57,10 @@ def _lengths_between(sorted_positions: Column) -> Column:
         F.lit(0), lambda a, x: a + x)
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Counts of each document: the base rules' four, character classes and short words."""
+def features(docs: DataFrame, *keep: Column) -> DataFrame:
+    """Counts of each document: the base rules' four, character classes and short words; ``keep`` rides along."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), text.alias("text")).withColumn("words", words_of(F.col("text")))
+    base = docs.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), text.alias("text"), *keep).withColumn("words", words_of(F.col("text")))
     hashed = base.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
@@ -90,7 +90,7 @@ def features(docs: DataFrame) -> DataFrame:
                       F.col("n_symbols"), F.col("n_chars") - F.col("letters") - F.col("digits") - spaces
                       - F.col("stops") - F.col("n_symbols"))
     return counted.select("doc_id", "lang", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                          F.transform(classes, lambda x: x.cast("long")).alias("classes"), "short")
+                          F.transform(classes, lambda x: x.cast("long")).alias("classes"), "short", *counted.columns[4:4 + len(keep)])
 
 
 def references(feats: DataFrame) -> list[dict]:
@@ -148,14 +148,14 @@ def _distances(refs: Column) -> Column:
         distance(share(F.col("classes"), F.col("n_chars")), h["classes"]).alias("classes")))
 
 
-def divergence(docs: DataFrame) -> DataFrame:
-    """Base counts, both distances and the verdicts of every document.
+def divergence(docs: DataFrame, *keep: Column) -> DataFrame:
+    """Base counts, both distances and the verdicts of every document, and the columns ``keep`` of its row.
 
     A document is compared to its own language's reference, and to all of
     them if it has none or diverges from it (its label may be wrong); it
     passes if it is near enough to one. The distances given are the nearest.
     """
-    feats = materialise(features(docs).withColumn("n_chars", _sum(F.col("classes"))), "quality-features")
+    feats = materialise(features(docs, *keep).withColumn("n_chars", _sum(F.col("classes"))), "quality-features")
     refs = F.array(*[F.struct(F.lit(r["lang"]).cast("string").alias("lang"),
                               F.array(*map(F.lit, r["common"])).cast("array<string>").alias("common"),
                               F.array(*map(F.lit, r["words"])).alias("words"),
@@ -169,10 +169,10 @@ def divergence(docs: DataFrame) -> DataFrame:
     return second.select(
         "doc_id", "lang", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         best["words"].alias("word_distance"), best["classes"].alias("class_distance"), "base_failed",
-        (~F.col("base_failed") & near(F.col("compared"))).alias("kept"))
+        (~F.col("base_failed") & near(F.col("compared"))).alias("kept"), *feats.columns[-1 - len(keep):-1])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns (rows of one id and text pass together)."""
-    good = divergence(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_id"]) & (F.xxhash64(docs["text"]) == good["_key"]), "left_semi")
+    """The rows of ``docs`` that pass, with all their columns, which travel beside the counts: no join."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row")
+    return divergence(docs, whole).where("kept").select("whole_row.*")

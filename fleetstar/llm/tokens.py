@@ -1,14 +1,17 @@
 """Whole texts to token ids through the ``tokenizers`` library.
 
 Encoding a document piece by piece is exact for the two public vocabularies
-used here: neither merges across a single space that stands between two other
-characters (the byte-level one starts a token with that space, the word-level
-one drops it), so a text is split at such spaces and each piece is encoded
-once per worker. A piece made of Latin letters and final stops or commas goes
-straight to the vocabulary's merge model; any other piece takes the library's
-whole pipeline. Known pieces are forgotten when their table is full, so memory
-stays bounded and the ids never depend on it. Special-token strings inside a
-text are ordinary text. Null and empty texts have no ids.
+used here: neither merges across a single space or line feed that stands
+between two other characters (the byte-level one starts a token with that
+space and gives the line feed a token of its own, the word-level one drops
+both), so a text is split there and each piece is encoded once per worker. A
+piece made of Latin letters and final stops or commas goes straight to the
+vocabulary's merge model; any other piece takes the library's whole pipeline.
+Pieces are remembered in two generations: when the younger is full it becomes
+the older one, and only pieces seen again are carried over. So memory stays
+bounded, frequent pieces stay known and the ids never depend on it.
+Special-token strings inside a text are ordinary text. Null and empty texts
+have no ids.
 """
 
 from __future__ import annotations
@@ -20,8 +23,12 @@ from collections.abc import Iterator
 from itertools import chain
 from operator import attrgetter
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
-MAX_PIECES = 900_000   # remembered pieces per worker
+MAX_PIECES = 150_000   # remembered pieces per worker and generation, about 200 bytes each
 MAX_PIECE_CHARS = 48   # longer pieces are encoded each time
 TOKEN_ID = attrgetter("id")
 _ENCODERS: dict[str, "PieceEncoder"] = {}
@@ -50,28 +57,45 @@ class PieceEncoder:
         self.space = self.table[32]
         self.by_word = self.tokenizer.normalizer is not None  # lower case, spaces dropped
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.line_end = b"" if self.by_word else self._whole(["a\nb"])[0][4:-4]
         self.tails: dict[str, bytes] = {"": b""}
 
     def _whole(self, pieces: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
 
-    def _word(self, core: str) -> bytes:
-        text = core.lower() if self.by_word else " " + core
+    def _word(self, core: str, spaced: bool) -> bytes:
+        text = core.lower() if self.by_word else core
         if not core.isascii():
             text = text.encode().decode("latin-1").translate(self.table)
-        elif not self.by_word:
-            text = self.space + core  # ASCII letters stand for themselves
+        if spaced and not self.by_word:
+            text = self.space + text  # ASCII letters stand for themselves
         return array("I", map(TOKEN_ID, self.merge(text))).tobytes()
 
+    def _split(self, text: str) -> list[str]:
+        """Pieces that follow a single space; those that follow a line feed start with it."""
+        words = text.split()
+        if len(text) != sum(map(len, words)) + len(words) - 1 or text.count(" ") + text.count("\n") != len(words) - 1:
+            return SPLIT.split(text)          # other white space, or more than one between two words
+        return words if self.by_word else text.replace("\n", " \n").split(" ")
+
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pieces not yet known; the short ones are remembered."""
-        known, rest, out = self.known, [], {}
+        known, older, rest, out = self.known, self.older, [], {}
         for p in pieces:
+            ids = older.get(p)
+            if ids is not None:
+                known[p] = ids
+                continue
             core = p.rstrip(".,")
-            if core.isalpha() and (core.isascii() or max(core) < "İ"):
-                ids = known.get(core)
+            spaced = p[0] != "\n"
+            letters = core if spaced else core[1:]
+            if letters.isalpha() and (letters.isascii() or max(letters) < "İ"):
+                ids = known.get(core) or older.get(core)
                 if ids is None:
-                    ids = self._word(core)
+                    ids = self._word(letters, spaced)
+                    if not spaced:
+                        ids = self.line_end + ids
                     if len(core) <= MAX_PIECE_CHARS:
                         known[core] = ids
                 tail = p[len(core):]
@@ -82,15 +106,19 @@ class PieceEncoder:
                 out[p] = ids + self.tails[tail]
             else:
                 rest.append(p)
-        out.update(zip(rest, self._whole([" " + p for p in rest])))
+        # Behind a line feed a piece is encoded as at the start of a text.
+        out.update(zip(rest, self._whole([" " + p if p[0] != "\n" else p[1:] for p in rest])))
+        for p in rest:
+            if p[0] == "\n":
+                out[p] = self.line_end + out[p]
         known.update((p, ids) for p, ids in out.items() if len(p) <= MAX_PIECE_CHARS)
         return {p: ids for p, ids in out.items() if len(p) > MAX_PIECE_CHARS}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        split = [SPLIT.split(t) if t else [""] for t in texts]
+            self.known, self.older = {}, self.known
+        split = [self._split(t) if t else [""] for t in texts]
         heads = self._whole([p[0] for p in split])
         known = self.known
         long = self._learn([p for p in set(chain.from_iterable(p[1:] for p in split)) if p not in known])
@@ -115,3 +143,15 @@ def text_blocks(texts: list[str | None], limit: int = 1 << 20) -> Iterator[tuple
         total += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def batch_blocks(batch: pa.RecordBatch, at: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of the text in column ``at``, so that few texts are held as strings."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop

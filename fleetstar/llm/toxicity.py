@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tokens import text_blocks
+from .tokens import batch_blocks, text_blocks
 
 SAMPLE_PER_LABEL = 5000
 MIN_DOCS = 8               # toxic documents that a term must occur in
@@ -345,6 +345,7 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([lexicon.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+            for block in batch_blocks(batch, at):
+                yield block.filter(pa.array([lexicon.score(t) < threshold for t in block.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
