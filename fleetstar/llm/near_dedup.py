@@ -9,15 +9,16 @@ Nodes that are still large after ``LEVELS`` levels hold texts that are all
 alike and are dealt into random parts of about ``NODE``, anew in each tree.
 
 Documents with the same set are one member. In a node, members are compared
-by their signatures (``TREES * LEVELS`` minwise bytes); of the pairs that may
-be links only a maximum spanning forest is confirmed on the full sets: if all
-of its links hold, so does the group. Where one fails, a second round confirms
-every remaining candidate pair between different groups. So the number of
-confirmed pairs grows with the documents, not with the square of a group.
-Nodes that are large at level ``FIRST`` lose links by branching on; in all of
-them the members outside the largest group are compared, block by block, with
-all of the node. Full sets go with the blocks, so candidates are confirmed
-there, the most alike first, until two groups are one or none is left.
+by their signatures (``TREES * LEVELS`` minwise bytes). In the first ``SEEDS``
+trees only a maximum spanning forest of the pairs that may be links is
+confirmed on the full sets, which joins most groups at one pair a member. Then
+every tree's nodes are compared again for pairs between different groups:
+members with such a pair meet inside their node, where each brings its full
+set once, and candidates are confirmed, the most alike first, until two groups
+are one or none is left. Only links leave a node, so no stage's rows grow with
+the square of a group. Nodes that are large at level ``FIRST`` lose links by
+branching on; they are met whole, block by block, the members outside the
+largest group with all of the node.
 
 Groups are the connected components of the confirmed links (alternating large
 and small stars). Hot sets, nodes and hubs are pre-aggregated or joined
@@ -43,6 +44,7 @@ from .shingles import mix, shingle_sets
 from .tokens import text_blocks
 
 TREES = 16
+SEEDS = 4           # trees whose forests are confirmed first
 LEVELS = 8          # levels of a tree with tokens of their own
 FIRST = 3           # levels of the shortest path
 NODE = 256          # members of a node that is compared exhaustively
@@ -91,12 +93,13 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def leaves(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """key, set_id, signature of the nodes where each tree's branching ends (two members
-    at least), and the large nodes at its first level."""
+    """The nodes where the seed trees' branching ends (key, set_id, signature), and every tree's
+    nodes at level ``FIRST`` with their size ``n``; two members at least in each."""
     rows = members.select("set_id", F.posexplode("paths").alias("tree", "key"))
-    live = _shared(rows, "paths").join(members.select("set_id", "signature"), "set_id")
-    live = materialise(live, "nodes")
-    done, first = [live.where(F.col("n") <= NODE)], live.where(F.col("n") > NODE)
+    first = _shared(rows, "paths").join(members.select("set_id", "signature"), "set_id")
+    first = materialise(first, "nodes")
+    live = first.where(F.col("tree") < SEEDS)
+    done = [live.where(F.col("n") <= NODE)]
     for level in range(FIRST, LEVELS):
         big = live.where(F.col("n") > NODE)
         if big.isEmpty():
@@ -150,61 +153,87 @@ def _node_pairs(size: int, cache: dict[int, np.ndarray] = {}) -> np.ndarray:  #
     return cache[size]
 
 
-def candidates(nodes: DataFrame, threshold: float, groups: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) to confirm: a spanning forest of each node, or with ``groups``
-    (set_id, root) every candidate pair between different groups."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _by_node(nodes: DataFrame, compare, names: list[str]) -> DataFrame:
+    """Rows (two longs) that ``compare(key, ids, roots, signatures, bounds)`` finds in whole nodes, some nodes at a time."""
+    schema = pa.schema([(n, pa.int64()) for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # rows of the node that the last batch ended in
+
+        def answer(columns: tuple, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for found in compare(*columns, bounds):
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=schema)
+
+        for batch in batches:
+            key, ids, roots = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
+            signatures = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
+            held.append((key, ids, roots, signatures))
+            columns = tuple(np.concatenate(c) for c in zip(*held))
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(columns[0])) + 1])
+            last = bounds[-1]
+            held = [tuple(c[last:] for c in columns)]
+            yield from answer(columns, bounds)
+        if held:
+            columns = tuple(np.concatenate(c) for c in zip(*held))
+            yield from answer(columns, np.array([0, len(columns[0])]))
+
+    ordered = nodes.select("key", "set_id", "signature", "root").repartition("key").sortWithinPartitions("key", "set_id")
+    return ordered.mapInArrow(run, ", ".join(f"{n} long" for n in names)).distinct()
+
+
+def _alike(signatures: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Signature bytes that each pair has in common."""
+    return np.concatenate([np.zeros(0, np.int64)] + [
+        (signatures[p[:, 0]] == signatures[p[:, 1]]).sum(1) for p in (pairs[i:i + 100_000] for i in range(0, len(pairs), 100_000))])
+
+
+def candidates(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) to confirm: a spanning forest of each node's pairs that may be links."""
     least = (threshold - SURELY_NOT) * TREES * LEVELS
-    forest = groups is None
 
-    def compare(ids: np.ndarray, roots: np.ndarray, signatures: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+    def compare(key: np.ndarray, ids: np.ndarray, roots: np.ndarray, signatures: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
         for k0 in range(0, len(bounds) - 1, 2000):
             ends = bounds[k0:k0 + 2001]
             parts = [lo + _node_pairs(int(hi - lo)) for lo, hi in zip(ends[:-1], ends[1:]) if hi - lo > 1]
             if not parts:
                 continue
-            node = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-            pairs = np.concatenate(parts)
-            if not forest:
-                keep = roots[pairs[:, 0]] != roots[pairs[:, 1]]
-                pairs, node = pairs[keep], node[keep]
-            alike = np.concatenate([np.zeros(0, np.int64)] + [
-                (signatures[p[:, 0]] == signatures[p[:, 1]]).sum(1) for p in (pairs[i:i + 100_000] for i in range(0, len(pairs), 100_000))])
+            node, pairs = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts)
+            alike = _alike(signatures, pairs)
             keep = alike >= least
             pairs, node, alike = pairs[keep], node[keep], alike[keep]
-            if forest and len(pairs):
+            if len(pairs):
                 cuts = np.flatnonzero(np.diff(node)) + 1
                 pairs = np.concatenate([p if len(p) == 1 else _forest(p, s)
                                         for p, s in zip(np.split(pairs, cuts), np.split(alike, cuts))])
-            if len(pairs):
                 yield np.sort(ids[pairs], 1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # rows of the node that the last batch ended in
-        for batch in batches:
-            key, ids, roots = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-            signatures = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(len(ids), -1)
-            held.append((key, ids, roots, signatures))
-            if key[0] == key[-1] and sum(len(h[0]) for h in held) < 50_000 and held[0][0][0] == key[0]:
-                continue
-            key, ids, roots, signatures = (np.concatenate(c) for c in zip(*held))
-            bounds = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
-            last = bounds[-1]
-            held = [(key[last:], ids[last:], roots[last:], signatures[last:])]
-            for found in compare(ids, roots, signatures, bounds):
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=schema)
+    return _by_node(nodes.withColumn("root", F.col("set_id")), compare, ["a", "b"])
+
+
+def open_members(nodes: DataFrame, threshold: float, groups: DataFrame) -> DataFrame:
+    """(node, member): the members of each node that may be linked with a member of another group there."""
+    least = (threshold - SURELY_NOT) * TREES * LEVELS
+
+    def compare(key: np.ndarray, ids: np.ndarray, roots: np.ndarray, signatures: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        held: list[np.ndarray] = []
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            if hi - lo > 1 and (roots[lo:hi] != roots[lo]).any():
+                pairs = lo + _node_pairs(int(hi - lo))
+                held.append(pairs[roots[pairs[:, 0]] != roots[pairs[:, 1]]])
+            if held and (hi == bounds[-1] or sum(map(len, held)) > 100_000):
+                pairs = np.concatenate(held)
+                found = np.unique(pairs[_alike(signatures, pairs) >= least])
+                held = []
+                if len(found):
+                    yield np.stack([key[found], ids[found]], 1)
         if held:
-            key, ids, roots, signatures = (np.concatenate(c) for c in zip(*held))
-            bounds = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
-            for found in compare(ids, roots, signatures, bounds):
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], schema=schema)
+            pairs = np.concatenate(held)
+            found = np.unique(pairs[_alike(signatures, pairs) >= least])
+            if len(found):
+                yield np.stack([key[found], ids[found]], 1)
 
-    if forest:
-        rooted = nodes.withColumn("root", F.col("set_id"))
-    else:
-        rooted = nodes.join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    ordered = (rooted.select("key", "set_id", "signature", "root").repartition("key").sortWithinPartitions("key", "set_id"))
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    rooted = nodes.join(groups, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    return _by_node(rooted, compare, ["node", "member"])
 
 
 class Block:
@@ -292,7 +321,7 @@ def full_sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def stragglers(large: DataFrame, members: DataFrame, groups: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Links (a, b) between different groups of a large node: its members outside of the
+    """Links (a, b) between different groups of a node: its members outside of the
     largest group meet all of the node, and every candidate is confirmed on the full
     sets until its two groups are one."""
     rooted = (large.select("set_id", "tree", "key", "signature").join(members.select("set_id", "paths", "n_shingles"), "set_id")
@@ -337,8 +366,8 @@ def stragglers(large: DataFrame, members: DataFrame, groups: DataFrame, docs: Da
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """Pairs with the verdict ``linked``: Jaccard similarity of the full shingle sets against the threshold."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
+    """The pairs that are links: Jaccard similarity of the full shingle sets against the threshold."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     percent = round(threshold * 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,12 +381,12 @@ def confirm(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) ->
                     both.sort()
                     common = int((both[1:] == both[:-1]).sum())
                     linked.append(100 * common >= percent * (len(both) - common))
-                yield pa.RecordBatch.from_arrays([pa.array(a[lo:hi]), pa.array(b[lo:hi]), pa.array(linked)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo:hi], pa.int64()).filter(pa.array(linked, pa.bool_())) for c in (a, b)], schema=schema)
 
     left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(run, "a long, b long, linked boolean"))
+            .mapInArrow(run, "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -389,20 +418,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     sketched = materialise(sketches(docs, words), "sketches")
     members = sketched.where("n_shingles > 0").dropDuplicates(["set_id"])
     members = materialise(members, "members")
-    nodes, large = leaves(members)
-    checked = materialise(confirm(first := materialise(candidates(nodes, threshold), "pairs"),
-                                  _texts(docs, members, first, alike=True), words, threshold), "confirmed")
-    groups = materialise(components(checked.where("linked").select("a", "b")), "groups")
-    rest = []
-    if not checked.where("not linked").isEmpty():
-        known = checked.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-        pairs = materialise(candidates(nodes, threshold, groups).join(
-            known, (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left_anti"), "more-pairs")
-        rest.append(confirm(pairs, _texts(docs, members, pairs), words, threshold).where("linked").select("a", "b"))
-    if not large.isEmpty():
-        rest.append(stragglers(large, members, groups, docs, words, threshold))
-    if rest:
-        more = materialise(rest[0] if len(rest) == 1 else rest[0].unionByName(rest[1]), "more-links")
+    nodes, first = leaves(members)
+    pairs = materialise(candidates(nodes, threshold), "pairs")
+    links = materialise(confirm(pairs, _texts(docs, members, pairs, alike=True), words, threshold), "links")
+    groups = materialise(components(links), "groups")
+    found = materialise(open_members(first.where(F.col("n") <= NODE), threshold, groups), "open-members")
+    met = first.join(found, (first["key"] == found["node"]) & (first["set_id"] == found["member"]), "left_semi")
+    met = materialise(met.unionByName(first.where(F.col("n") > NODE)), "met")
+    if not met.isEmpty():
+        more = materialise(stragglers(met, members, groups, docs, words, threshold), "more-links")
         if not more.isEmpty():
             stars = groups.where("set_id <> root").select(F.col("set_id").alias("a"), F.col("root").alias("b"))
             groups = components(stars.unionByName(more))

@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPLIT = re.compile(r"(?<=\S) (?=\S)")
-MAX_PIECES = 150_000   # remembered pieces per worker and generation, about 200 bytes each
+MAX_PIECES = 250_000   # remembered pieces per worker and generation, about 200 bytes each
 MAX_PIECE_CHARS = 48   # longer pieces are encoded each time
 TOKEN_ID = attrgetter("id")
 _ENCODERS: dict[str, "PieceEncoder"] = {}
