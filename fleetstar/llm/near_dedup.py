@@ -335,7 +335,8 @@ def stragglers(large: DataFrame, members: DataFrame, groups: DataFrame, docs: Da
         F.ceil((F.col("n") - F.col("m.held")) / OUTSIDE).cast("int").alias("parts")), "mixed-nodes")
     rows = materialise(rooted.join(mixed, rooted["key"] == mixed["_key"]).withColumn("main", F.col("root") == F.col("_main")), "mixed-members")
     wanted = rows.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"))
-    rows = rows.join(materialise(full_sets(_texts(docs, members, wanted), words), "sets"), "set_id")
+    # The same joins whatever the number of members met.
+    rows = rows.join(materialise(full_sets(_texts(docs, members, wanted), words), "sets").hint("merge"), "set_id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda n: F.pmod(F.xxhash64("set_id", F.lit(n)), F.col(n)).cast("int")
     columns = ["key", "block", "part", "outside", "set_id", "root", "main", "tree", "signature", "paths", "shingles"]
@@ -420,7 +421,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     members = materialise(members, "members")
     nodes, first = leaves(members)
     pairs = materialise(candidates(nodes, threshold), "pairs")
-    links = materialise(confirm(pairs, _texts(docs, members, pairs, alike=True), words, threshold), "links")
+    links = materialise(confirm(pairs, _texts(docs, members, pairs), words, threshold), "links")
     groups = materialise(components(links), "groups")
     found = materialise(open_members(first.where(F.col("n") <= NODE), threshold, groups), "open-members")
     met = first.join(found, (first["key"] == found["node"]) & (first["set_id"] == found["member"]), "left_semi")
@@ -458,13 +459,11 @@ def _with_roots(sketched: DataFrame, groups: DataFrame) -> DataFrame:
         "doc_id", "text_key", "n_shingles", F.coalesce("_root", "set_id").alias("root")), "rooted")
 
 
-def _texts(docs: DataFrame, members: DataFrame, pairs: DataFrame, alike: bool = False) -> DataFrame:
+def _texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     """(set_id, text) of every set that occurs in ``pairs``."""
     ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     wanted = materialise(members.join(ids, "set_id").select("set_id", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "wanted")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("k"), "text")
-    if alike:  # the first round wants a share of all texts: the same join whatever their number
-        wanted = wanted.hint("merge")
-    return materialise(keyed.join(wanted, (F.col("k") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return materialise(keyed.join(wanted.hint("merge"), (F.col("k") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
                        .select("set_id", "text"), "texts")
 
