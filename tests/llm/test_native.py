@@ -144,3 +144,11 @@ def test_quality_edges(edge_docs, no_docs):
     assert verdicts.count() == edge_docs.count()
     assert kept.count() == verdicts.where("kept").count()
     assert quality.divergence(no_docs).count() == 0 and quality.keep_good(no_docs).count() == 0
+
+
+def test_only_ascii_white_space_parts_words(spark):
+    texts = ["foo \u0085", "foo \u2028", "a\tfoo \u2029", "foo \n", "\u0085", " \u2028 "]
+    rows = [(i, t, "en", "a", len(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: (r["n_words"], r["word_chars"]) for r in quality.features(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {i: (len(w), sum(map(len, w))) for i, w in ((i, re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in enumerate(texts))}
+    assert got[0] == (2, 4)
