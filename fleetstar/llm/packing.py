@@ -4,13 +4,16 @@ Bounded-space online best fit: each packer keeps at most ``open_bins`` bins
 open, indexed by a bitset whose bit ``f`` says that some open bin has ``f``
 free tokens. A piece goes to the open bin with the least free space that
 still holds it (the lowest set bit at or above its length); if none does, a
-new bin opens, and when too many are open the fullest closes first.
+new bin opens, and when too many are open the fullest closes first. Pieces
+arrive in an order of hashes; a packer looks ahead at ``LOOKAHEAD`` of them and
+places the longest first, then sees the next ones, so it holds no more than
+these pieces and its open bins.
 
 Documents longer than a sequence are cut into whole sequences plus one
 shorter first piece. Whole-sequence pieces need no search and get a sequence
 each without leaving their scan task; only the short pieces' lengths (never
 their tokens) are shuffled, into groups of a bounded number of rows, one
-packer per group.
+packer per group, which streams through its group.
 
 Edge cases: a null or empty text is just its end token; repeated rows are
 packed once each; an empty table gives an empty result; other columns are
@@ -22,7 +25,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +35,8 @@ from .tokens import batch_blocks, encoder
 
 SEQUENCE = 1024          # tokens of a sequence
 END_ID = 2               # closes each document
-OPEN_BINS = 32_768       # open bins of one packer
+OPEN_BINS = 2048         # open bins of one packer
+LOOKAHEAD = 2048         # pieces that a packer sees at once
 GROUP_ROWS = 60_000      # short pieces per packer
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row_key long"
 
@@ -75,6 +79,14 @@ class BestFit:
         return number, self.capacity - free
 
 
+def place_all(packer: BestFit, lengths: np.ndarray) -> tuple[list[int], list[int]]:
+    """(bin numbers, offsets) of pieces seen at once, placed longest first."""
+    numbers, offsets = [0] * len(lengths), [0] * len(lengths)
+    for i in np.argsort(-lengths, kind="stable").tolist():
+        numbers[i], offsets[i] = packer.place(int(lengths[i]))
+    return numbers, offsets
+
+
 def cut(total: int, capacity: int = SEQUENCE) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: a shorter first one, then whole sequences."""
     head = total % capacity or min(total, capacity)
@@ -102,10 +114,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
 
 ARROW = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                    ("ids_crc32", pa.int64()), ("row_key", pa.int64())])
+PLACED = ARROW.append(pa.field("sequence_id", pa.int64())).append(pa.field("offset", pa.int64()))
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int = END_ID,
-         open_bins: int = OPEN_BINS, group_rows: int = GROUP_ROWS) -> DataFrame:
+         open_bins: int = OPEN_BINS, group_rows: int = GROUP_ROWS, lookahead: int = LOOKAHEAD) -> DataFrame:
     """Every piece with its ``sequence_id`` and ``offset``; sequences are at most ``capacity`` tokens.
 
     Pieces are written to the shared folder once, so texts are tokenised once
@@ -116,15 +129,35 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: int
     groups = max(1, -(-short.count() // group_rows))
     spread = short.withColumn("packer", F.pmod(F.xxhash64("row_key", "piece"), F.lit(groups)).cast("int"))
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "row_key"], ascending=False, ignore_index=True)  # arrival: longest first
-        packer = BestFit(capacity, open_bins)
-        placed = [packer.place(n) for n in pdf["length"].tolist()]
-        pdf["sequence_id"] = [int(key[0]) << 40 | number for number, _ in placed]
-        pdf["offset"] = [offset for _, offset in placed]
-        return pdf.drop(columns="packer")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, packer, held, size = None, None, [], 0
 
-    packed = spread.groupBy("packer").applyInPandas(run, f"{PIECES}, sequence_id long, offset long")
+        def place(rows: pa.Table) -> pa.RecordBatch:
+            numbers, offsets = place_all(packer, rows["length"].to_numpy())
+            columns = [rows[f.name].combine_chunks() for f in ARROW]
+            ids = (np.int64(current) << 40) | np.array(numbers, np.int64)
+            return pa.RecordBatch.from_arrays([*columns, pa.array(ids), pa.array(offsets, pa.int64())], schema=PLACED)
+
+        for batch in batches:
+            key = batch.column(batch.schema.get_field_index("packer")).to_numpy()
+            cuts = np.flatnonzero(np.diff(key)) + 1
+            for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(key)).tolist()):
+                if a < b and key[a] != current:
+                    if held:
+                        yield place(pa.Table.from_batches(held))
+                    current, packer, held, size = key[a], BestFit(capacity, open_bins), [], 0
+                while a < b:
+                    stop = min(b, a + lookahead - size)
+                    held.append(batch.slice(a, stop - a))
+                    size, a = size + stop - a, stop
+                    if size == lookahead:
+                        yield place(pa.Table.from_batches(held))
+                        held, size = [], 0
+        if held:
+            yield place(pa.Table.from_batches(held))
+
+    arriving = spread.repartition("packer").sortWithinPartitions("packer", F.xxhash64("piece", "row_key"), "row_key", "piece")
+    packed = arriving.mapInArrow(run, f"{PIECES}, sequence_id long, offset long")
     whole = (cut_up.where(F.col("length") == capacity)
              .withColumn("sequence_id", -1 - F.monotonically_increasing_id())
              .withColumn("offset", F.lit(0).cast("long")))

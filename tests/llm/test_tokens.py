@@ -138,3 +138,27 @@ def test_best_fit_matches_a_plain_search(lengths, open_bins):
             bins.append([number, least - length])
         bins = [b for b in bins if b[1]]
         assert sorted(b[1] for b in bins) == sorted(f for f, s in packer.bins.items() for _ in s)
+
+
+def test_bounded_bins_stay_near_the_least():
+    rng = np.random.default_rng(3)
+    lengths = np.minimum(rng.gamma(1.6, 320, 30_000).astype(np.int64) + 1, 1023)
+    packer, most = packing.BestFit(), 0
+    for at in range(0, len(lengths), packing.LOOKAHEAD):
+        packing.place_all(packer, lengths[at:at + packing.LOOKAHEAD])
+        most = max(most, packer.n_open)
+    assert most <= packing.OPEN_BINS
+    assert packer.n_bins <= 1.01 * -(-lengths.sum() // packing.SEQUENCE)
+
+
+def test_packers_share_a_task_and_look_ahead_in_parts(spark):
+    path = FILES["byte_bpe_50k.json"]
+    docs = spark.createDataFrame([(i, "word " * (i * 37 % 900)) for i in range(300)], "doc_id long, text string")
+    rows = packing.pack(docs, path, group_rows=40, lookahead=7, open_bins=5).collect()
+    assert sorted(r["doc_id"] for r in rows if r["piece"] == 0) == list(range(300))
+    places = defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for got in places.values():
+        got.sort()
+        assert [o for o, _ in got] == np.cumsum([0] + [n for _, n in got])[:-1].tolist() and sum(n for _, n in got) <= packing.SEQUENCE
