@@ -61,11 +61,12 @@ TOPK_SQL = r"""
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS MATERIALIZED (SELECT *, row_number() OVER () AS q_row FROM v WHERE vec_id % 100 = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q_row, q.vec_id AS query_id, c.vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: CAST(p[1] * p[2] AS BIGINT))) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  FROM q JOIN v c ON q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 

@@ -19,7 +19,7 @@ query, and those are ranked once more.
 
 Edge cases: vectors that are null or hold null or non-finite components take
 no part; vectors meet only vectors of their own length, and empty ones none; repeated ids are candidates each, but a
-query's own id never is; an empty table gives an empty result; other columns
+query's own id never is; query rows with the same id are answered each, with k rows of their own; an empty table gives an empty result; other columns
 are ignored.
 """
 
@@ -151,12 +151,12 @@ def build(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame,
 def search(queries: DataFrame, index: DataFrame, shards: int, k: int = K, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k best rows."""
     n_blocks = max(1, -(-queries.count() // block))
-    packed = (queries.where(F.size("v") > 0)
+    packed = (queries.where(F.size("v") > 0).withColumn("row", F.monotonically_increasing_id())
               .groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).alias("block"), F.size("v").alias("dims"))
-              .agg(F.collect_list(F.struct("vec_id", "v")).alias("queries")))   # about ``block`` queries each
+              .agg(F.collect_list(F.struct("row", "vec_id", "v")).alias("queries")))   # about ``block`` queries each
     # Each block goes to every shard: an equi-join on the shard's number.
     routed = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).repartition("shard")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,9 +165,9 @@ def search(queries: DataFrame, index: DataFrame, shards: int, k: int = K, block:
                 for query in queries:
                     rows, scores = shard.search(query["vec_id"], np.array(query["v"], np.int64), k)
                     best = np.lexsort((shard.ids[rows], -scores))[:k]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), query["vec_id"])), pa.array(shard.ids[rows][best]),
-                                                      pa.array(scores[best])], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), query["row"])), pa.array(np.full(len(best), query["vec_id"])),
+                                                      pa.array(shard.ids[rows][best]), pa.array(scores[best])], schema=schema)
 
-    found = routed.join(index, ["shard", "dims"]).select("data", "queries").mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+    found = routed.join(index, ["shard", "dims"]).select("data", "queries").mapInArrow(run, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -48,6 +48,12 @@ def test_edge_rows(spark):
     assert run(spark, rows[:1], {0}) == []
 
 
+def test_repeated_query_ids_are_answered_each(spark):
+    rows = vectors(60) + [(20, vectors(60)[33][1]), (20, vectors(60)[20][1])]
+    got = run(spark, rows, {0, 20}, 20)
+    assert got == brute(rows, {0, 20}) and len(got) == 40
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_only_proven_rows_are_left_out(seed):
     rng = np.random.default_rng(seed)
