@@ -12,8 +12,10 @@ records. Of records with equal payloads (at least ``min_bytes`` long) the one
 with the smallest page id is the response; the others are revisits that refer
 to it, with the HTTP header but no payload.
 
-Files are written and read by Spark, in the shared folder: at most
-``FILE_RECORDS`` records per ARC file, so one file is one bounded row. Only
+Files are written and read by Spark, in the shared folder, in two size
+classes: pages of up to ``LARGE_BYTES`` lie ``FILE_RECORDS`` to a file, larger
+ones in a file each. So a file, which is one row when it is read, holds about
+``FILE_RECORDS * LARGE_BYTES`` bytes or a single page. Only
 ids and digests are shuffled by digest (pre-aggregated; the few-column join
 back splits hot digests), and whole compressed files by path.
 
@@ -29,7 +31,7 @@ import base64
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -42,6 +44,7 @@ from fleetstar.session import scratch_path
 from .common import materialise
 
 FILE_RECORDS = 1000
+LARGE_BYTES = 256 << 10
 FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
           2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 CAPTURED = "20240101000000"
@@ -167,16 +170,19 @@ def gunzip(data: bytes) -> bytes:
     return b"".join(out)
 
 
-def _write(records: DataFrame, name: str, separator: str) -> str:
-    """One archive per task and ``FILE_RECORDS`` rows; bytes are written as they are."""
-    path = scratch_path(records.sparkSession, name)
+def _classes() -> dict[str, int]:
+    """Rows of a file by size class: a file's own head row and its records."""
+    return {"small": FILE_RECORDS, "large": 2}
+
+
+def _write(records: DataFrame, path: str, separator: str, per_file: int) -> None:
+    """One archive per task and ``per_file`` rows; bytes are written as they are."""
     (records.select(F.col("record").cast("string")).write.option("lineSep", separator).option("compression", "gzip")
-     .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", FILE_RECORDS).text(path))
-    return path
+     .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", per_file).text(path))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(path).select("path", "content")
 
 
 def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
@@ -184,7 +190,17 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def write_arc(pages: DataFrame) -> str:
-    """Write each page as an ARC record, in files of alternating versions; returns the folder."""
+    """Write each page as an ARC record, in files of alternating versions; returns the folder,
+    with a folder for each size class in it."""
+    path = scratch_path(pages.sparkSession, "arc")
+    large = F.coalesce(F.octet_length("html") > LARGE_BYTES, F.lit(False))
+    for name, per_file in _classes().items():
+        rows = pages.where(large if name == "large" else ~large).select("page_id", "url", "html")
+        _write(rows.mapInArrow(_arc_rows(per_file), "record binary"), f"{path}/{name}", "\n", per_file)
+    return path
+
+
+def _arc_rows(per_file: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("record", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,8 +208,8 @@ def write_arc(pages: DataFrame) -> str:
         for batch in batches:
             rows = []
             for page_id, url, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if n % FILE_RECORDS == 0:  # the first record of each file
-                    version = 1 + (task + n // FILE_RECORDS) % 2
+                if n % per_file == 0:  # the first record of each file
+                    version = 1 + (task + n // per_file) % 2
                     rows.append((version_block(version),))
                     n += 1
                 payload = (html or "").encode()
@@ -206,7 +222,7 @@ def write_arc(pages: DataFrame) -> str:
             if rows:
                 yield _rows(schema, rows)
 
-    return _write(pages.select("page_id", "url", "html").mapInArrow(run, "record binary"), "arc", "\n")
+    return run
 
 
 def arc_payloads(arc: DataFrame) -> DataFrame:
@@ -229,9 +245,8 @@ def arc_payloads(arc: DataFrame) -> DataFrame:
 
 
 def convert(spark: SparkSession, arc_path: str, min_bytes: int = 0) -> str:
-    """Write the ARC files of a folder as WARC files; returns their folder."""
-    arc = _files(spark, arc_path)
-    found = materialise(arc_payloads(arc), "arc-payloads")
+    """Write the ARC files of a folder, laid out by size class as ``write_arc`` does, as WARC files; returns their folder."""
+    found = materialise(arc_payloads(_files(spark, arc_path)), "arc-payloads")
     firsts = materialise(found.where((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
                          .groupBy(F.col("digest").alias("_digest"))
                          .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "first-payloads")
@@ -249,8 +264,12 @@ def convert(spark: SparkSession, arc_path: str, min_bytes: int = 0) -> str:
                 refers = {p["n"]: p["first"] for p in pairs or ()}
                 yield _rows(schema, [(info,), *((to_warc(r, refers.get(n)),) for n, r in enumerate(read_arc(gunzip(data))))])
 
-    joined = arc.join(by_file, arc["path"] == by_file["_path"], "left").select("content", "again")
-    return _write(joined.mapInArrow(run, "record binary"), "warc", "\r\n\r\n")
+    path = scratch_path(spark, "warc")
+    for name, per_file in _classes().items():
+        arc = _files(spark, f"{arc_path}/{name}")
+        joined = arc.join(by_file, arc["path"] == by_file["_path"], "left").select("content", "again")
+        _write(joined.mapInArrow(run, "record binary"), f"{path}/{name}", "\r\n\r\n", per_file)
+    return path
 
 
 def read_back(spark: SparkSession, warc_path: str) -> DataFrame:

@@ -30,11 +30,23 @@ PAGES = ([(i, f"http://a.example/{i}", f"<p>{i % 7}\r\n\r\nWARC/1.0\r\n</p>") fo
 @pytest.mark.parametrize("min_bytes", [0, 20])
 def test_round_trip(spark, monkeypatch, min_bytes):
     monkeypatch.setattr(warc, "FILE_RECORDS", 8)
+    monkeypatch.setattr(warc, "LARGE_BYTES", 16)
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").selectExpr("*", "'x' AS record", "1 AS n").repartition(3)
     got = warc.read_back(spark, warc.convert(spark, warc.write_arc(pages), min_bytes))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == expected(PAGES, min_bytes)
 
 
+def test_large_pages_lie_in_files_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LARGE_BYTES", 1000)
+    rows = [(i, "http://a", "x" * (3000 if i % 5 == 0 else 900)) for i in range(50)]
+    path = warc.convert(spark, warc.write_arc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)))
+    sizes = [len([1 for f, _ in warc.read_warc(warc.gunzip(bytes(r["content"]))) if f["WARC-Type"] != "warcinfo"])
+             for r in warc._files(spark, f"{path}/large").collect()]
+    assert sum(sizes) == 10 and max(sizes) == 1
+    assert warc._files(spark, f"{path}/small").count() <= 2
+    assert warc.read_back(spark, path).count() == 50
+
+
 def test_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_back(spark, warc.convert(spark, warc.write_arc(pages))).count() == 0
