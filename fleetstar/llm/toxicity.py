@@ -43,8 +43,6 @@ MIN_DOCS = 8               # toxic documents that a term must occur in
 MIN_SHARE = 0.003          # and their share of the toxic sample
 MIN_LIFT = 4.0             # times as frequent in toxic documents
 MIN_CONTEXTS = 0.3         # different words before a term, by its toxic documents
-MAX_CANDIDATES = 20_000
-MAX_TERMS = 2000
 STEM = (4, 12)             # letters of a stem
 WINDOW = 6                 # words on either side that tell a quotation
 QUOTED = 0.3               # weight of a hit inside a quotation
@@ -220,7 +218,7 @@ def telling(counts: dict[tuple[str, bool], tuple[int, int]], n_toxic: int, n_cle
     least = max(MIN_DOCS, MIN_SHARE * n_toxic)
     odds = lambda a, b: math.log((a + 0.5) / (n_toxic + 1) * (n_clean + 1) / (b + 0.5))
     good = {k: (a, odds(a, b)) for k, (a, b) in counts.items() if a >= least and odds(a, b) >= math.log(MIN_LIFT)}
-    return dict(sorted(good.items(), key=lambda x: (-x[1][0] * x[1][1], x[0]))[:MAX_CANDIDATES])
+    return dict(sorted(good.items()))
 
 
 def choose_terms(good: dict[tuple[str, bool], tuple[int, float]]) -> Lexicon:
@@ -234,10 +232,11 @@ def choose_terms(good: dict[tuple[str, bool], tuple[int, float]]) -> Lexicon:
             continue                                     # the term itself
         chosen.append((text, stem))
     # Of stems that continue each other with the same documents the longest stays.
-    kept = [k for k in chosen if not (k[1] and any(
-        o != k and o[0].startswith(k[0]) and good[o][0] >= good[k][0] / 1.1 for o in chosen))]
-    kept.sort(key=lambda k: (-good[k][0] * good[k][1], k))
-    kept = sorted(kept[:MAX_TERMS])
+    beyond: dict[str, int] = {}                          # most documents of a term that goes on from a stem
+    for text, stem in chosen:
+        for n in range(STEM[0], min(len(text) - stem, STEM[1]) + 1):
+            beyond[text[:n]] = max(beyond.get(text[:n], 0), good[text, stem][0])
+    kept = sorted(k for k in chosen if not (k[1] and beyond.get(k[0], 0) >= good[k][0] / 1.1))
     return Lexicon(kept, [good[k][1] for k in kept])
 
 
@@ -302,7 +301,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Lexicon:
 
     # A word that follows the same words everywhere is a passage copied, not a term.
     varied = (sample.where("toxic = 1").select("text").mapInArrow(contexts, "word string, stem boolean, before string").distinct()
-              .groupBy("word", "stem").count().collect())  # at most MAX_CANDIDATES rows
+              .groupBy("word", "stem").count().collect())  # one row a candidate; MIN_SHARE bounds them
     good = {k: good[k] for r in varied if r["count"] >= MIN_CONTEXTS * good[k := (r["word"], r["stem"])][0]}
     lexicon = choose_terms(good)
 
