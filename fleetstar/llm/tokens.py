@@ -52,7 +52,10 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.merge = self.tokenizer.model.tokenize
+        model = self.tokenizer.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # pieces are remembered here; the model's own cache would only be filled and missed
+        self.merge = model.tokenize
         self.table = byte_characters()
         self.space = self.table[32]
         self.by_word = self.tokenizer.normalizer is not None  # lower case, spaces dropped
