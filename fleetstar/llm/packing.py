@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .tokens import batch_blocks, encoder
+from .tokens import BLOCK_BYTES, batch_blocks, encoder
 
 SEQUENCE = 1024          # tokens of a sequence
 END_ID = 2               # closes each document
@@ -100,10 +100,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = SEQUENCE, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for batch in batches:
-            for block in batch_blocks(batch, 1):
-                ids_of, texts, keys = (block.column(i).to_pylist() for i in range(3))
+            for block in batch_blocks(batch, 1, BLOCK_BYTES):
+                ids_of, keys = (block.column(i).to_pylist() for i in (0, 2))
                 rows = []
-                for doc, key, ids in zip(ids_of, keys, enc.encode(texts)):
+                for doc, key, ids in zip(ids_of, keys, enc.encode(block.column(1))):
                     ids = memoryview(ids + end)
                     for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                         rows.append((doc, n, start, length, zlib.crc32(ids[4 * start:4 * (start + length)]), key))

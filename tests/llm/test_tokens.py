@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -162,3 +163,36 @@ def test_packers_share_a_task_and_look_ahead_in_parts(spark):
     for got in places.values():
         got.sort()
         assert [o for o, _ in got] == np.cumsum([0] + [n for _, n in got])[:-1].tolist() and sum(n for _, n in got) <= packing.SEQUENCE
+
+
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name", sorted(FILES))
+def test_distinct_pieces_reach_the_library_many_at_once(name):
+    encoder, whole = PieceEncoder(FILES[name]), reference(FILES[name])
+    words = [f"{a}{b}{c}" for a in ("re", "tion", "Straß", "é") for b in "bcdfghklmn" for c in ("ing", "ou,", "ed.", "x!!", "\nend", "öst")]
+    texts = [" ".join(words[i:] + words[:i]) for i in range(0, len(words), 7)] + ["", None]
+    encoder.tokenizer = counting = Counting(encoder.tokenizer)
+    assert [memoryview(x).cast("I").tolist() for x in encoder.encode(pa.array(texts).slice(0))] == [whole(t) for t in texts]
+    assert counting.texts <= 2
+    encoder.encode(texts)
+    assert counting.texts <= 2  # known by now
+
+
+def test_uneven_texts_keep_their_places_among_even_ones(pair, monkeypatch):
+    from fleetstar.llm import tokens
+
+    encoder, whole = pair
+    monkeypatch.setattr(tokens, "JOINED", 2)
+    texts = ["one two\nthree", " led", "a\n\nb c", "", "x" * 60 + " y", None, "tab\tbed end \n", "don't\x01 2nd 日本 ª́ é", "\n", "plain"] * 2
+    for batch in (texts, pa.array(texts), pa.array(["cut off", *texts]).slice(1)):
+        assert [memoryview(x).cast("I").tolist() for x in encoder.encode(batch)] == [whole(t) for t in texts]
