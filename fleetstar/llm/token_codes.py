@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .tokens import batch_blocks, encoder
+from .tokens import BLOCK_BYTES, batch_blocks, encoder
 
 MAGIC = b"DAC1"
 STRETCH = 512                 # bits between entries of the rank directory
@@ -141,9 +141,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shards:
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for block in batch_blocks(batch, 1):
-                doc_ids, texts = (block.column(i).to_pylist() for i in range(2))
-                for doc, ids in zip(doc_ids, enc.encode(texts)):
+            for block in batch_blocks(batch, 1, BLOCK_BYTES):
+                for doc, ids in zip(block.column(0).to_pylist(), enc.encode(block.column(1))):
                     held[0].append(doc)
                     held[1].append(ids + end)
                     size += len(ids) // 4 + 1
