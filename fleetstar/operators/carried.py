@@ -118,11 +118,11 @@ class ExtractState:
         self.spark, self.path = spark, path
 
     def add(self, fact: DataFrame, load: str) -> None:
-        """Take in one load; the same name again replaces it."""
+        """Take in one load; the same name again replaces it. Every task of the sums writes its own file, few for a small load."""
         secs = F.col("session_duration_secs")
         sums = (fact.withColumn("reading_month", F.date_format(fact_date(fact), "yyyy-MM")).groupBy("reading_month", "store_key")
                 .agg(*_sums(), F.sum(secs).alias("session_secs"), F.count(secs).alias("sessions")))
-        overwrite_partitions(sums.withColumn("load", F.lit(load)).coalesce(1), self.path, "load")
+        overwrite_partitions(sums.withColumn("load", F.lit(load)), self.path, "load")
 
     def _rows(self) -> DataFrame:
         return self.spark.read.schema(self.SCHEMA).parquet(self.path)

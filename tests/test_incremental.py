@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +191,24 @@ def test_dashboards_from_loads_equal_the_full_computation(spark, stars, tmp_dir)
             map(str, D.monthly_operational_health(D.with_date(s.fact), by_year).collect()))
 
 
+def test_sums_of_a_load_are_not_gathered_in_one_task(spark, stars, tmp_dir):
+    fact, conf = stars["p2"].fact, {"spark.sql.shuffle.partitions": "5", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    state = ExtractState(spark, tmp_dir)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for _ in range(2):  # again: the files of the first attempt go
+            state.add(fact, "a")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(list(Path(tmp_dir).glob("load=a/*.parquet"))) == 5
+    rows = state._rows()
+    assert rows.count() == rows.select("reading_month", "store_key").distinct().count()
+    assert rows.agg(F.sum("readings")).first()[0] == fact.count()
+
+
 # --- sketches -------------------------------------------------------------------------------------
 
 def test_sketches_unite_within_their_errors(spark, stars, tmp_dir):
